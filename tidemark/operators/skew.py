@@ -1,0 +1,69 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# At most this many keys are treated as hot, so the hot list may be broadcast.
+HOT_KEYS = 1000
+HOT_ROWS = 100_000
+SALTS = 64
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """The heaviest keys of ``df``: never more than HOT_KEYS rows.
+
+    A key with more than a thousandth of all rows is always among them. The
+    count is combined map-side, and the selection is a top-k, not a sort.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") >= min_rows)
+        .orderBy(F.desc("_rows"), *keys)
+        .limit(HOT_KEYS)
+        .select(*keys)
+    )
+
+
+def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str = "_hot") -> DataFrame:
+    """Add a flag that tells whether the row's key is one of the hot keys."""
+    flags = hot.select(*keys, F.lit(True).alias(name))
+    marked = df.join(F.broadcast(flags), list(keys), "left")
+    return marked.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spread: Column,
+    how: str = "inner",
+    hot: DataFrame | None = None,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join where hot keys of ``left`` are spread over ``salts`` tasks.
+
+    ``spread`` is hashed to choose the salt of a hot left row; the matching
+    right rows are repeated once per salt. All other keys keep salt zero, so
+    they cost the same as in a plain join. ``how`` may be any join type that
+    keeps no unmatched right rows.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join cannot do a {how} join")
+    keys = list(keys)
+    hot = hot_keys(left, keys) if hot is None else hot
+    columns = left.columns
+    salted = mark_hot(left, hot, keys).withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    )
+    copies = mark_hot(right, hot, keys).withColumn(
+        "_salt",
+        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
+    )
+    joined = salted.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how)
+    extra = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*columns, *extra)
