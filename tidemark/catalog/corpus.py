@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..operators import bigrams, transitions
 from ..plans import phrases
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files, testdata
 from . import query
 from .fixtures import NGRAMS
@@ -32,6 +32,11 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.corpus_counts(testdata.ngrams(spark, sf_dir))
 
 
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus counts as a stored table, the input of all next-word work."""
+    return materialize(transitions.totals(_counts(spark, sf_dir)), "totals")
+
+
 @query(f"WITH {NGRAMS} SELECT file_no, bi_gram, year, match_count FROM lines")
 def ngram_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir).select("file_no", "bi_gram", "year", "match_count")
@@ -88,12 +93,12 @@ def transition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {NGRAMS} SELECT gram0, gram1, n, total, n / total AS probability FROM cdf")
 def transition_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transitions.probabilities(transitions.totals(_counts(spark, sf_dir)))
+    return transitions.probabilities(_totals(spark, sf_dir))
 
 
 @query(f"WITH {NGRAMS} SELECT gram0, gram1, n, cum_lo, cum_hi, total FROM cdf")
 def transition_cdf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transitions.cumulative(transitions.totals(_counts(spark, sf_dir))).drop("size")
+    return transitions.cumulative(_totals(spark, sf_dir)).drop("size")
 
 
 @query(f"WITH {NGRAMS} SELECT gram1, n, n / total AS probability FROM cdf WHERE gram0 = 'the'")

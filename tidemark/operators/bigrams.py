@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ..functions.text import BIGRAM_PATTERN, WORD_PATTERN
 from .scan import BLOCK
@@ -31,7 +32,11 @@ def clean(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
     """
     if first_two:
         return ngrams.select(*split_words(), "match_count").where(usable())
-    return ngrams.where(F.col("bi_gram").rlike(BIGRAM_PATTERN)).select(*split_words(), "match_count")
+    return ngrams.where(F.col("bi_gram").rlike(BIGRAM_PATTERN)).select(
+        F.substring_index("bi_gram", " ", 1).alias("gram0"),
+        F.substring_index("bi_gram", " ", -1).alias("gram1"),
+        "match_count",
+    )
 
 
 def counts(cleaned: DataFrame) -> DataFrame:
@@ -44,40 +49,47 @@ def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str
 
     ``order`` is the line order inside a file and must be unique there;
     ``block`` must not decrease along it and cuts a file into pieces that are
-    scanned side by side. A run that crosses pieces is put together from one
-    summary row per piece. Runs are found over all lines, and only those of
-    two all-letter words are returned, with the order of their first line.
+    scanned side by side. A piece first adds up its own runs; only its first
+    and last run can go on in a neighbour, so at most two rows per piece are
+    put together along the file. Runs are found over all lines, and only those
+    of two all-letter words are returned, with the order of their first line.
     """
+    order, key = list(order), ["gram0", "gram1"]
     lines = ngrams.select(file, *order, block.alias(BLOCK), *split_words(), "match_count")
-    key, at = F.struct("gram0", "gram1"), F.struct(*order)
     piece = Window.partitionBy(file, BLOCK).orderBy(*order)
-    so_far = piece.rowsBetween(Window.unboundedPreceding, 0)
-    begins = (F.row_number().over(piece) > 1) & ~key.eqNullSafe(F.lag(key).over(piece))
-    local = lines.withColumn("_begin", F.when(begins, at)).withColumn(
-        "_run", F.last("_begin", ignorenulls=True).over(so_far)
-    )
-
-    pieces = local.groupBy(file, BLOCK).agg(
-        F.min(at).alias("_head_at"),
-        F.min_by(key, at).alias("_head"),
-        F.max_by(key, at).alias("_tail"),
-        F.max("_begin").alias("_last_begin"),
+    begins = (F.row_number().over(piece) == 1) | ~_same_as_previous(key, piece)
+    marked = lines.withColumns({"_begins": begins, "_ends_piece": F.lead(F.lit(False), 1, True).over(piece)})
+    numbered = marked.withColumn(
+        "_run", F.sum(F.col("_begins").cast("bigint")).over(piece.rowsBetween(Window.unboundedPreceding, 0))
     )
-    along = Window.partitionBy(file).orderBy(BLOCK)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    goes_on = F.col("_head").eqNullSafe(F.lag("_tail").over(along))
-    heads = (
-        pieces.withColumn("_goes_on", goes_on)
-        .withColumn("_open", F.coalesce("_last_begin", F.when(~F.col("_goes_on"), F.col("_head_at"))))
-        .withColumn("_carried", F.last("_open", ignorenulls=True).over(earlier))
-        .select(file, BLOCK, F.when(F.col("_goes_on"), F.col("_carried")).otherwise(F.col("_head_at")).alias("_first"))
+    # Same partitioning as the window: no further shuffle.
+    runs = numbered.groupBy(file, BLOCK, "_run", *key).agg(
+        *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
+        F.sum("match_count").alias("matchcount"),
+        F.max("_ends_piece").alias("_last"),
     )
-    runs = (
-        local.join(heads, [file, BLOCK])
-        .groupBy(file, F.coalesce("_run", "_first").alias("_start"), "gram0", "gram1")
-        .agg(F.sum("match_count").alias("matchcount"))
+    inner = runs.where((F.col("_run") > 1) & ~F.col("_last"))
+
+    along = Window.partitionBy(file).orderBy(BLOCK, "_run")
+    goes_on = (F.col("_run") == 1) & _same_as_previous(key, along) & F.lag("_last", 1, False).over(along)
+    edges = runs.where((F.col("_run") == 1) | F.col("_last")).withColumn("_goes_on", goes_on)
+    stitched = (
+        edges.withColumn(
+            "_whole", F.sum((~F.col("_goes_on")).cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, 0))
+        )
+        .groupBy(file, "_whole", *key)
+        .agg(
+            *[F.max(F.when(~F.col("_goes_on"), F.col(c))).alias(c) for c in order],
+            F.sum("matchcount").alias("matchcount"),
+        )
     )
-    return runs.where(usable()).select(file, "_start.*", "gram0", "gram1", "matchcount")
+    columns = [file, *order, *key, "matchcount"]
+    return inner.select(*columns).unionByName(stitched.select(*columns)).where(usable())
+
+
+def _same_as_previous(key: Sequence[str], along: WindowSpec) -> Column:
+    same = [F.col(c).eqNullSafe(F.lag(c).over(along)) for c in key]
+    return reduce(Column.__and__, same)
 
 
 def file_slice(ngrams: DataFrame, first: int, last: int, file: str = "file_no") -> DataFrame:

@@ -19,13 +19,16 @@ from . import skew
 BLOCK = "_block"
 
 
-def block_hot(df: DataFrame, keys: Sequence[str], block: Column, min_rows: int = skew.HOT_ROWS) -> DataFrame:
-    """Give hot keys the ordered blocks of ``block``; others stay whole.
+def block_hot(
+    df: DataFrame, keys: Sequence[str], block: Column, whole: object = 0, min_rows: int = skew.HOT_ROWS
+) -> DataFrame:
+    """Give hot keys the ordered blocks of ``block``; others get one, ``whole``.
 
-    ``block`` must not decrease along the order used later.
+    ``block`` must not be NULL, must not decrease along the order used later,
+    and has the type of the constant ``whole``.
     """
     marked = skew.mark_hot(df, skew.hot_keys(df, keys, min_rows), keys)
-    return marked.withColumn(BLOCK, F.when(F.col("_hot"), block)).drop("_hot")
+    return marked.withColumn(BLOCK, F.when(F.col("_hot"), block).otherwise(F.lit(whole))).drop("_hot")
 
 
 def prefix_totals(
@@ -33,26 +36,19 @@ def prefix_totals(
 ) -> DataFrame:
     """Inclusive running totals per key, plus each key's grand total.
 
-    ``df`` carries a BLOCK column (see :func:`block_hot`); a NULL block means
-    the key is not split. For every entry of ``values`` the result has the
-    running total under its name and the key's total as ``<name>_total``.
-    ``keys`` must not be NULL and ``order`` must be unique within a key.
+    ``df`` carries a BLOCK column (see :func:`block_hot`). For every entry of
+    ``values`` the result has the running total under its name and the key's
+    total as ``<name>_total``. ``keys`` must not be NULL, ``order`` must be
+    unique within a key. ``df`` is read twice; give it as a table where it is
+    costly to compute.
     """
-    columns = df.columns
-    group = [*keys, "_part"]
-    blocked = df.withColumns(
-        {
-            # Never NULL, so that the summaries can be joined back on it.
-            "_part": F.coalesce(F.col(BLOCK).cast("string"), F.lit("")),
-            **{f"_v_{name}": value for name, value in values.items()},
-        }
-    )
+    group = [*keys, BLOCK]
+    blocked = df.withColumns({f"_v_{name}": value for name, value in values.items()})
     along = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.withColumns({f"_l_{name}": F.sum(f"_v_{name}").over(along) for name in values})
 
-    sums = blocked.groupBy(*group).agg(
-        F.min(BLOCK).alias(BLOCK), *[F.sum(f"_v_{name}").alias(f"_s_{name}") for name in values]
-    )
+    # One row per block, combined before the shuffle.
+    sums = blocked.groupBy(*group).agg(*[F.sum(f"_v_{name}").alias(f"_s_{name}") for name in values])
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = sums.select(
         *group,
@@ -61,7 +57,7 @@ def prefix_totals(
     )
     joined = local.join(carry, group)
     return joined.select(
-        *[c for c in columns if c != BLOCK],
+        *[c for c in df.columns if c != BLOCK],
         *[
             F.when(F.col(f"_c_{name}").isNull(), F.col(f"_l_{name}"))
             .otherwise(F.col(f"_c_{name}") + F.col(f"_l_{name}"))

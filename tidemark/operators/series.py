@@ -16,7 +16,7 @@ _PIECE = 100_000
 
 
 def _span(x: str, span: int) -> Column:
-    return F.floor(F.col(x) / span)
+    return F.floor(F.col(x) / span).cast("bigint")
 
 
 def sine(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -30,7 +30,7 @@ def running_mean(
 
     A long series is cut every ``span`` units of ``x``.
     """
-    blocked = block_hot(points.select(series, x, y), [series], _span(x, span), min_rows)
+    blocked = block_hot(points.select(series, x, y), [series], _span(x, span), 0, min_rows)
     scanned = prefix_totals(blocked, [series], [x], {"_sum": F.col(y), "n": F.lit(1)})
     return scanned.select(series, x, y, (F.col("_sum") / F.col("n")).alias("avg"))
 
@@ -39,7 +39,7 @@ def ordinals(
     points: DataFrame, series: str = "series", x: str = "x", span: int = 1_000_000, min_rows: int = skew.HOT_ROWS
 ) -> DataFrame:
     """1-based position of every row in its series, as ``n``."""
-    blocked = block_hot(points, [series], _span(x, span), min_rows)
+    blocked = block_hot(points, [series], _span(x, span), 0, min_rows)
     return prefix_totals(blocked, [series], [x], {"n": F.lit(1)}).drop("n_total")
 
 

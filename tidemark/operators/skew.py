@@ -36,6 +36,19 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], name: str = "_h
     return marked.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
+def stored_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner"
+) -> DataFrame:
+    """:func:`salted_join` where ``left`` is a stored table, cheap to count.
+
+    A table with fewer than HOT_ROWS rows can hold no hot key; it gets a plain
+    join, which the planner is free to broadcast by size.
+    """
+    if left.count() < HOT_ROWS:
+        return left.join(right, list(keys), how)
+    return salted_join(left, right, keys, spread, how)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

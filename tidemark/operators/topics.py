@@ -113,30 +113,31 @@ def topic_commentators(messages: DataFrame, n: int = 10, window: str = "2 hours"
 
     Topics are the ``#`` words of the text; commentators are the author and
     the ``@`` words. A topic's commentators come as one row each, because the
-    list of a hot topic has no bound.
+    list of a hot topic has no bound; ``written`` counts the occurrences of
+    the topic that the commentator wrote.
     """
-    tagged = (
-        msg.with_time(msg.live(messages))
-        .select(
-            F.window("ts", window)["start"].alias("window_start"),
-            F.concat(F.array(F.col("user.screen_name")), _tokens_with(F.col("text"), "@")).alias("_people"),
-            F.explode(_tokens_with(F.col("text"), "#")).alias("topic"),
-        )
+    keys = ["window_start", "topic"]
+    timed = msg.with_time(msg.live(messages)).withColumn("_w", F.window("ts", window))
+    tagged = timed.select(
+        F.col("_w.start").alias("window_start"),
+        F.concat(F.array(F.col("user.screen_name")), _tokens_with(F.col("text"), "@")).alias("_people"),
+        F.explode(_tokens_with(F.col("text"), "#")).alias("topic"),
+    )
+    # The author stands first in the list, so authors add up to the topic's occurrences.
+    pairs = (
+        tagged.select(*keys, F.posexplode("_people").alias("_pos", "commentator"))
+        .groupBy(*keys, "commentator")
+        .agg(F.sum((F.col("_pos") == 0).cast("bigint")).alias("written"))
     )
     rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(F.desc("num_tweets"), "topic"))
     top = (
-        tagged.groupBy("window_start", "topic")
-        .agg(F.count("*").alias("num_tweets"))
+        pairs.groupBy(*keys)
+        .agg(F.sum("written").alias("num_tweets"))
         .withColumn("_rank", rank)
         .where(F.col("_rank") <= n)
         .drop("_rank")
     )
     # A hot topic's people are cut into pieces by name, each with its own copy of the count.
     part = F.pmod(F.xxhash64("commentator"), F.lit(_PIECES)).cast("int")
-    people = (
-        tagged.select("window_start", "topic", F.explode("_people").alias("commentator"))
-        .distinct()
-        .withColumn("_part", part)
-    )
     pieces = top.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PIECES - 1))))
-    return people.join(pieces, ["window_start", "topic", "_part"]).drop("_part")
+    return pairs.withColumn("_part", part).join(pieces, [*keys, "_part"]).drop("_part")

@@ -34,9 +34,10 @@ def cumulative(
 
     A word with very many successors is split by the first letters of the
     next word; see :mod:`.scan`. ``size`` is its number of successors.
+    ``totals`` is read more than once: give it as a stored table.
     """
     block = F.substring("gram1", 1, _BLOCK_LETTERS) if block is None else block
-    blocked = block_hot(totals, ["gram0"], block, min_rows)
+    blocked = block_hot(totals, ["gram0"], block, "", min_rows)
     scanned = prefix_totals(blocked, ["gram0"], ["gram1"], {"cum_hi": F.col("n"), "place": F.lit(1)})
     return scanned.select(
         "gram0",

@@ -53,22 +53,28 @@ def walk_index(cumulative: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_R
 
 
 def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
-    drawn = draws.draw(seed, F.col("walk_id"), F.col("step")) % F.col("total")
-    placed = (
-        walkers.where(F.col("total").isNotNull())
-        .withColumn("r", drawn)
-        .select("walk_id", "step", F.col("word").alias("gram0"), "r", F.expr("r div width").alias("slot"))
-    )
-    candidates = skew.salted_join(placed, index, ["gram0", "slot"], spread=F.col("walk_id"))
-    return candidates.where((F.col("cum_lo") <= F.col("r")) & (F.col("r") < F.col("cum_hi"))).select(
-        "walk_id",
-        (F.col("step") + 1).alias("step"),
-        F.col("gram1").alias("word"),
-        F.col("next_total").alias("total"),
-        F.col("next_width").alias("width"),
+    """One move of every walker that has somewhere to go."""
+    candidates = skew.stored_join(walkers, index, ["gram0", "slot"], spread=F.col("walk_id"))
+    moved = candidates.where((F.col("cum_lo") <= F.col("place")) & (F.col("place") < F.col("cum_hi")))
+    return _drawn(
+        moved.select(
+            "walk_id",
+            (F.col("step") + 1).alias("step"),
+            F.col("gram1").alias("gram0"),
+            F.col("next_total").alias("total"),
+            F.col("next_width").alias("width"),
+        ),
+        seed,
     )
 
 
+def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
+    """Where each walker's draw falls in the range of its word; NULL at the end of a walk."""
+    place = draws.draw(seed, F.col("walk_id"), F.col("step")) % F.col("total")
+    placed = walkers.select("walk_id", "step", "gram0", "width", place.alias("place"))
+    return placed.withColumn("slot", F.expr("place div width")).drop("width")
+
+
 def walk(
     cumulative: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42, slot_rows: int = SLOT_ROWS
 ) -> DataFrame:
@@ -83,17 +89,14 @@ def walk(
     ranges = materialize(word_ranges(cumulative, slot_rows), "words")
     index = materialize(walk_index(cumulative, ranges, slot_rows), "index")
     start = skew.salted_join(seeds.select("walk_id", "word"), ranges, ["word"], spread=F.col("walk_id"), how="left")
-    steps = [
-        materialize(start.select("walk_id", F.lit(1).alias("step"), "word", "total", "width"), "step-1")
-    ]
+    first = start.select("walk_id", F.lit(1).alias("step"), F.col("word").alias("gram0"), "total", "width")
+    steps = [materialize(_drawn(first, seed), "step-1")]
     for k in range(2, max_words + 1):
-        moved = materialize(_step(steps[-1], index, seed), f"step-{k}")
-        if moved.isEmpty():
-            break
-        steps.append(moved)
-    history = reduce(DataFrame.unionByName, [s.select("walk_id", "step", "word") for s in steps])
+        going = steps[-1].where(F.col("place").isNotNull())
+        steps.append(materialize(_step(going, index, seed), f"step-{k}"))
+    history = reduce(DataFrame.unionByName, [s.select("walk_id", "step", "gram0") for s in steps])
     # At most max_words rows per walk come together here.
-    ordered = history.groupBy("walk_id").agg(F.sort_array(F.collect_list(F.struct("step", "word"))).alias("_path"))
+    ordered = history.groupBy("walk_id").agg(F.sort_array(F.collect_list(F.struct("step", "gram0"))).alias("_path"))
     return ordered.select(
-        "walk_id", F.size("_path").alias("words"), F.concat_ws(" ", F.col("_path.word")).alias("phrase")
+        "walk_id", F.size("_path").alias("words"), F.concat_ws(" ", F.col("_path.gram0")).alias("phrase")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import bigrams, transitions, walks
+from ..session import materialize
 
 
 def corpus_counts(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
@@ -14,4 +15,5 @@ def corpus_counts(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
 
 def phrases(counts: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42) -> DataFrame:
     """One phrase per seed, drawn from the next-word distribution of the counts."""
-    return walks.walk(transitions.cumulative(transitions.totals(counts)), seeds, max_words, seed)
+    totals = materialize(transitions.totals(counts), "totals")
+    return walks.walk(transitions.cumulative(totals), seeds, max_words, seed)
