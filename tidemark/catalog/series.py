@@ -105,10 +105,10 @@ def series_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT n, conv_id || '/' || turn || '/' || role AS value FROM (
-  SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations) WHERE n >= 100 AND n < 300""")
+  SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations) WHERE n >= 20 AND n < 60""")
 def line_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines 100 to 299 of all turns, written in order as text part files."""
+    """Lines 20 to 59 of all turns, written in order as text part files."""
     path = scratch_path(spark, "turns")
     turns = testdata.table(spark, sf_dir, "conversations").orderBy("conv_id", "turn")
     turns.select(F.concat_ws("/", "conv_id", "turn", "role")).write.text(path)
-    return lines.numbered_lines(spark, path, 100, 300)
+    return lines.numbered_lines(spark, path, 20, 60)
