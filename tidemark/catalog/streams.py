@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +18,30 @@ from .fixtures import MESSAGES, METRICS
 from .social import _REPORT
 from .telemetry import plain, windows_sql
 
-_FILES = 4
+# The landed files are taken in about so many mini-batches, however many there are.
+_BATCHES = 4
+
+
+def _file_rows(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Rows per landed file and files per trigger, both growing with the table."""
+    total = testdata.table(spark, sf_dir, "events").count()
+    rows = max(2_000, total // 1_000)
+    return rows, max(1, math.ceil(total / rows / _BATCHES))
 
 
 def _landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message lines as a stream of files, several mini-batches long."""
     path = scratch_path(spark, "landing")
-    testdata.message_lines(spark, sf_dir).repartition(_FILES).write.text(path)
-    return streams.text_lines(spark, path, files_per_trigger=_FILES // 2)
+    rows, per_trigger = _file_rows(spark, sf_dir)
+    testdata.message_lines(spark, sf_dir).write.option("maxRecordsPerFile", rows).text(path)
+    return streams.text_lines(spark, path, per_trigger)
 
 
-def _landed_envelopes(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+def _landed_envelopes(spark: SparkSession, sf_dir: str, in_batches: bool) -> DataFrame:
     path = scratch_path(spark, "envelopes")
-    testdata.envelopes(spark, sf_dir).repartition(_FILES).write.parquet(path)
-    return streams.envelope_files(spark, path, files_per_trigger)
+    rows, per_trigger = _file_rows(spark, sf_dir)
+    testdata.envelopes(spark, sf_dir).write.option("maxRecordsPerFile", rows).parquet(path)
+    return streams.envelope_files(spark, path, per_trigger if in_batches else None)
 
 
 @query(_REPORT)
@@ -53,7 +65,7 @@ def slim_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw metric rows streamed into CSV, each exactly once."""
     out = scratch_path(spark, "raw")
-    stream = _landed_envelopes(spark, sf_dir, _FILES // 2)
+    stream = _landed_envelopes(spark, sf_dir, in_batches=True)
     jobs.drain(jobs.raw_metrics(stream, out, scratch_path(spark, "progress")))
     return files.read_metric_csv(spark, out)
 
@@ -63,7 +75,8 @@ WHERE window_end <= (SELECT max(make_timestamp(epoch_us(ts) // 1000 * 1000)) FRO
 def stream_metric_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding averages as a stream writes them: only windows the watermark has closed."""
     out = scratch_path(spark, "averages")
-    stream = _landed_envelopes(spark, sf_dir)
+    # One trigger takes all files: they land in any order, and late rows would be dropped.
+    stream = _landed_envelopes(spark, sf_dir, in_batches=False)
     jobs.drain(jobs.metric_averages(stream, out, scratch_path(spark, "progress")))
     return plain(spark.read.parquet(out))
 

@@ -73,12 +73,13 @@ def with_ordinal(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFr
 
     One range shuffle sorts the rows into a written table; its tasks number
     their rows, and a running total over one count per task joins the pieces.
+    Rows that are equal in ``order`` go by their place in the input, so that
+    many copies of one row still fall into several ranges. ``df`` should be
+    read from files, where that place is the same in every attempt of a task.
     """
-    spark = df.sparkSession
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = materialize(
-        sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "ordinals"
-    )
+    placed = df.withColumn("_tie", F.monotonically_increasing_id())
+    sorted_rows = placed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    numbered = materialize(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "ordinals")
     task, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
     counts = numbered.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

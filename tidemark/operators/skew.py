@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,18 +62,19 @@ def salted_join(
     """Equi-join where hot keys of ``left`` are spread over ``salts`` tasks.
 
     ``spread`` is hashed to choose the salt of a hot left row; the matching
-    right rows are repeated once per salt. All other keys keep salt zero, so
-    they cost the same as in a plain join. ``how`` may be any join type that
-    keeps no unmatched right rows.
+    right rows are repeated once per salt. Left rows with a NULL key match
+    nothing and are spread as well. All other keys keep salt zero, so they cost
+    the same as in a plain join. ``how`` may be any join type that keeps no
+    unmatched right rows.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join cannot do a {how} join")
     keys = list(keys)
     hot = hot_keys(left, keys) if hot is None else hot
     columns = left.columns
-    salted = mark_hot(left, hot, keys).withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
-    )
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    salted = mark_hot(left, hot, keys).withColumn("_salt", F.when(F.col("_hot") | no_key, salt).otherwise(0))
     copies = mark_hot(right, hot, keys).withColumn(
         "_salt",
         F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
