@@ -7,13 +7,13 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from tidemark import schemas, session
 from tidemark.operators import bigrams, skew, transitions, words
 from tidemark.operators import messages as msg
 from tidemark.operators import topics as tp
 from tidemark.session import scratch_path
 from tidemark.sources import files, testdata
 from tidemark.sources.store import TableStore
-from tidemark import schemas
 
 
 def plan(df):
@@ -57,10 +57,18 @@ def test_text_of_a_message_is_parsed_once(spark):
 
 
 def test_projections_do_not_shuffle(spark):
-    messages = msg.parse(testdata.message_lines(spark, SMALL))
+    messages = msg.parse(spark.createDataFrame([("{}",)], "value string"))
     for df in (msg.wide(messages), msg.people(messages), msg.simple(messages), msg.slim(messages)):
         assert "Exchange" not in plan(df)
-    assert "Exchange" not in plan(bigrams.clean(testdata.ngrams(spark, SMALL)))
+    ngrams = spark.createDataFrame([("a b", 1)], "bi_gram string, match_count bigint")
+    assert "Exchange" not in plan(bigrams.clean(ngrams))
+
+
+def test_only_small_input_is_dealt_out(spark, monkeypatch):
+    assert "RoundRobinPartitioning" in plan(testdata.ngrams(spark, SMALL))
+    monkeypatch.setattr(session, "SPREAD_BYTES", 1000)
+    assert "Exchange" not in plan(testdata.ngrams(spark, SMALL))
+    assert "Exchange" not in plan(testdata.message_lines(spark, SMALL))
 
 
 def test_counts_shuffle_once_after_a_partial_count(spark):

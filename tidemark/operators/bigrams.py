@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
+from pyspark.sql.window import Window
 
 from ..functions.text import BIGRAM_PATTERN, WORD_PATTERN
 from .scan import BLOCK
@@ -24,6 +23,11 @@ def usable() -> Column:
     return F.col("gram0").rlike(WORD_PATTERN) & F.col("gram1").rlike(WORD_PATTERN)
 
 
+def _two_words(pair: str) -> tuple[Column, Column]:
+    """The words of a string known to hold exactly two."""
+    return F.substring_index(pair, " ", 1).alias("gram0"), F.substring_index(pair, " ", -1).alias("gram1")
+
+
 def clean(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
     """Keep bigrams of two all-letter words, as (gram0, gram1, match_count).
 
@@ -32,11 +36,7 @@ def clean(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
     """
     if first_two:
         return ngrams.select(*split_words(), "match_count").where(usable())
-    return ngrams.where(F.col("bi_gram").rlike(BIGRAM_PATTERN)).select(
-        F.substring_index("bi_gram", " ", 1).alias("gram0"),
-        F.substring_index("bi_gram", " ", -1).alias("gram1"),
-        "match_count",
-    )
+    return ngrams.where(F.col("bi_gram").rlike(BIGRAM_PATTERN)).select(*_two_words("bi_gram"), "match_count")
 
 
 def counts(cleaned: DataFrame) -> DataFrame:
@@ -54,42 +54,49 @@ def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str
     put together along the file. Runs are found over all lines, and only those
     of two all-letter words are returned, with the order of their first line.
     """
-    order, key = list(order), ["gram0", "gram1"]
-    lines = ngrams.select(file, *order, block.alias(BLOCK), *split_words(), "match_count")
+    order = list(order)
+    # The first two words as one string; never NULL, so NULL can mean "no neighbour".
+    pair = F.coalesce(F.substring_index("bi_gram", " ", 2), F.lit(""))
+    lines = ngrams.select(file, *order, block.alias(BLOCK), pair.alias("_pair"), "match_count")
     piece = Window.partitionBy(file, BLOCK).orderBy(*order)
-    begins = (F.row_number().over(piece) == 1) | ~_same_as_previous(key, piece)
-    marked = lines.withColumns({"_begins": begins, "_ends_piece": F.lead(F.lit(False), 1, True).over(piece)})
-    numbered = marked.withColumn(
-        "_run", F.sum(F.col("_begins").cast("bigint")).over(piece.rowsBetween(Window.unboundedPreceding, 0))
+    marked = lines.withColumns(
+        {
+            "_begins": ~F.col("_pair").eqNullSafe(F.lag("_pair").over(piece)),
+            "_last": F.lead("_pair").over(piece).isNull(),
+        }
     )
+    run = F.sum(F.col("_begins").cast("bigint")).over(piece.rowsBetween(Window.unboundedPreceding, 0))
     # Same partitioning as the window: no further shuffle.
-    runs = numbered.groupBy(file, BLOCK, "_run", *key).agg(
-        *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
-        F.sum("match_count").alias("matchcount"),
-        F.max("_ends_piece").alias("_last"),
+    runs = (
+        marked.withColumn("_run", run)
+        .groupBy(file, BLOCK, "_run", "_pair")
+        .agg(
+            *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
+            F.sum("match_count").alias("matchcount"),
+            F.max("_last").alias("_last"),
+        )
     )
     inner = runs.where((F.col("_run") > 1) & ~F.col("_last"))
 
     along = Window.partitionBy(file).orderBy(BLOCK, "_run")
-    goes_on = (F.col("_run") == 1) & _same_as_previous(key, along) & F.lag("_last", 1, False).over(along)
-    edges = runs.where((F.col("_run") == 1) | F.col("_last")).withColumn("_goes_on", goes_on)
+    continues = F.lag("_last", 1, False).over(along) & F.col("_pair").eqNullSafe(F.lag("_pair").over(along))
+    edges = runs.where((F.col("_run") == 1) | F.col("_last")).withColumn(
+        "_begins", ~((F.col("_run") == 1) & continues)
+    )
+    whole = F.sum(F.col("_begins").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, 0))
     stitched = (
-        edges.withColumn(
-            "_whole", F.sum((~F.col("_goes_on")).cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        .groupBy(file, "_whole", *key)
+        edges.withColumn("_whole", whole)
+        .groupBy(file, "_whole", "_pair")
         .agg(
-            *[F.max(F.when(~F.col("_goes_on"), F.col(c))).alias(c) for c in order],
+            *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
             F.sum("matchcount").alias("matchcount"),
         )
     )
-    columns = [file, *order, *key, "matchcount"]
-    return inner.select(*columns).unionByName(stitched.select(*columns)).where(usable())
-
-
-def _same_as_previous(key: Sequence[str], along: WindowSpec) -> Column:
-    same = [F.col(c).eqNullSafe(F.lag(c).over(along)) for c in key]
-    return reduce(Column.__and__, same)
+    columns = [file, *order, "_pair", "matchcount"]
+    found = inner.select(*columns).unionByName(stitched.select(*columns))
+    return found.where(F.col("_pair").rlike(BIGRAM_PATTERN)).select(
+        file, *order, *_two_words("_pair"), "matchcount"
+    )
 
 
 def file_slice(ngrams: DataFrame, first: int, last: int, file: str = "file_no") -> DataFrame:

@@ -54,3 +54,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Input up to this size is worth one shuffle to occupy all cores.
+SPREAD_BYTES = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input to all cores before costly row-wise work.
+
+    A small file has few row groups and would keep few cores busy. Larger
+    input has splits enough and is returned as it is, without a shuffle.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SPREAD_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

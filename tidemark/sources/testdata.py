@@ -1,8 +1,8 @@
 """Mappings from the supplied tables to the record kinds of this package.
 
 The supplied tables hold no social or device messages, so these functions
-derive them, whole table to whole table and without a shuffle, in the form
-they would arrive in: JSON text, binary bodies, tab separated lines.
+derive them, row by row and whole table to whole table, in the form they would
+arrive in: JSON text, binary bodies, tab separated lines.
 """
 
 from __future__ import annotations
@@ -11,15 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Columns of the documents, dealt to all cores while the table is small."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return table(spark, sf_dir, "events").withColumn("kk", k)
+    return spread(table(spark, sf_dir, "events")).withColumn("kk", k)
 
 
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +120,7 @@ def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``file_no`` plays the corpus file; (doc_id, pos) is the line order in it.
     """
     # Split in a step of its own: the generator below uses the list three times.
-    split = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "[ \t\r\n]").alias("ws"))
+    split = documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.split("text", "[ \t\r\n]").alias("ws"))
     pairs = F.arrays_zip(F.col("ws").alias("w1"), F.slice("ws", F.lit(2), F.size("ws")).alias("w2"))
     return (
         split.select("doc_id", F.posexplode(pairs).alias("pos", "pair"))
