@@ -52,6 +52,13 @@ def walk_index(cumulative: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_R
     return skew.salted_join(slotted, following, ["gram1"], spread=spread, how="left")
 
 
+def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
+    """Where each walker's draw falls in the range of its word; NULL at the end of a walk."""
+    place = draws.draw(seed, F.col("walk_id"), F.col("words")) % F.col("total")
+    placed = walkers.withColumn("place", place)
+    return placed.withColumn("slot", F.expr("place div width")).drop("total", "width")
+
+
 def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
     """One move of every walker that has somewhere to go."""
     candidates = skew.stored_join(walkers, index, ["gram0", "slot"], spread=F.col("walk_id"))
@@ -59,7 +66,8 @@ def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
     return _drawn(
         moved.select(
             "walk_id",
-            (F.col("step") + 1).alias("step"),
+            (F.col("words") + 1).alias("words"),
+            F.concat_ws(" ", "phrase", "gram1").alias("phrase"),
             F.col("gram1").alias("gram0"),
             F.col("next_total").alias("total"),
             F.col("next_width").alias("width"),
@@ -68,13 +76,6 @@ def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
-    """Where each walker's draw falls in the range of its word; NULL at the end of a walk."""
-    place = draws.draw(seed, F.col("walk_id"), F.col("step")) % F.col("total")
-    placed = walkers.select("walk_id", "step", "gram0", "width", place.alias("place"))
-    return placed.withColumn("slot", F.expr("place div width")).drop("width")
-
-
 def walk(
     cumulative: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42, slot_rows: int = SLOT_ROWS
 ) -> DataFrame:
@@ -82,21 +83,26 @@ def walk(
 
     ``seeds`` is (walk_id, word) with unique ids. Step k of a walk draws a
     number from (seed, walk_id, k) and takes the successor whose range holds
-    it. A walk ends early at a word without successor. Each step is one join,
-    written to the shared folder: that cuts the lineage and is the history.
+    it. A walk ends early at a word without successor. Each step is one join
+    of the walks still going, written to the shared folder; a walk carries its
+    phrase along, so the finished ones need no further shuffle.
     """
     cumulative = materialize(cumulative, "ranges")
     ranges = materialize(word_ranges(cumulative, slot_rows), "words")
     index = materialize(walk_index(cumulative, ranges, slot_rows), "index")
     start = skew.salted_join(seeds.select("walk_id", "word"), ranges, ["word"], spread=F.col("walk_id"), how="left")
-    first = start.select("walk_id", F.lit(1).alias("step"), F.col("word").alias("gram0"), "total", "width")
+    first = start.select(
+        "walk_id",
+        F.lit(1).alias("words"),
+        F.col("word").alias("phrase"),
+        F.col("word").alias("gram0"),
+        "total",
+        "width",
+    )
     steps = [materialize(_drawn(first, seed), "step-1")]
+    ended = []
     for k in range(2, max_words + 1):
-        going = steps[-1].where(F.col("place").isNotNull())
-        steps.append(materialize(_step(going, index, seed), f"step-{k}"))
-    history = reduce(DataFrame.unionByName, [s.select("walk_id", "step", "gram0") for s in steps])
-    # At most max_words rows per walk come together here.
-    ordered = history.groupBy("walk_id").agg(F.sort_array(F.collect_list(F.struct("step", "gram0"))).alias("_path"))
-    return ordered.select(
-        "walk_id", F.size("_path").alias("words"), F.concat_ws(" ", F.col("_path.gram0")).alias("phrase")
-    )
+        going = F.col("place").isNotNull()
+        ended.append(steps[-1].where(~going))
+        steps.append(materialize(_step(steps[-1].where(going), index, seed), f"step-{k}"))
+    return reduce(DataFrame.unionByName, [*ended, steps[-1]]).select("walk_id", "words", "phrase")

@@ -36,6 +36,7 @@ def read_metric_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_metric_csv(metrics: DataFrame, path: str, mode: str = "append") -> None:
+    """Head-less metric rows, added to what is there or replacing it."""
     metrics.select("g", "k", "t", "v").write.mode(mode).csv(path)
 
 

@@ -11,7 +11,6 @@ from ..operators import messages as msg
 from ..operators import metrics as mt
 from ..operators import words as wd
 from ..plans import topic_report
-from ..sources.files import write_metric_csv
 from ..sources.store import TableStore
 
 WATERMARK = "10 minutes"
@@ -123,10 +122,6 @@ def latest_averages(envelopes: DataFrame, path: str, checkpoint: str, interval:
     return start(envelopes.writeStream.foreachBatch(take), checkpoint, interval)
 
 
-def overwrite_metric_csv(metrics: DataFrame, path: str) -> None:
-    write_metric_csv(metrics, path, mode="overwrite")
-
-
 def top_tags_snapshot(
     lines: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None
 ) -> StreamingQuery:
