@@ -10,6 +10,7 @@ from test_social import TOMBSTONE, message
 from tidemark import schemas
 from tidemark.operators import messages as msg
 from tidemark.operators import metrics, words
+from tidemark.operators import topics as tp
 from tidemark.plans import topic_report
 from tidemark.sources import files, streams
 from tidemark.sources.store import TableStore
@@ -211,3 +212,31 @@ def test_kafka_options():
     assert options["subscribe"] == "t"
     assert options["minPartitions"] == "4"
     assert options["kafka.group.id"] == "g"
+
+
+def test_windows_of_a_stream_equal_the_batch(spark, rows, tmp_path):
+    landing = tmp_path / "in"
+    hour = lambda h: f"2024-01-01 {h:02d}:30:00"
+    texts = [
+        message(i, f"u{i % 5}", [f"t{i % 3}", "x"], text=f"#t{i % 3} @u{i % 4} #x", created=hour(i // 8))
+        for i in range(60)
+    ]
+    land(landing, "0.json", texts)
+    land(landing, "1.json", [message(99, "end", ["z"], text="#z", created="2024-01-03 00:00:00")])
+    stream = lambda: streams.text_lines(spark, str(landing))
+    jobs.drain(jobs.topic_windows(stream(), str(tmp_path / "w"), str(tmp_path / "p1"), "1 hour"))
+    jobs.drain(jobs.commentators(stream(), str(tmp_path / "c"), str(tmp_path / "p2"), "1 hour"))
+    m = msg.parse(spark.createDataFrame([(t,) for t in texts], "value string"))
+    by_stream = tp.rank_windows(spark.read.parquet(str(tmp_path / "w")), 2)
+    assert rows(by_stream) == rows(tp.top_topics_per_window(m, 2, "1 hour"))
+    assert by_stream.count() == 16
+    people = tp.top_commentators(spark.read.parquet(str(tmp_path / "c")), 1)
+    assert rows(people) == rows(tp.topic_commentators(m, 1, "1 hour"))
+
+
+def test_stream_of_sums(spark, rows, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    envelopes(spark, path, [(0, "1"), (59, "2"), (60, "4"), (61, "bad"), (9_000, "0")])
+    jobs.drain(jobs.metric_sums(streams.envelope_files(spark, path), out, str(tmp_path / "p")))
+    got = spark.read.parquet(out).select(F.unix_seconds("window_start"), "total_value")
+    assert rows(got) == [(0, 3.0), (60, 4.0)]

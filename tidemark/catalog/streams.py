@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import messages as msg
+from ..operators import topics as tp
 from ..session import scratch_path
 from ..sources import files, streams, testdata
 from ..sources.store import TableStore
@@ -102,3 +103,21 @@ def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = jobs.unique_messages(streams.text_lines(spark, path)).select("id", "created_at")
     jobs.drain(jobs.file_sink(unique, out, scratch_path(spark, "progress"), "json"))
     return spark.read.schema("id bigint, created_at string").json(out)
+
+
+@query(f"""WITH {MESSAGES},
+per_window AS (SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, unnest(tags) AS topic FROM msg),
+sums AS (SELECT window_start, topic, count(*) AS num_tweets FROM per_window GROUP BY ALL),
+placed AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY window_start ORDER BY num_tweets DESC, topic) AS INTEGER)
+            AS num_tweets_rnk FROM sums)
+SELECT * FROM placed WHERE num_tweets_rnk <= 3
+AND window_start + INTERVAL '2 hours' <= (SELECT max(sent) FROM msg) - INTERVAL '10 minutes'""")
+def stream_top_topics_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows counted by a stream, ranked once they are closed."""
+    path, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
+    testdata.message_lines(spark, sf_dir).write.text(path)
+    # One trigger takes all files: they land in any order, and late rows would be dropped.
+    jobs.drain(jobs.topic_windows(streams.text_lines(spark, path), out, scratch_path(spark, "progress")))
+    top = tp.rank_windows(spark.read.parquet(out), 3)
+    return top.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

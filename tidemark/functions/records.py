@@ -22,3 +22,8 @@ def field_or(value: Column, default: str = "") -> Column:
 def number(text: Column) -> Column:
     """Tolerant text to double: bad text gives NULL instead of an error."""
     return text.try_cast("double")
+
+
+def any_shape(text: Column) -> Column:
+    """JSON text of unknown shape as a variant; NULL where it is no JSON."""
+    return F.try_parse_json(text)

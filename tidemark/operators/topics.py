@@ -35,22 +35,34 @@ def top_topics(counts: DataFrame, n: int = 3) -> DataFrame:
     return best.select("topic", "num_tweets", rank.alias("num_tweets_rnk"))
 
 
-def top_topics_per_window(messages: DataFrame, n: int = 3, window: str = "2 hours") -> DataFrame:
-    """The N most frequent topics of every event-time window."""
-    counts = (
-        msg.with_time(msg.live(messages))
-        .select(F.window("ts", window).alias("w"), F.explode("entities.hashtags.text").alias("topic"))
-        .groupBy("w", "topic")
-        .agg(F.count("*").alias("num_tweets"))
-    )
-    rank = F.dense_rank().over(Window.partitionBy("w").orderBy(F.desc("num_tweets"), "topic"))
+def windowed_counts(timed: DataFrame, window: str = "2 hours") -> DataFrame:
+    """(window_start, topic, num_tweets) of live messages that carry ``ts``.
+
+    Also runs on a stream whose ``ts`` has a watermark.
+    """
     return (
-        counts.withColumn("num_tweets_rnk", rank)
-        .where(F.col("num_tweets_rnk") <= n)
-        .select(F.col("w.start").alias("window_start"), "topic", "num_tweets", "num_tweets_rnk")
+        timed.select("ts", F.explode("entities.hashtags.text").alias("topic"))
+        .groupBy(F.window("ts", window).alias("_w"), "topic")
+        .agg(F.count("*").alias("num_tweets"))
+        .select(F.col("_w.start").alias("window_start"), "topic", "num_tweets")
     )
 
 
+def rank_windows(counts: DataFrame, n: int = 3) -> DataFrame:
+    """The N most frequent topics of every window, with their rank.
+
+    The rank limit is applied before the shuffle, so a window brings at most N
+    rows per task.
+    """
+    rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(F.desc("num_tweets"), "topic"))
+    return counts.withColumn("num_tweets_rnk", rank).where(F.col("num_tweets_rnk") <= n)
+
+
+def top_topics_per_window(messages: DataFrame, n: int = 3, window: str = "2 hours") -> DataFrame:
+    """The N most frequent topics of every event-time window."""
+    return rank_windows(windowed_counts(msg.with_time(msg.live(messages)), window), n)
+
+
 def topic_users(users: DataFrame, topics: DataFrame) -> DataFrame:
     """Authors joined with topics on the message id, as (user, topic, n).
 
@@ -108,36 +120,42 @@ def _tokens_with(text: Column, mark: str) -> Column:
     return F.filter(F.split(text, " "), lambda w: F.startswith(w, F.lit(mark)))
 
 
-def topic_commentators(messages: DataFrame, n: int = 10, window: str = "2 hours") -> DataFrame:
-    """The N most frequent text topics of every window and who took part.
+def commentator_pairs(timed: DataFrame, window: str = "2 hours") -> DataFrame:
+    """(window_start, topic, commentator, written) of live messages that carry ``ts``.
 
     Topics are the ``#`` words of the text; commentators are the author and
-    the ``@`` words. A topic's commentators come as one row each, because the
-    list of a hot topic has no bound; ``written`` counts the occurrences of
-    the topic that the commentator wrote.
+    the ``@`` words. ``written`` counts the occurrences of the topic that the
+    commentator wrote. Also runs on a stream whose ``ts`` has a watermark.
     """
-    keys = ["window_start", "topic"]
-    timed = msg.with_time(msg.live(messages)).withColumn("_w", F.window("ts", window))
     tagged = timed.select(
-        F.col("_w.start").alias("window_start"),
+        "ts",
         F.concat(F.array(F.col("user.screen_name")), _tokens_with(F.col("text"), "@")).alias("_people"),
         F.explode(_tokens_with(F.col("text"), "#")).alias("topic"),
     )
-    # The author stands first in the list, so authors add up to the topic's occurrences.
-    pairs = (
-        tagged.select(*keys, F.posexplode("_people").alias("_pos", "commentator"))
-        .groupBy(*keys, "commentator")
+    # The author stands first in the list.
+    people = tagged.select("ts", "topic", F.posexplode("_people").alias("_pos", "commentator"))
+    return (
+        people.groupBy(F.window("ts", window).alias("_w"), "topic", "commentator")
         .agg(F.sum((F.col("_pos") == 0).cast("bigint")).alias("written"))
+        .select(F.col("_w.start").alias("window_start"), "topic", "commentator", "written")
     )
-    rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(F.desc("num_tweets"), "topic"))
-    top = (
-        pairs.groupBy(*keys)
-        .agg(F.sum("written").alias("num_tweets"))
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+
+
+def top_commentators(pairs: DataFrame, n: int = 10) -> DataFrame:
+    """The pairs of the N most frequent topics of every window.
+
+    Authors add up to a topic's occurrences, ``num_tweets``. Commentators come
+    as one row each, because the list of a hot topic has no bound.
+    """
+    keys = ["window_start", "topic"]
+    counts = pairs.groupBy(*keys).agg(F.sum("written").alias("num_tweets"))
+    top = rank_windows(counts, n).drop("num_tweets_rnk")
     # A hot topic's people are cut into pieces by name, each with its own copy of the count.
     part = F.pmod(F.xxhash64("commentator"), F.lit(_PIECES)).cast("int")
     pieces = top.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PIECES - 1))))
     return pairs.withColumn("_part", part).join(pieces, [*keys, "_part"]).drop("_part")
+
+
+def topic_commentators(messages: DataFrame, n: int = 10, window: str = "2 hours") -> DataFrame:
+    """The N most frequent text topics of every window and who took part."""
+    return top_commentators(commentator_pairs(msg.with_time(msg.live(messages)), window), n)

@@ -30,6 +30,12 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MESSAGE).json(path)
 
 
+def schema_of_line(spark: SparkSession, line: str) -> T.StructType:
+    """The schema of one sample JSON line: a help for writing schemas, not used on data."""
+    kind = spark.range(1).select(F.schema_of_json(F.lit(line))).first()[0]
+    return T.StructType.fromDDL(kind.removeprefix("STRUCT<").removesuffix(">"))
+
+
 def read_metric_csv(spark: SparkSession, path: str) -> DataFrame:
     """Head-less metric rows from one CSV file, a folder or a glob."""
     return spark.read.schema(schemas.METRIC_CSV).csv(path)

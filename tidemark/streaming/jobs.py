@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators import messages as msg
 from ..operators import metrics as mt
+from ..operators import topics as tp
 from ..operators import words as wd
 from ..plans import topic_report
 from ..sources.store import TableStore
@@ -72,6 +73,39 @@ def history_report(store: TableStore, n: int = 3) -> topic_report.TopicReport:
     return topic_report.from_relations(store.read("topics"), store.read("users"), store.read("mentions"), n)
 
 
+def _timed(lines: DataFrame, watermark: str) -> DataFrame:
+    return msg.with_time(msg.live(msg.parse(lines))).withWatermark("ts", watermark)
+
+
+def topic_windows(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "2 hours",
+    watermark: str = WATERMARK,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Topic counts of closed windows, as a table for :func:`.topics.rank_windows`.
+
+    Spark does not rank inside a stream; the finished windows are ranked on read.
+    """
+    counts = tp.windowed_counts(_timed(lines, watermark), window)
+    return file_sink(counts, path, checkpoint, "parquet", interval)
+
+
+def commentators(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = "2 hours",
+    watermark: str = WATERMARK,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Topic and commentator pairs of closed windows, for :func:`.topics.top_commentators`."""
+    pairs = tp.commentator_pairs(_timed(lines, watermark), window)
+    return file_sink(pairs, path, checkpoint, "parquet", interval)
+
+
 def slim_messages(lines: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """(id, author, tweet) of every live message, appended as parquet."""
     slim = msg.slim(msg.parse(lines))
@@ -80,8 +114,7 @@ def slim_messages(lines: DataFrame, path: str, checkpoint: str, interval: str |
 
 def unique_messages(lines: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Live messages with repeats of an id dropped within the watermark."""
-    timed = msg.with_time(msg.live(msg.parse(lines)))
-    return timed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["id"])
+    return _timed(lines, watermark).dropDuplicatesWithinWatermark(["id"])
 
 
 def file_sink(
@@ -112,6 +145,20 @@ def metric_averages(
     return file_sink(mt.windowed_average(rows, size, slide), path, checkpoint, "parquet", interval)
 
 
+def metric_sums(
+    envelopes: DataFrame,
+    path: str,
+    checkpoint: str,
+    size: str = "1 minute",
+    watermark: str = WATERMARK,
+    epoch_offset_ms: int = 0,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Sums per metric of closed windows."""
+    rows = mt.with_time(mt.metric_rows(envelopes), epoch_offset_ms).withWatermark("ts", watermark)
+    return file_sink(mt.windowed_sum(rows, size), path, checkpoint, "parquet", interval)
+
+
 def latest_averages(envelopes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Averages of the newest mini-batch, overwriting those of the one before."""
 
@@ -144,8 +191,8 @@ def tags_sliding(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Tag counts per sliding window of the messages' own time."""
-    timed = msg.with_time(msg.live(msg.parse(lines))).withWatermark("ts", watermark)
-    return file_sink(wd.tags_sliding(timed, "text", size, slide), path, checkpoint, "parquet", interval)
+    tags = wd.tags_sliding(_timed(lines, watermark), "text", size, slide)
+    return file_sink(tags, path, checkpoint, "parquet", interval)
 
 
 def word_counts(lines: DataFrame, name: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
