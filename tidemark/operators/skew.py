@@ -9,16 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys are treated as hot, so the hot list may be broadcast.
-HOT_KEYS = 1000
+HOT_KEYS = 10_000
+# Fewer rows than this are no burden for one task.
 HOT_ROWS = 100_000
+# Tasks over which one hot key is spread.
 SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """The heaviest keys of ``df``: never more than HOT_KEYS rows.
 
-    A key with more than a thousandth of all rows is always among them. The
-    count is combined map-side, and the selection is a top-k, not a sort.
+    A key with more than one row in HOT_KEYS is always among them. The count is
+    combined map-side, and the selection is a top-k, not a sort.
     """
     return (
         df.groupBy(*keys)

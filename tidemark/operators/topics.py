@@ -67,7 +67,7 @@ def topic_users(users: DataFrame, topics: DataFrame) -> DataFrame:
     """Authors joined with topics on the message id, as (user, topic, n).
 
     Both sides are counted per message first, so copies of a message multiply
-    as numbers and not as rows.
+    as numbers and not as rows. Adaptive execution can split a hot id here too.
     """
     left = users.groupBy("id", "user").agg(F.count("*").alias("_u"))
     right = topics.groupBy("id", "topic").agg(F.count("*").alias("_t"))
@@ -88,13 +88,13 @@ def top_topic_names(names: DataFrame, topics: DataFrame, top: DataFrame, n: int,
     """Who goes with the top topics, from stored relations joined on id.
 
     ``names`` is the users or the mentions relation and ``who`` its name
-    column. Topics shrink to one row per message that holds its top topics,
-    and copies in ``names`` are merged, so the join gives one row per name and
-    message, and only messages with a top topic get that far.
+    column. Copies are merged on both sides before the join, and a message
+    brings at most N topics. Both sides reach the join straight from a
+    shuffle, so adaptive execution can split an id that many rows share.
     """
-    tagged = _restrict(topics, top, n).groupBy("id").agg(F.collect_set("topic").alias("_topics"))
+    tagged = _restrict(topics, top, n).select("id", "topic").distinct()
     pairs = names.select("id", who).distinct().join(tagged, "id")
-    return _topic_sets(pairs.select(who, F.explode("_topics").alias("topic")), who)
+    return _topic_sets(pairs, who)
 
 
 def top_topic_users(messages: DataFrame, top: DataFrame, n: int) -> DataFrame:

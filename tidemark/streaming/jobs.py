@@ -55,7 +55,7 @@ def topic_history(
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        messages = msg.live(msg.parse(batch)).persist()
+        messages = msg.live(msg.parse(batch)).select("id", "user", "entities").persist()
         try:
             store.write_batch(msg.topics(messages), "topics", query_id, batch_id)
             store.write_batch(msg.users(messages), "users", query_id, batch_id)
