@@ -196,23 +196,20 @@ def test_walk_against_a_hand_walk(spark, totals, monkeypatch, slot_rows, hot_row
         monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
         monkeypatch.setattr(skew.hot_keys, "__defaults__", (hot_rows,))
     seeds = [(i, "the" if i % 3 else "ax") for i in range(60)] + [(60, "unknown"), (61, "")]
-    got = walks.walk(
-        transitions.cumulative(totals), spark.createDataFrame(seeds, "walk_id bigint, word string"), 7, 3, slot_rows
-    )
+    got = walks.walk(totals, spark.createDataFrame(seeds, "walk_id bigint, word string"), 7, 3, slot_rows)
     assert {r.walk_id: (r.words, r.phrase) for r in got.collect()} == _walk_by_hand(totals, seeds, 7, 3)
 
 
 def test_one_word_walk_is_the_seed(spark, totals, rows):
     seeds = spark.createDataFrame([(1, "the")], "walk_id bigint, word string")
-    assert rows(walks.walk(transitions.cumulative(totals), seeds, 1)) == [(1, 1, "the")]
+    assert rows(walks.walk(totals, seeds, 1)) == [(1, 1, "the")]
 
 
 def test_walk_differs_by_seed_and_repeats(spark, totals, rows):
     seeds = spark.createDataFrame([(i, "the") for i in range(30)], "walk_id bigint, word string")
-    cdf = transitions.cumulative(totals)
-    first = rows(walks.walk(cdf, seeds, 5, 1))
-    assert first == rows(walks.walk(cdf, seeds, 5, 1))
-    assert first != rows(walks.walk(cdf, seeds, 5, 2))
+    first = rows(walks.walk(totals, seeds, 5, 1))
+    assert first == rows(walks.walk(totals, seeds, 5, 1))
+    assert first != rows(walks.walk(totals, seeds, 5, 2))
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import draws
 from ..session import materialize
 from . import skew
+from .transitions import cumulative
 
 # Successors that one slot of a word holds on average.
 SLOT_ROWS = 64
@@ -21,15 +22,13 @@ def _with_width(df: DataFrame, slot_rows: int) -> DataFrame:
     return df.withColumn("width", F.expr(f"(total + {slots} - 1) div {slots}"))
 
 
-def word_ranges(cumulative: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def word_ranges(totals: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """(word, total, width) of every word that has a successor."""
-    words = cumulative.groupBy(F.col("gram0").alias("word")).agg(
-        F.max("total").alias("total"), F.max("size").alias("size")
-    )
+    words = totals.groupBy(F.col("gram0").alias("word")).agg(F.sum("n").alias("total"), F.count("*").alias("size"))
     return _with_width(words, slot_rows).drop("size")
 
 
-def walk_index(cumulative: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def walk_index(totals: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Successor ranges keyed by (gram0, slot), with the range of the next word.
 
     A word's range is cut into slots of equal length, about ``slot_rows``
@@ -38,7 +37,7 @@ def walk_index(cumulative: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_R
     word fall into many keys. A successor wider than a slot is entered in each
     slot it touches: at most one extra row per slot.
     """
-    slotted = _with_width(cumulative, slot_rows).select(
+    slotted = _with_width(cumulative(totals), slot_rows).select(
         "gram0",
         "gram1",
         "cum_lo",
@@ -48,8 +47,10 @@ def walk_index(cumulative: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_R
     following = ranges.select(
         F.col("word").alias("gram1"), F.col("total").alias("next_total"), F.col("width").alias("next_width")
     )
+    # Frequent next words, counted on the stored table and not on the slots made from it.
+    hot = skew.hot_keys(totals, ["gram1"])
     spread = F.struct("gram0", "slot")
-    return skew.salted_join(slotted, following, ["gram1"], spread=spread, how="left")
+    return skew.salted_join(slotted, following, ["gram1"], spread=spread, how="left", hot=hot)
 
 
 def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
@@ -77,19 +78,18 @@ def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
 
 
 def walk(
-    cumulative: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42, slot_rows: int = SLOT_ROWS
+    totals: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42, slot_rows: int = SLOT_ROWS
 ) -> DataFrame:
     """(walk_id, words, phrase) for every seed, at most ``max_words`` words long.
 
-    ``seeds`` is (walk_id, word) with unique ids. Step k of a walk draws a
+    ``totals`` is a stored (gram0, gram1, n) table and ``seeds`` is (walk_id, word) with unique ids. Step k of a walk draws a
     number from (seed, walk_id, k) and takes the successor whose range holds
     it. A walk ends early at a word without successor. Each step is one join
     of the walks still going, written to the shared folder; a walk carries its
     phrase along, so the finished ones need no further shuffle.
     """
-    cumulative = materialize(cumulative, "ranges")
-    ranges = materialize(word_ranges(cumulative, slot_rows), "words")
-    index = materialize(walk_index(cumulative, ranges, slot_rows), "index")
+    ranges = materialize(word_ranges(totals, slot_rows), "ranges")
+    index = materialize(walk_index(totals, ranges, slot_rows), "index")
     start = skew.salted_join(seeds.select("walk_id", "word"), ranges, ["word"], spread=F.col("walk_id"), how="left")
     first = start.select(
         "walk_id",

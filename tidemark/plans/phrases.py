@@ -16,4 +16,4 @@ def corpus_counts(ngrams: DataFrame, first_two: bool = False) -> DataFrame:
 def phrases(counts: DataFrame, seeds: DataFrame, max_words: int, seed: int = 42) -> DataFrame:
     """One phrase per seed, drawn from the next-word distribution of the counts."""
     totals = materialize(transitions.totals(counts), "totals")
-    return walks.walk(transitions.cumulative(totals), seeds, max_words, seed)
+    return walks.walk(totals, seeds, max_words, seed)
