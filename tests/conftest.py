@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import drop_scratch, local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,6 +17,7 @@ def spark():
     session = local_session("tests", cores=8, partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tidemark import schemas
 from tidemark.operators import lines, scan, series
-from tidemark.session import materialize
+from tidemark.session import materialize, shared_folder
 from tidemark.sources import files
 
 
@@ -102,4 +102,7 @@ def test_materialized_tables_are_read_from_the_shared_folder(spark, rows):
     df = spark.range(5).withColumn("v", F.rand())
     stored = materialize(df, "random")
     assert rows(stored) == rows(stored)
-    assert len(stored.inputFiles()) > 0
+    files_read = stored.inputFiles()
+    assert files_read
+    assert all(shared_folder(spark).removeprefix("file:") in f for f in files_read)
+    assert all(spark.sparkContext.applicationId in f for f in files_read)

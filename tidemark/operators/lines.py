@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 # Up to so many wanted lines the summary of their splits is broadcast.
-_BROADCAST_LINES = 1_000_000
+_BROADCAST_LINES = 100_000
 
 
 def numbered_lines(spark: SparkSession, path: str, lo: int = 1, hi: int | None = None) -> DataFrame:

@@ -39,9 +39,23 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, never reused by another call."""
-    return f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove what this application stored below the shared folder.
+
+    Results read their intermediate tables lazily, so call this only once they
+    have been written elsewhere or are no longer needed.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
