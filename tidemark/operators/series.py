@@ -24,7 +24,12 @@ def sine(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 
 
 def running_mean(
-    points: DataFrame, series: str = "series", x: str = "x", y: str = "y", span: int = 1_000_000, min_rows: int = skew.HOT_ROWS
+    points: DataFrame,
+    series: str = "series",
+    x: str = "x",
+    y: str = "y",
+    span: int = 1_000_000,
+    min_rows: int = skew.HOT_ROWS,
 ) -> DataFrame:
     """Mean of all points of the series up to this one, by ``x``.
 
