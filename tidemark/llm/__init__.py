@@ -26,4 +26,4 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    from . import suffix_dedup  # noqa: F401
+    from . import near_dup, suffix_dedup  # noqa: F401
