@@ -149,7 +149,7 @@ def _limits(runs: DataFrame, rate: float) -> DataFrame:
     return bins.where(low).groupBy("band").agg(F.min("bin").alias("last"))
 
 
-def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
+def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """``doc_id, spans, base`` for every row: arrays of (start, kind, end).
 
     ``base`` has the pattern matches, ``spans`` the random runs too; kind is a place in
