@@ -58,12 +58,13 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0
     """
     whole, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    # Zipped first: a lambda that named the arrays would find them anew for each match.
     rows = F.transform(
-        whole,
-        lambda m, i: F.struct(
-            F.length(F.get(pieces, i)).cast("bigint").alias("gap"),
-            F.length(m).cast("bigint").alias("size"),
-            (F.length(F.get(groups, i)) >= least).alias("good"),
+        F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), groups.alias("part")),
+        lambda x: F.struct(
+            F.length(x["piece"]).cast("bigint").alias("gap"),
+            F.length(x["whole"]).cast("bigint").alias("size"),
+            F.coalesce(F.length(x["part"]) >= least, F.lit(False)).alias("good"),
         ),
     )
     nothing = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
