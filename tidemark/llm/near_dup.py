@@ -9,10 +9,11 @@ probability 0.67 at least, so ten trees miss one pair in 50,000 or fewer, and mo
 such a pair is joined by other links too.
 
 Only links that can join two components matter. A large node first compares all its
-documents with its smallest one, which settles groups of near copies at the cost of
-one comparison each; then a node goes on only while it holds several components, and
-compares only documents of different components. Documents with equal sets take part
-as one. Comparisons pass three filters: set size, 64 bits of the tokens, then the full sets.
+documents with its first and its last one, which settles groups of near copies at the
+cost of two comparisons each. From then on only documents of different components are
+compared, and a node counts as small once few documents are outside its largest
+component. Documents with equal sets take part as one. Comparisons pass three filters:
+set size, 64 bits of the tokens, then the full sets.
 """
 
 from __future__ import annotations
@@ -109,6 +110,21 @@ def _alike(x: str, y: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differing <= _ALLOWED)
 
 
+def _sized(nodes: DataFrame) -> DataFrame:
+    """Rows of nodes with several components: the largest one ``main``, the number of rows
+    of ``others``, and the rows with the smallest and the largest id."""
+    row = F.struct("d", "n", "bits", "c")
+    parts = nodes.groupBy("node", "c").agg(F.count("*").alias("k"), F.min(row).alias("low"), F.max(row).alias("high"))
+    heads = parts.groupBy("node").agg(
+        F.max(F.struct("k", "c")).alias("main"),
+        F.sum("k").alias("size"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    heads = heads.select("node", F.col("main.c").alias("main"), (F.col("size") - F.col("main.k")).alias("others"), "low", "high")
+    return nodes.join(heads.where("others > 0"), "node")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 32
 ) -> DataFrame:
@@ -135,53 +151,47 @@ def near_duplicates(
     # Trees take turns through the tokens, each its own.
     picks = [F.xxhash64(F.lit(t), F.element_at("tokens", 1 + t * 37 % _SIZE)) for t in range(trees)]
     nodes = lead.select(F.explode(F.array(*picks)).alias("node"), "d", "n", "bits", F.col("d").alias("c"))
-    links, full_sets = None, None
+    roots, full_sets = None, None
     for depth in range(_DEPTH + 1):
         limit = small if depth < _DEPTH else 1 << 62
-        # A link can only come from a node with several components.
-        heads = nodes.groupBy("node").agg(
-            F.count("*").alias("size"),
-            F.min(F.struct("d", "n", "bits", "c")).alias("head"),
-            F.min("c").alias("c_min"),
-            F.max("c").alias("c_max"),
-        )
-        heads = heads.where("c_min < c_max").drop("c_min", "c_max")
-        nodes = store(nodes.join(heads, "node"), f"nodes_{depth}")
-        few, many = nodes.where(F.col("size") <= limit), nodes.where(F.col("size") > limit)
+        nodes = store(_sized(nodes), f"nodes_{depth}")
+        few, many = nodes.where(F.col("others") <= limit), nodes.where(F.col("others") > limit)
+        # Documents of the node's largest component meet all others, but not each other.
         pairs = (
-            few.alias("x")
-            .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.d") < F.col("y.d")))
-            .where((F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
+            few.where(F.col("c") != F.col("main"))
+            .alias("x")
+            .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
             .select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
         )
-        stars = (
-            many.select("head", F.struct("d", "n", "bits", "c").alias("y"))
-            .where((F.col("head.c") != F.col("y.c")) & _alike("head", "y", percent))
-            .select(F.col("head.d").alias("a"), F.col("y.d").alias("b"))
-        )
-        pairs = store(pairs.union(stars).distinct(), f"pairs_{depth}")
+        for head in ("low", "high"):
+            stars = many.select(head, F.struct("d", "n", "bits", "c").alias("y"))
+            stars = stars.where((F.col(f"{head}.c") != F.col("y.c")) & _alike(head, "y", percent))
+            pairs = pairs.union(stars.select(F.col(f"{head}.d").alias("a"), F.col("y.d").alias("b")))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = store(pairs, f"pairs_{depth}")
         if full_sets is None:
             # Deeper nodes hold a part of the documents of the large ones here.
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("d")).union(many.select("d")).distinct()
             full_sets = store(docs.join(wanted, "d", "left_semi").mapInArrow(_sets(words), "d long, set binary"), "sets")
-        found = (
+        links = (
             pairs.join(full_sets.select(F.col("d").alias("a"), F.col("set").alias("sa")), "a")
             .join(full_sets.select(F.col("d").alias("b"), F.col("set").alias("sb")), "b")
             .select("a", "b", "sa", "sb")
             .mapInArrow(_linked(percent), "a long, b long")
         )
-        links = store(found if links is None else links.union(found), f"links_{depth}")
+        # Components so far are stars, which stand for all links found before.
+        known = copies if roots is None else roots.select(F.col("d").alias("a"), F.col("root").alias("b"))
+        roots = components(known.union(links))
         if many.isEmpty():
             break
-        roots = components(links)
         nodes = many.select("node", "d", "n", "bits").join(roots, "d", "left")
-        nodes = nodes.withColumn("c", F.coalesce("root", "d")).drop("root")
-        open_nodes = nodes.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        nodes = nodes.join(open_nodes, "node", "left_semi").join(lead.select("d", "tokens"), "d")
+        nodes = store(_sized(nodes.withColumn("c", F.coalesce("root", "d")).drop("root")), f"open_{depth}")
+        # What the stars have left to little is compared as it is; the rest is dealt again.
+        ready = nodes.where(F.col("others") <= small).select("node", "d", "n", "bits", "c")
         branch = [F.element_at("tokens", (1 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(_SIZE))).cast("int")) for k in (0, 1)]
         branch = [F.xxhash64("node", F.lit(k), t) for k, t in enumerate(branch)]
-        nodes = nodes.select(F.explode(F.array(*branch)).alias("node"), "d", "n", "bits", "c")
-    roots = components(links.union(copies))
+        dealt = nodes.where(F.col("others") > small).join(lead.select("d", "tokens"), "d")
+        nodes = ready.union(dealt.select(F.explode(F.array(*branch)).alias("node"), "d", "n", "bits", "c"))
     out = sketches.select("d", "n").join(roots, "d", "left").withColumn("c", F.coalesce("root", "d"))
     return out.select(
         real_id("d").alias("doc_id"),
