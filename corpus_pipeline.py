@@ -3,11 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import decontaminate, hash_tree, mixing, near_dup, pu_toxicity
 from tidemark.llm.tables import store, table
 
-STAGES = []
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not judged toxic, by a model of four folds of the labels."""
+    labels = table(spark, sf_dir, "labels").where(~pu_toxicity.held_out())
+    scored = pu_toxicity.score(docs, *pu_toxicity.learn(docs, labels))
+    return scored.where("toxicity < 0.5").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id."""
+    copies = near_dup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("matches") == 0).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, those of rare sources several times."""
+    return mixing.mixed(docs, mixing.plan(docs))
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document's every copy."""
+    return hash_tree.sharded(docs, hash_tree.tree(8))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mix),
+    ("sharding", shards),
+]
+
+#: SQL can't express the first stage; tests/llm checks each stage against a plain version.
 ORACLE_SQL = None
 
 

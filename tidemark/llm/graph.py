@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import store
+from .tables import complete, store
 
 
+@complete
 def components(links: DataFrame) -> DataFrame:
     """``d, root`` for every linked vertex but the roots; a root is the smallest of its component.
 

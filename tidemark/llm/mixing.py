@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import query
-from .tables import store, table
+from .tables import complete, store, table
 
 _GAPS = " \t\n\x0b\x0c\r"
 
@@ -74,6 +74,7 @@ def _rank() -> Column:
     return F.xxhash64("doc_id", "text", F.lit("rank"))
 
 
+@complete
 def plan(
     docs: DataFrame,
     entropy: float = 0.95,

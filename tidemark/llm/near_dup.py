@@ -27,7 +27,7 @@ from . import query
 from .graph import components
 from .rolling import Roller, mix, text_bytes
 from .shingles import shingle_sets
-from .tables import doc_key, real_id, store, table
+from .tables import complete, doc_key, real_id, store, table
 
 _SIZE = 64  # minwise tokens of a set
 _ALLOWED = 24  # differing bits of 64 up to which a pair is compared; 8 are expected at 0.75
@@ -125,6 +125,7 @@ def _sized(nodes: DataFrame) -> DataFrame:
     return nodes.join(heads.where("others > 0"), "node")
 
 
+@complete
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 32
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import query
-from .tables import store, table
+from .tables import complete, store, table
 
 # The patterns of the base spans, in the order of their kinds.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -150,6 +150,7 @@ def _limits(runs: DataFrame, rate: float) -> DataFrame:
     return bins.where(low).groupBy("band").agg(F.min("bin").alias("last"))
 
 
+@complete
 def scan(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """``doc_id, spans, base`` for every row: arrays of (start, kind, end).
 

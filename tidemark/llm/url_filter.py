@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import query
-from .tables import store, table
+from .tables import complete, store, table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -91,6 +91,7 @@ def _possible(held):
     return test
 
 
+@complete
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", id_column: str = "page_id") -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages``.
 
