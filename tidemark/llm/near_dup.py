@@ -1,12 +1,12 @@
 """Near duplicates by a chosen-path set similarity join.
 
 Documents become sets of word shingles, and each set a row of ``_SIZE`` minwise
-tokens. A tree deals the documents to nodes by one token that a hash of the tree
-picks; a node with many documents deals them again by two further tokens that a hash
-of the node picks, and so on. Small nodes compare all their documents. Trees are
-independent: a pair of similarity 0.75 meets in a small node of one tree with
-probability 0.67 at least, so ten trees miss one pair in 50,000 or fewer, and mostly
-such a pair is joined by other links too.
+tokens. A tree deals the documents to nodes by one token that the tree picks; a node with
+many documents deals them again, four times over, by two further tokens that a hash of
+the node picks, and so on. Small nodes compare all their documents. Trees are
+independent: a pair of similarity 0.75 stays together at the root with probability 0.75
+and at each further level with 0.96, so at four levels one tree finds it with 0.65 and
+ten trees miss one pair in 30,000; mostly such a pair is joined by other links too.
 
 Only links that can join two components matter. A large node first compares all its
 documents with its first and its last one, which settles groups of near copies at the
@@ -31,6 +31,7 @@ from .tables import complete, doc_key, real_id, store, table
 
 _SIZE = 64  # minwise tokens of a set
 _ALLOWED = 24  # differing bits of 64 up to which a pair is compared; 8 are expected at 0.75
+_PICKS = 4  # times a large node deals its documents again
 _DEPTH = 12  # levels after which nodes of any size compare all their documents
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, _SIZE, dtype=np.uint64) | np.uint64(1)
 
@@ -125,9 +126,15 @@ def _sized(nodes: DataFrame) -> DataFrame:
     return nodes.join(heads.where("others > 0"), "node")
 
 
+def _child(pick: int) -> Column:
+    """A node below: the node and two of the document's tokens, whose places the node picks."""
+    places = [1 + F.pmod(F.xxhash64("node", F.lit(pick), F.lit(k)), F.lit(_SIZE)) for k in (0, 1)]
+    return F.xxhash64("node", F.lit(pick), *[F.element_at("tokens", p.cast("int")) for p in places])
+
+
 @complete
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 32
+    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 100
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -180,19 +187,23 @@ def near_duplicates(
             .select("a", "b", "sa", "sb")
             .mapInArrow(_linked(percent), "a long, b long")
         )
-        # Components so far are stars, which stand for all links found before.
-        known = copies if roots is None else roots.select(F.col("d").alias("a"), F.col("root").alias("b"))
-        roots = components(known.union(links))
+        links = store(links, f"links_{depth}")
+        news = roots is None or not links.isEmpty()
+        if news:
+            # Components so far are stars, which stand for all links found before.
+            known = copies if roots is None else roots.select(F.col("d").alias("a"), F.col("root").alias("b"))
+            roots = components(known.union(links))
         if many.isEmpty():
             break
-        nodes = many.select("node", "d", "n", "bits").join(roots, "d", "left")
-        nodes = store(_sized(nodes.withColumn("c", F.coalesce("root", "d")).drop("root")), f"open_{depth}")
+        nodes = many.select("node", "d", "n", "bits", "c")
+        if news:
+            nodes = nodes.drop("c").join(roots, "d", "left").withColumn("c", F.coalesce("root", "d")).drop("root")
+        nodes = store(_sized(nodes), f"open_{depth}")
         # What the stars have left to little is compared as it is; the rest is dealt again.
         ready = nodes.where(F.col("others") <= small).select("node", "d", "n", "bits", "c")
-        branch = [F.element_at("tokens", (1 + F.pmod(F.xxhash64("node", F.lit(k)), F.lit(_SIZE))).cast("int")) for k in (0, 1)]
-        branch = [F.xxhash64("node", F.lit(k), t) for k, t in enumerate(branch)]
         dealt = nodes.where(F.col("others") > small).join(lead.select("d", "tokens"), "d")
-        nodes = ready.union(dealt.select(F.explode(F.array(*branch)).alias("node"), "d", "n", "bits", "c"))
+        dealt = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", "bits", "c")
+        nodes = ready.union(dealt)
     out = sketches.select("d", "n").join(roots, "d", "left").withColumn("c", F.coalesce("root", "d"))
     return out.select(
         real_id("d").alias("doc_id"),
