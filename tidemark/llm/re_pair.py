@@ -13,7 +13,7 @@ import numpy as np
 
 _MAGIC = b"RPG1"
 _STEP = 256
-_ROUNDS, _PER_ROUND, _LEAST = 6, 2600, 6
+_ROUNDS, _PER_ROUND, _LEAST = 5, 3200, 6
 _HASH_BITS = 19
 
 
@@ -27,27 +27,29 @@ def _ragged(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
 def _frequent(seq: np.ndarray, end: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, places, pair number of each place) of pairs to be replaced.
 
-    Pairs are counted under a hash; of pairs that share one, one is counted exactly and
-    the others wait for a later round. No pair has the ``end`` of a document in it.
+    Pairs are counted under a hash; of pairs that share one, one stands for it and the
+    others wait for a later round. No pair has the ``end`` of a document in it.
     """
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-    slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
-    holder = np.zeros(1 << _HASH_BITS, np.uint64)
+    key = (seq[:-1].astype(np.uint32) << np.uint32(16)) | seq[1:]
+    slot = ((key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _HASH_BITS)).astype(np.intp)
+    holder = np.zeros(1 << _HASH_BITS, np.uint32)
     holder[slot] = key
-    good = (holder[slot] == key) & (seq[:-1] != end) & (seq[1:] != end)
-    count = np.bincount(slot[good], minlength=1 << _HASH_BITS)
-    best = np.argsort(-count, kind="stable")[:most] if most < len(count) else np.arange(len(count))
+    count = np.bincount(slot, minlength=1 << _HASH_BITS)
+    count[(holder >> np.uint32(16) == end) | (holder & np.uint32(0xFFFF) == end)] = 0
+    best = np.argpartition(-count, most)[:most]
     best = best[count[best] >= _LEAST]
-    number = np.full(1 << _HASH_BITS, -1, np.int64)
+    number = np.full(1 << _HASH_BITS, -1, np.int32)
     number[best] = np.arange(len(best))
     number_at = number[slot]
-    places = np.flatnonzero(good & (number_at >= 0))
-    return holder[best], places, number_at[places]
+    places = np.flatnonzero(number_at >= 0)
+    number_at = number_at[places]
+    same = holder[best][number_at] == key[places]
+    return holder[best], places[same], number_at[same]
 
 
 def compress(ids: np.ndarray, terminals: int, end: int) -> bytes:
     """The grammar of ``ids``, which are below ``terminals`` < 65,536."""
-    seq = ids.astype(np.uint32)
+    seq = ids.astype(np.uint16)
     left, right, bounds, top = [], [], [terminals], terminals
     for _ in range(_ROUNDS):
         most = min(_PER_ROUND, 65_536 - top)
@@ -66,8 +68,8 @@ def compress(ids: np.ndarray, terminals: int, end: int) -> bytes:
         keep[places + 1] = False
         seq[places] = top + number
         seq = seq[keep]
-        left.append((pairs >> np.uint64(32)).astype(np.uint16))
-        right.append((pairs & np.uint64(0xFFFFFFFF)).astype(np.uint16))
+        left.append((pairs >> np.uint32(16)).astype(np.uint16))
+        right.append((pairs & np.uint32(0xFFFF)).astype(np.uint16))
         top += len(pairs)
         bounds.append(top)
     left = np.concatenate([np.zeros(0, np.uint16), *left])

@@ -23,7 +23,7 @@ from . import query
 from .re_pair import Grammar, compress
 from .tables import doc_key, real_id, store, table
 
-#: Words whose ids a tokenizing process remembers before it starts anew.
+#: Pieces in a tokenizing process' table of ids; it keeps the table before the last, too.
 _MEMORY = 400_000
 
 # A run of letters that stay as they are under NFC, then ASCII marks but no apostrophe.
@@ -44,24 +44,39 @@ class _Ids(dict):
 
     The tokenizer ends words at blanks and drops these, so the ids of a text are those of
     its pieces in a row. A plain word goes straight to the model, which sees the same
-    letters as behind the normalizer; everything else takes the whole tokenizer.
+    letters as behind the normalizer; everything else takes the whole tokenizer. What
+    ``older`` remembers, the table before this one, is taken from there.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
+    def __init__(self, path: str, older: _Ids | None = None):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.words, self.marks = {}, {}
-        self.flat, self.start, self.length = array("q"), array("q"), array("q")
+        if older is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(path)
+        else:
+            self.tokenizer = older.tokenizer
+            older.older = None
+        self.older, self.model, self.letters = older, self.tokenizer.model, _byte_letters()
+        self.flat, self.start, self.length = array("I"), array("q"), array("q")
+
+    def ids(self, piece: str) -> array:
+        n = self[piece]
+        return self.flat[self.start[n] : self.start[n] + self.length[n]]
 
     def __missing__(self, piece: str) -> int:
-        plain = _PLAIN.fullmatch(piece)
-        if plain:
-            ids = self.word(plain[1].lower())
-            if plain[2]:
-                ids = ids + self.encoded(plain[2])
+        if self.older is not None and piece in self.older:
+            ids = self.older.ids(piece)
+        elif plain := _PLAIN.fullmatch(piece):
+            word, marks = plain[1].lower(), plain[2]
+            if marks:
+                ids = self.ids(word) + self.ids(marks)
+            elif word != piece:
+                self[piece] = n = self[word]
+                return n
+            else:
+                letters = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+                ids = [t.id for t in self.model.tokenize(letters)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids if piece else []
         self.start.append(len(self.flat))
@@ -70,19 +85,6 @@ class _Ids(dict):
         self[piece] = n = len(self.start) - 1
         return n
 
-    def word(self, word: str) -> list[int]:
-        ids = self.words.get(word)
-        if ids is None:
-            letters = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
-            ids = self.words[word] = [t.id for t in self.model.tokenize(letters)]
-        return ids
-
-    def encoded(self, marks: str) -> list[int]:
-        ids = self.marks.get(marks)
-        if ids is None:
-            ids = self.marks[marks] = self.tokenizer.encode(marks, add_special_tokens=False).ids
-        return ids
-
 
 _LOADED: dict[str, _Ids] = {}
 
@@ -91,12 +93,11 @@ def _encode(texts: list[str], path: str, end: int) -> tuple[np.ndarray, np.ndarr
     """The ids of texts in a row, each with its end id, and their numbers of ids."""
     known = _LOADED.get(path)
     if known is None or len(known) > _MEMORY:
-        _LOADED.clear()
-        known = _LOADED[path] = _Ids(path)
+        known = _LOADED[path] = _Ids(path, known)
     pieces, counts = [], []
     for text in texts:
-        found = [known[piece] for piece in text.replace("\n", " ").split(" ")]
-        pieces.extend(found)
+        found = text.replace("\n", " ").split(" ")
+        pieces.extend(map(known.__getitem__, found))
         counts.append(len(found))
     flat, start, length = (np.array(x, np.int64) for x in (known.flat, known.start, known.length))
     pieces, counts = np.array(pieces, np.int64), np.array(counts, np.int64)
