@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark import schemas
-from tidemark.operators import bigrams, skew, transitions, walks
+from tidemark.operators import bigrams, transitions, walks
 from tidemark.plans import phrases
 from tidemark.sources import files
 
@@ -147,14 +147,12 @@ def _plain_cdf(totals):
     )
 
 
-@pytest.mark.parametrize("min_rows", [1, 10, skew.HOT_ROWS])
-def test_cumulative_equals_one_window(totals, rows, min_rows):
-    assert rows(transitions.cumulative(totals, min_rows)) == rows(_plain_cdf(totals))
+def test_cumulative_equals_one_window(totals, rows):
+    assert rows(transitions.cumulative(totals)) == rows(_plain_cdf(totals))
 
 
-@pytest.mark.parametrize("min_rows", [1, 10, skew.HOT_ROWS])
-def test_probabilities_sum_to_one(totals, rows, min_rows):
-    p = transitions.probabilities(totals, min_rows)
+def test_probabilities_sum_to_one(totals, rows):
+    p = transitions.probabilities(totals)
     assert p.count() == totals.count()
     sums = p.groupBy("gram0").agg(F.round(F.sum("probability"), 9).alias("s"))
     assert {r.s for r in sums.collect()} == {1.0}
@@ -190,11 +188,8 @@ def _walk_by_hand(totals, seeds, max_words, seed):
     return phrases_by_id
 
 
-@pytest.mark.parametrize(("slot_rows", "hot_rows"), [(64, None), (1, None), (4, 5)])
-def test_walk_against_a_hand_walk(spark, totals, monkeypatch, slot_rows, hot_rows):
-    if hot_rows:
-        monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
-        monkeypatch.setattr(skew.hot_keys, "__defaults__", (hot_rows,))
+@pytest.mark.parametrize("slot_rows", [64, 4])
+def test_walk_against_a_hand_walk(spark, totals, slot_rows):
     seeds = [(i, "the" if i % 3 else "ax") for i in range(60)] + [(60, "unknown"), (61, "")]
     got = walks.walk(totals, spark.createDataFrame(seeds, "walk_id bigint, word string"), 7, 3, slot_rows)
     assert {r.walk_id: (r.words, r.phrase) for r in got.collect()} == _walk_by_hand(totals, seeds, 7, 3)
@@ -212,17 +207,10 @@ def test_walk_differs_by_seed_and_repeats(spark, totals, rows):
     assert first != rows(walks.walk(totals, seeds, 5, 2))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_join(spark, rows, how):
-    left = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(300)], "k string, i int")
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3), ("none", 4)], "k string, v int")
-    hot = skew.hot_keys(left, ["k"], min_rows=50)
-    assert rows(hot) == [("hot",)]
-    joined = skew.salted_join(left, right, ["k"], F.col("i"), how, hot, salts=8)
-    assert rows(joined) == rows(left.join(right, "k", how).select(*joined.columns))
-
-
-def test_salted_join_refuses_right_joins(spark):
-    df = spark.createDataFrame([(1,)], "k int")
-    with pytest.raises(ValueError):
-        skew.salted_join(df, df, ["k"], F.col("k"), "full")
+def test_a_frequent_word_has_slots_of_its_share(spark):
+    totals = spark.createDataFrame([("a", "b", 10**6), ("b", "a", 1)], "gram0 string, gram1 string, n bigint")
+    whole = 10**6 + 1
+    widths = {r.word: r.width for r in walks.word_ranges(totals, whole).collect()}
+    assert widths["a"] * 900 < 10**6 and widths["b"] == 1
+    index = walks.walk_index(totals, walks.word_ranges(totals, whole), whole)
+    assert index.where("gram0 = 'a'").count() > 900

@@ -12,10 +12,21 @@ from tidemark.session import materialize, shared_folder
 from tidemark.sources import files
 
 
+@pytest.fixture(scope="module", autouse=True)
+def several_tasks(spark):
+    """Keep all tasks of a shuffle, so that a sorted series spans several of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.fixture(scope="module")
 def points(spark):
-    data = [("hot" if i % 3 else "cold", i * i % 997 + i * 1000, float(i % 17)) for i in range(400)]
-    return spark.createDataFrame(data, "series string, x bigint, y double").persist()
+    data = [
+        (("hot", "cold")[i % 3 == 0] if i % 11 else None, i * i % 997 + i * 1000 if i > 2 else None, float(i % 17) if i % 5 else None)
+        for i in range(400)
+    ]
+    return spark.createDataFrame(data, "series string, x bigint, y double").repartition(3).persist()
 
 
 def test_running_mean_of_sine(spark):
@@ -25,13 +36,20 @@ def test_running_mean_of_sine(spark):
     assert round(df.first().y, 6) == round(math.sin(1), 6)
 
 
-@pytest.mark.parametrize(("min_rows", "span"), [(1, 7000), (10, 50_000), (10**6, 1)])
-def test_split_series_equal_whole_windows(points, rows, min_rows, span):
+def test_split_series_equal_whole_windows(points, rows):
     whole = Window.partitionBy("series").orderBy("x")
     mean = points.withColumn("avg", F.avg("y").over(whole.rowsBetween(Window.unboundedPreceding, 0)))
-    assert rows(series.running_mean(points, span=span, min_rows=min_rows)) == rows(mean)
+    assert rows(series.running_mean(points)) == rows(mean)
     numbered = points.withColumn("n", F.row_number().over(whole).cast("bigint"))
-    assert rows(series.ordinals(points, span=span, min_rows=min_rows)) == rows(numbered)
+    assert rows(series.ordinals(points)) == rows(numbered)
+
+
+def test_one_series_spans_tasks(spark):
+    wide = spark.range(4000).select(F.lit("s").alias("series"), F.col("id").alias("x"), F.lit(1.0).alias("y"))
+    tasks = scan.in_order(wide, ["series", "x"], "parts").select("_task").distinct().count()
+    assert tasks > 1
+    assert series.running_mean(wide).where("avg = 1").count() == 4000
+    assert series.ordinals(wide).where("n = x + 1").count() == 4000
 
 
 @pytest.mark.parametrize("size", [1, 2, 10, 100])
@@ -39,13 +57,13 @@ def test_split_series_equal_whole_windows(points, rows, min_rows, span):
 def test_rolling_mean_over_pieces(points, rows, size, piece):
     frame = Window.partitionBy("series").orderBy("x").rowsBetween(1 - size, 0)
     want = points.withColumn("avg", F.avg("y").over(frame))
-    assert rows(series.rolling_mean(points, size, span=9000, min_rows=10, piece=piece)) == rows(want)
+    assert rows(series.rolling_mean(points, size, piece=piece)) == rows(want)
 
 
 def test_last_points(points, rows):
     last = series.last_points(points, 5)
-    assert last.count() == 10
-    biggest = points.groupBy("series").agg(F.max("x").alias("x"))
+    assert last.count() == 15
+    biggest = points.dropna(subset=["series"]).groupBy("series").agg(F.max("x").alias("x"))
     assert last.join(biggest, ["series", "x"]).count() == 2
 
 

@@ -12,7 +12,7 @@ from tidemark.operators import messages as msg
 from tidemark.operators import metrics, words
 from tidemark.operators import topics as tp
 from tidemark.plans import topic_report
-from tidemark.sources import files, streams
+from tidemark.sources import files, snapshots, streams
 from tidemark.sources.store import TableStore
 from tidemark.streaming import jobs
 
@@ -33,7 +33,10 @@ def test_history_over_restarts_equals_one_batch(spark, rows, tmp_path):
     landing, store = tmp_path / "landing", TableStore(spark, str(tmp_path / "store"), TABLES)
     progress, reports = str(tmp_path / "progress"), {}
 
-    def run():
+    counter = jobs.InputRows()
+    spark.streams.addListener(counter)
+
+    def run(progress=progress):
         lines = streams.text_lines(spark, str(landing), files_per_trigger=1)
         keep = lambda report, batch_id: reports.__setitem__(batch_id, rows(report.as_rows()))
         return jobs.drain(jobs.topic_history(lines, store, progress, n=2, on_interval=keep))
@@ -43,7 +46,7 @@ def test_history_over_restarts_equals_one_batch(spark, rows, tmp_path):
         land(landing, f"{k}.json", batch_texts(100 * k))
         everything += batch_texts(100 * k)
     query = run()
-    assert jobs.input_rows(query) == len(everything)
+    assert counter.rows(query) == len(everything)
     assert sorted(reports) == [0, 1]
     # A new query takes up where the first one stopped.
     land(landing, "2.json", batch_texts(200))
@@ -51,6 +54,13 @@ def test_history_over_restarts_equals_one_batch(spark, rows, tmp_path):
     run()
     assert sorted(reports) == [0, 1, 2]
 
+    # A query with a checkpoint of its own adds to the history.
+    land(landing, "3.json", batch_texts(300))
+    reports.clear()
+    run(str(tmp_path / "other"))
+    everything += everything + batch_texts(300)
+    spark.streams.removeListener(counter)
+
     m = msg.parse(spark.createDataFrame([(t,) for t in everything], "value string"))
     assert rows(store.read("topics")) == rows(msg.topics(m))
     assert rows(store.read("users")) == rows(msg.users(m))
@@ -141,10 +151,13 @@ def test_raw_rows_are_appended_once(spark, rows, tmp_path):
 
 def test_latest_averages_are_overwritten(spark, rows, tmp_path):
     path, out, progress = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "p")
-    for value in ("1", "5"):
-        envelopes(spark, path, [(0, value)])
+    seen = []
+    # The second batch changes the newest window, the third opens another, the last comes late.
+    for t, value in ((80, "1"), (81, "5"), (200, "7"), (10, "9")):
+        envelopes(spark, path, [(t, value)])
         jobs.drain(jobs.latest_averages(streams.envelope_files(spark, path), out, progress))
-    assert rows(spark.read.schema("k string, a double").csv(out)) == [("k", 5.0)]
+        seen += rows(snapshots.newest(spark, out, schemas.AVERAGES), "k", "average_value", "n")
+    assert seen == [("k", 1.0, 1), ("k", 3.0, 2), ("k", 7.0, 1), ("k", 7.0, 1)]
 
 
 def test_top_tags_follow_the_whole_stream(spark, rows, tmp_path):
@@ -152,7 +165,8 @@ def test_top_tags_follow_the_whole_stream(spark, rows, tmp_path):
     for k, text in enumerate(["#a #b #b", "#A #a #c"]):
         land(landing, f"{k}.txt", [text])
         jobs.drain(jobs.top_tags_snapshot(streams.text_lines(spark, str(landing)), out, progress, n=2))
-    assert rows(spark.read.parquet(out)) == [("#a", 3), ("#b", 2)]
+    assert rows(snapshots.newest(spark, out, schemas.TAG_COUNTS)) == [("#a", 3), ("#b", 2)]
+    assert rows(snapshots.newest(spark, str(tmp_path / "none"), schemas.TAG_COUNTS)) == []
 
 
 def test_sliding_tags_stream_equals_batch(spark, rows, tmp_path):
@@ -186,12 +200,12 @@ def test_slim_messages_and_typed_files(spark, rows, tmp_path):
     assert rows(spark.read.schema("id bigint").json(out + "t")) == [(1,)]
 
 
-def test_word_counts_in_complete_mode(spark, rows, tmp_path):
+def test_word_counts_grow(spark, rows, tmp_path):
     landing = tmp_path / "in"
     land(landing, "0.txt", ["a b a"])
     land(landing, "1.txt", ["b a"])
-    jobs.drain(jobs.word_counts(streams.text_lines(spark, str(landing), 1), "wc", str(tmp_path / "p")))
-    assert rows(spark.table("wc")) == [("a", 3), ("b", 2)]
+    jobs.drain(jobs.word_counts(streams.text_lines(spark, str(landing), 1), str(tmp_path / "wc"), str(tmp_path / "p")))
+    assert rows(jobs.latest(spark, str(tmp_path / "wc"), ["word"])) == [("a", 3), ("b", 2)]
 
 
 def test_bounded_run_stops_and_keeps_the_session(spark, tmp_path):

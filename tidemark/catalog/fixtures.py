@@ -5,8 +5,8 @@ RAW = "raw AS (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS kk F
 MESSAGES = f"""{RAW},
 msg AS (
   SELECT event_id AS id,
-         strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at,
-         date_trunc('second', ts) AS sent,
+         CASE WHEN event_id % 101 = 0 THEN 'soon' ELSE strftime(ts, '%a %b %d %H:%M:%S +0000 %Y') END AS created_at,
+         CASE WHEN event_id % 101 <> 0 THEN date_trunc('second', ts) END AS sent,
          'u' || user_id AS author,
          CASE WHEN event_id % 11 = 0 THEN [event_type, 'k' || kk, 'k' || kk] ELSE [event_type, 'k' || kk] END AS tags,
          CASE WHEN event_id % 3 = 0 THEN [] ELSE ['u' || ((user_id + kk) % 150)] END AS named,

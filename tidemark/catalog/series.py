@@ -22,15 +22,14 @@ PURPOSES = [
 ]
 
 
-@query("""SELECT p.purpose, count(*) AS n FROM events JOIN (VALUES ('click', 'engagement'), ('view', 'engagement'),
+@query("""SELECT p.purpose, count(*) AS n FROM events LEFT JOIN (VALUES ('click', 'engagement'), ('view', 'engagement'),
 ('purchase', 'revenue'), ('signup', 'revenue'), ('error', 'fault')) p(event_type, purpose) USING (event_type)
 GROUP BY p.purpose""")
 def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal rows with an explicit schema, used to label every event."""
     purposes = spark.createDataFrame(PURPOSES, "event_type string, purpose string")
     events = testdata.table(spark, sf_dir, "events")
-    # Five literal rows.
-    return events.join(F.broadcast(purposes), "event_type").groupBy("purpose").agg(F.count("*").alias("n"))
+    return events.join(purposes, "event_type", "left").groupBy("purpose").agg(F.count("*").alias("n"))
 
 
 def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,18 +60,26 @@ def ordinal_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One series per event type: whole cents, so that sums are exact."""
-    cents = F.round(F.col("value") * 100)
-    return testdata.table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("series"), F.col("event_id").alias("x"), cents.alias("y")
-    )
+    """One series per event type: whole cents, so that sums are exact.
 
+    Some points have no value, some no series, and each series has one without a place.
+    """
+    cents = F.when(F.col("event_id") % 13 != 0, F.round(F.col("value") * 100))
+    series = F.when(F.col("event_id") % 31 != 0, F.col("event_type"))
+    x = F.when(F.col("event_id") != F.col("first"), F.col("event_id"))
+    events = testdata.table(spark, sf_dir, "events").withColumn("series", series)
+    firsts = events.groupBy(F.col("series").alias("s")).agg(F.min("event_id").alias("first"))
+    events = events.join(firsts, F.col("series").eqNullSafe(F.col("s")))
+    return events.select("series", x.alias("x"), cents.alias("y"))
 
-_POINTS = "points AS (SELECT event_type AS series, event_id AS x, round(value * 100) AS y FROM events)"
+
+_POINTS = """typed AS (SELECT *, CASE WHEN event_id % 31 <> 0 THEN event_type END AS series FROM events),
+points AS (SELECT series, CASE WHEN event_id <> min(event_id) OVER (PARTITION BY series) THEN event_id END AS x,
+                  CASE WHEN event_id % 13 <> 0 THEN round(value * 100) END AS y FROM typed)"""
 
 
 @query(f"""WITH {_POINTS} SELECT series, x, round(sin(x), 6) AS y,
-round(avg(sin(x)) OVER (PARTITION BY series ORDER BY x ROWS UNBOUNDED PRECEDING), 6) AS "avg" FROM points""")
+round(avg(sin(x)) OVER (PARTITION BY series ORDER BY x NULLS FIRST ROWS UNBOUNDED PRECEDING), 6) AS "avg" FROM points""")
 def running_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sine of a counter and its mean so far."""
     means = series.running_mean(series.sine(_points(spark, sf_dir)))
@@ -80,26 +87,26 @@ def running_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_POINTS} SELECT series, x, y,
-sum(y) OVER w / count(*) OVER w AS "avg" FROM points
-WINDOW w AS (PARTITION BY series ORDER BY x ROWS UNBOUNDED PRECEDING)""")
+avg(y) OVER w AS "avg" FROM points
+WINDOW w AS (PARTITION BY series ORDER BY x NULLS FIRST ROWS UNBOUNDED PRECEDING)""")
 def running_mean_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.running_mean(_points(spark, sf_dir))
 
 
 @query(f"""WITH {_POINTS}, newest AS (
-  SELECT *, row_number() OVER (PARTITION BY series ORDER BY x DESC) AS place FROM points)
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY x DESC NULLS LAST) AS place FROM points)
 SELECT series, x, y FROM newest WHERE place <= 100""")
 def last_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.last_points(_points(spark, sf_dir), 100)
 
 
-@query(f"""WITH {_POINTS} SELECT series, x, y, sum(y) OVER w / count(*) OVER w AS "avg" FROM points
-WINDOW w AS (PARTITION BY series ORDER BY x ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""")
+@query(f"""WITH {_POINTS} SELECT series, x, y, avg(y) OVER w AS "avg" FROM points
+WINDOW w AS (PARTITION BY series ORDER BY x NULLS FIRST ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""")
 def rolling_100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.rolling_mean(_points(spark, sf_dir), 100)
 
 
-@query(f"""WITH {_POINTS} SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x) AS n FROM points""")
+@query(f"""WITH {_POINTS} SELECT series, x, row_number() OVER (PARTITION BY series ORDER BY x NULLS FIRST) AS n FROM points""")
 def series_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.ordinals(_points(spark, sf_dir).select("series", "x"))
 

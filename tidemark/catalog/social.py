@@ -102,7 +102,7 @@ def top_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {MESSAGES},
 per_window AS (
-  SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, unnest(tags) AS topic FROM msg),
+  SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, unnest(tags) AS topic FROM msg WHERE sent IS NOT NULL),
 sums AS (SELECT window_start, topic, count(*) AS num_tweets FROM per_window GROUP BY ALL),
 placed AS (
   SELECT *, CAST(dense_rank() OVER (PARTITION BY window_start ORDER BY num_tweets DESC, topic) AS INTEGER)
@@ -187,7 +187,7 @@ def message_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {MESSAGES},
 split AS (
-  SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, author, string_split(text, ' ') AS ws FROM msg),
+  SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, author, string_split(text, ' ') AS ws FROM msg WHERE sent IS NOT NULL),
 tagged AS (
   SELECT window_start, author, unnest(list_filter(ws, lambda w: starts_with(w, '#'))) AS topic,
          list_concat([author], list_filter(ws, lambda w: starts_with(w, '@'))) AS people FROM split),
@@ -207,7 +207,7 @@ def topic_commentators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {MESSAGES}
 SELECT id, author AS "user", array_to_string(named, ',') AS mentions, array_to_string(tags, ',') AS topics,
-       created_at AS "timestamp", text FROM msg""")
+       strftime(sent, '%Y-%m-%d %H:%M:%S') AS "timestamp", text FROM msg""")
 def simple_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flattened record, stamped with the message's own time to be repeatable."""
     timed = msg.with_time(_messages(spark, sf_dir))
@@ -220,6 +220,12 @@ def msg_id_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.id_and_time(_messages(spark, sf_dir))
 
 
+@query(f"WITH {MESSAGES} SELECT count(*) AS messages, count(*) FILTER (sent IS NULL) AS unreadable FROM msg")
+def unreadable_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose time can't be read: counted, as no window holds them."""
+    return msg.unreadable_times(_messages(spark, sf_dir))
+
+
 @query(f"WITH {MESSAGES} SELECT id FROM msg UNION ALL SELECT NULL FROM gone")
 def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msg.json_id(testdata.message_lines(spark, sf_dir))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from .. import schemas
 from ..operators import messages as msg
 from ..operators import topics as tp
 from ..session import scratch_path
-from ..sources import files, streams, testdata
+from ..sources import files, snapshots, streams, testdata
 from ..sources.store import TableStore
 from ..streaming import jobs
 from . import query
@@ -19,30 +17,33 @@ from .fixtures import MESSAGES, METRICS
 from .social import _REPORT
 from .telemetry import plain, windows_sql
 
-# The landed files are taken in about so many mini-batches, however many there are.
-_BATCHES = 4
+# Rows of a landed file and files of a mini-batch, whatever the size of the table.
+_FILE_ROWS, _FILES = 2_000, 4
 
 
-def _file_rows(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """Rows per landed file and files per trigger, both growing with the table."""
-    total = testdata.table(spark, sf_dir, "events").count()
-    rows = max(2_000, total // 1_000)
-    return rows, max(1, math.ceil(total / rows / _BATCHES))
+def _land(rows: DataFrame, path: str, by: str, format: str) -> str:
+    """Write ``rows`` in the order of ``by``, as if the files had come in one after the other."""
+    spark = rows.sparkSession
+    ordered = rows.repartitionByRange(by).sortWithinPartitions(by).drop(by)
+    ordered.write.format(format).option("maxRecordsPerFile", _FILE_ROWS).save(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    landed = sorted((s.getPath() for s in system.listStatus(folder) if s.getPath().getName()[0] not in "_."), key=str)
+    for i, file in enumerate(landed):
+        system.setTimes(file, 1_700_000_000_000 + 1000 * i, -1)
+    return path
 
 
-def _landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The message lines as a stream of files, several mini-batches long."""
-    path = scratch_path(spark, "landing")
-    rows, per_trigger = _file_rows(spark, sf_dir)
-    testdata.message_lines(spark, sf_dir).write.option("maxRecordsPerFile", rows).text(path)
-    return streams.text_lines(spark, path, per_trigger)
+def _landed_lines(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """The message lines as a stream of files, several mini-batches long, each line ``copies`` times."""
+    lines = testdata.message_lines(spark, sf_dir, "ts")
+    again = lines.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_n")
+    return streams.text_lines(spark, _land(again, scratch_path(spark, "landing"), "ts", "text"), _FILES)
 
 
-def _landed_envelopes(spark: SparkSession, sf_dir: str, in_batches: bool) -> DataFrame:
-    path = scratch_path(spark, "envelopes")
-    rows, per_trigger = _file_rows(spark, sf_dir)
-    testdata.envelopes(spark, sf_dir).write.option("maxRecordsPerFile", rows).parquet(path)
-    return streams.envelope_files(spark, path, per_trigger if in_batches else None)
+def _landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = testdata.envelopes(spark, sf_dir, "ts")
+    return streams.envelope_files(spark, _land(rows, scratch_path(spark, "envelopes"), "ts", "parquet"), _FILES)
 
 
 @query(_REPORT)
@@ -66,20 +67,26 @@ def slim_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw metric rows streamed into CSV, each exactly once."""
     out = scratch_path(spark, "raw")
-    stream = _landed_envelopes(spark, sf_dir, in_batches=True)
+    stream = _landed_envelopes(spark, sf_dir)
     jobs.drain(jobs.raw_metrics(stream, out, scratch_path(spark, "progress")))
     return files.read_metric_csv(spark, out)
 
 
-@query(f"""SELECT * FROM ({windows_sql(90_000, 30_000)})
-WHERE window_end <= (SELECT max(make_timestamp(epoch_us(ts) // 1000 * 1000)) FROM events) - INTERVAL '10 minutes'""")
+@query(windows_sql(90_000, 30_000))
 def stream_metric_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding averages as a stream writes them: only windows the watermark has closed."""
+    """Sliding averages as a stream keeps them, the last windows included."""
     out = scratch_path(spark, "averages")
-    # One trigger takes all files: they land in any order, and late rows would be dropped.
-    stream = _landed_envelopes(spark, sf_dir, in_batches=False)
-    jobs.drain(jobs.metric_averages(stream, out, scratch_path(spark, "progress")))
-    return plain(spark.read.parquet(out))
+    stream = _landed_envelopes(spark, sf_dir)
+    jobs.drain(jobs.metric_averages(stream, out, scratch_path(spark, "progress"), running=True))
+    return plain(jobs.latest(spark, out, ["window_start", "window_end", "k"]))
+
+
+@query(f"SELECT * FROM ({windows_sql(90_000, 30_000)}) QUALIFY window_end = max(window_end) OVER ()")
+def stream_latest_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The averages of the newest 90 seconds after a stream has run."""
+    out = scratch_path(spark, "latest")
+    jobs.drain(jobs.latest_averages(_landed_envelopes(spark, sf_dir), out, scratch_path(spark, "progress")))
+    return plain(snapshots.newest(spark, out, schemas.AVERAGES))
 
 
 @query(f"""WITH {MESSAGES}, tags AS (
@@ -90,34 +97,28 @@ def stream_top_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tags")
     texts = msg.live(msg.parse(_landed_lines(spark, sf_dir))).select(F.col("text").alias("value"))
     jobs.drain(jobs.top_tags_snapshot(texts, out, scratch_path(spark, "progress")))
-    return spark.read.parquet(out)
+    return snapshots.newest(spark, out, schemas.TAG_COUNTS)
 
 
-@query(f"WITH {MESSAGES} SELECT id, created_at FROM msg")
+@query(f"WITH {MESSAGES} SELECT id, created_at FROM msg WHERE sent IS NOT NULL")
 def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line delivered twice, repeats dropped by id, kept as JSON files."""
-    path, out = scratch_path(spark, "twice"), scratch_path(spark, "unique")
-    lines = testdata.message_lines(spark, sf_dir)
-    lines.unionAll(lines).write.text(path)
-    # One trigger takes all files, so that no line is late for the watermark.
-    unique = jobs.unique_messages(streams.text_lines(spark, path)).select("id", "created_at")
+    out = scratch_path(spark, "unique")
+    unique = jobs.unique_messages(_landed_lines(spark, sf_dir, copies=2)).select("id", "created_at")
     jobs.drain(jobs.file_sink(unique, out, scratch_path(spark, "progress"), "json"))
     return spark.read.schema("id bigint, created_at string").json(out)
 
 
 @query(f"""WITH {MESSAGES},
-per_window AS (SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, unnest(tags) AS topic FROM msg),
+per_window AS (SELECT time_bucket(INTERVAL '2 hours', sent) AS window_start, unnest(tags) AS topic FROM msg WHERE sent IS NOT NULL),
 sums AS (SELECT window_start, topic, count(*) AS num_tweets FROM per_window GROUP BY ALL),
 placed AS (
   SELECT *, CAST(dense_rank() OVER (PARTITION BY window_start ORDER BY num_tweets DESC, topic) AS INTEGER)
             AS num_tweets_rnk FROM sums)
-SELECT * FROM placed WHERE num_tweets_rnk <= 3
-AND window_start + INTERVAL '2 hours' <= (SELECT max(sent) FROM msg) - INTERVAL '10 minutes'""")
+SELECT * FROM placed WHERE num_tweets_rnk <= 3""")
 def stream_top_topics_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows counted by a stream, ranked once they are closed."""
-    path, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
-    testdata.message_lines(spark, sf_dir).write.text(path)
-    # One trigger takes all files: they land in any order, and late rows would be dropped.
-    jobs.drain(jobs.topic_windows(streams.text_lines(spark, path), out, scratch_path(spark, "progress")))
-    top = tp.rank_windows(spark.read.parquet(out), 3)
+    """Windows counted by a stream, ranked when they are read."""
+    out = scratch_path(spark, "windows")
+    jobs.drain(jobs.topic_windows(_landed_lines(spark, sf_dir), out, scratch_path(spark, "progress"), running=True))
+    top = tp.rank_windows(jobs.latest(spark, out, ["window_start", "topic"]), 3)
     return top.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -33,15 +33,15 @@ def preview(text: Column, length: int) -> Column:
 
 
 def any_keyword(text: Column, keywords: Iterable[str]) -> Column:
-    """True where the text holds one of the keywords, whatever its case."""
-    pattern = "|".join(re.escape(k.lower()) for k in keywords)
-    return F.lower(text).rlike(pattern)
+    """True where the text holds one of the keywords, whatever its case; nothing holds one of none."""
+    pattern = "|".join(re.escape(k.lower()) for k in keywords if k)
+    return F.lower(text).rlike(pattern) if pattern else F.lit(False)
 
 
 def topic_pattern(topic_filter: str) -> str:
     """Anchored regular expression of a broker filter.
 
-    ``+`` stands for exactly one level. ``#`` is allowed as the last level and
+    ``+`` stands for exactly one level, which is not empty. ``#`` is allowed as the last level and
     stands for the parent and everything below it.
     """
     levels = topic_filter.split("/")
@@ -49,7 +49,7 @@ def topic_pattern(topic_filter: str) -> str:
         raise ValueError("'#' may only be the last level")
     rest = levels[-1] == "#"
     named = levels[:-1] if rest else levels
-    body = "/".join("[^/]*" if level == "+" else re.escape(level) for level in named)
+    body = "/".join("[^/]+" if level == "+" else re.escape(level) for level in named)
     if not rest:
         return f"^{body}\\z"
     return f"^{body}(/.*)?\\z" if named else "^.*\\z"

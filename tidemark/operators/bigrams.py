@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import BIGRAM_PATTERN, WORD_PATTERN
-from .scan import BLOCK
+from ..session import materialize
+
+_BLOCK = "_block"
 
 
 def split_words() -> tuple[Column, Column]:
@@ -57,8 +59,8 @@ def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str
     order = list(order)
     # The first two words as one string; never NULL, so NULL can mean "no neighbour".
     pair = F.coalesce(F.substring_index("bi_gram", " ", 2), F.lit(""))
-    lines = ngrams.select(file, *order, block.alias(BLOCK), pair.alias("_pair"), "match_count")
-    piece = Window.partitionBy(file, BLOCK).orderBy(*order)
+    lines = ngrams.select(file, *order, block.alias(_BLOCK), pair.alias("_pair"), "match_count")
+    piece = Window.partitionBy(file, _BLOCK).orderBy(*order)
     marked = lines.withColumns(
         {
             "_begins": ~F.col("_pair").eqNullSafe(F.lag("_pair").over(piece)),
@@ -69,16 +71,18 @@ def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str
     # Same partitioning as the window: no further shuffle.
     runs = (
         marked.withColumn("_run", run)
-        .groupBy(file, BLOCK, "_run", "_pair")
+        .groupBy(file, _BLOCK, "_run", "_pair")
         .agg(
             *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
             F.sum("match_count").alias("matchcount"),
             F.max("_last").alias("_last"),
         )
     )
+    # Found once: the runs inside a piece are done, those at its edges go on below.
+    runs = materialize(runs, "runs")
     inner = runs.where((F.col("_run") > 1) & ~F.col("_last"))
 
-    along = Window.partitionBy(file).orderBy(BLOCK, "_run")
+    along = Window.partitionBy(file).orderBy(_BLOCK, "_run")
     continues = F.lag("_last", 1, False).over(along) & F.col("_pair").eqNullSafe(F.lag("_pair").over(along))
     edges = runs.where((F.col("_run") == 1) | F.col("_last")).withColumn(
         "_begins", ~((F.col("_run") == 1) & continues)

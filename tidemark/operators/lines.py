@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to so many wanted lines the summary of their splits is broadcast.
-_BROADCAST_LINES = 100_000
-
 
 def numbered_lines(spark: SparkSession, path: str, lo: int = 1, hi: int | None = None) -> DataFrame:
     """Lines ``lo <= n < hi`` (1-based) of a file, or of a folder's files in name order.
@@ -33,8 +30,6 @@ def numbered_lines(spark: SparkSession, path: str, lo: int = 1, hi: int | None =
     wanted = starts.where(F.col("_start") + F.col("_rows") >= lo)
     if hi is not None:
         wanted = wanted.where(F.col("_start") + 1 < hi)
-    if hi is not None and hi - lo <= _BROADCAST_LINES:
-        wanted = F.broadcast(wanted)  # every wanted split holds at least one of the hi - lo lines
     numbered = lines.join(wanted, splits).select(
         (F.col("_start") + F.col("_at") - F.col("_from") + 1).alias("n"), "value"
     )

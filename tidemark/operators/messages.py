@@ -9,6 +9,7 @@ from .. import schemas
 from ..functions import draws, records, text
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+FEED_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -39,8 +40,21 @@ def apply_deletes(relation: DataFrame, tombstones: DataFrame) -> DataFrame:
 
 
 def with_time(messages: DataFrame, name: str = "ts") -> DataFrame:
-    """Event time from ``created_at``."""
-    return messages.withColumn(name, F.to_timestamp("created_at", TIME_FORMAT))
+    """Event time from ``created_at``, in the feed's form or the plain one.
+
+    The feed writes ``Tue Nov 28 07:52:11 +0000 2017``. A text in neither form gives
+    NULL, which no window takes in; :func:`unreadable_times` counts such messages.
+    """
+    # The day of the week says nothing new, and the parser takes none.
+    feed = F.try_to_timestamp(F.substring("created_at", 5, 40), F.lit(FEED_FORMAT))
+    plain = F.try_to_timestamp("created_at", F.lit(TIME_FORMAT))
+    return messages.withColumn(name, F.coalesce(feed, plain))
+
+
+def unreadable_times(messages: DataFrame) -> DataFrame:
+    """One row: live messages, and how many of them have no readable time."""
+    missing = F.count_if(F.col("ts").isNull())
+    return with_time(live(messages)).agg(F.count("*").alias("messages"), missing.alias("unreadable"))
 
 
 def topics(messages: DataFrame) -> DataFrame:
@@ -111,7 +125,7 @@ def id_and_time(messages: DataFrame) -> DataFrame:
 
 def json_id(lines: DataFrame, column: str = "value") -> DataFrame:
     """The id straight from the JSON text, without parsing the rest."""
-    return lines.select(F.get_json_object(column, "$.id").cast("bigint").alias("id"))
+    return lines.select(F.get_json_object(column, "$.id").try_cast("bigint").alias("id"))
 
 
 def user_or_default(messages: DataFrame, default: str = "unknown") -> DataFrame:

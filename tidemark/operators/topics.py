@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from . import messages as msg
 
-# A ranked set up to this size is broadcast; beyond it the join shuffles.
-BROADCAST_TOPICS = 10_000
 # Pieces into which the people of one hot topic are cut.
 _PIECES = 32
 
@@ -51,11 +50,15 @@ def windowed_counts(timed: DataFrame, window: str = "2 hours") -> DataFrame:
 def rank_windows(counts: DataFrame, n: int = 3) -> DataFrame:
     """The N most frequent topics of every window, with their rank.
 
-    The rank limit is applied before the shuffle, so a window brings at most N
-    rows per task.
+    The rank limit is applied before the shuffle and once more within parts of a
+    window's topics, so the last step meets at most N rows a part.
     """
-    rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(F.desc("num_tweets"), "topic"))
-    return counts.withColumn("num_tweets_rnk", rank).where(F.col("num_tweets_rnk") <= n)
+    best = [F.desc("num_tweets"), "topic"]
+    part = F.pmod(F.xxhash64("topic"), F.lit(_PIECES))
+    of_part = F.row_number().over(Window.partitionBy("window_start", "_part").orderBy(*best))
+    few = counts.withColumn("_part", part).withColumn("_n", of_part).where(F.col("_n") <= n).drop("_n", "_part")
+    rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(*best))
+    return few.withColumn("num_tweets_rnk", rank).where(F.col("num_tweets_rnk") <= n)
 
 
 def top_topics_per_window(messages: DataFrame, n: int = 3, window: str = "2 hours") -> DataFrame:
@@ -74,9 +77,8 @@ def topic_users(users: DataFrame, topics: DataFrame) -> DataFrame:
     return left.join(right, "id").groupBy("user", "topic").agg(F.sum(F.col("_u") * F.col("_t")).alias("n"))
 
 
-def _restrict(rows: DataFrame, top: DataFrame, n: int) -> DataFrame:
-    names = top.select("topic")
-    return rows.join(F.broadcast(names) if n <= BROADCAST_TOPICS else names, "topic", "left_semi")
+def _restrict(rows: DataFrame, top: DataFrame) -> DataFrame:
+    return rows.join(top.select("topic"), "topic", "left_semi")
 
 
 def _topic_sets(pairs: DataFrame, who: str) -> DataFrame:
@@ -92,7 +94,7 @@ def top_topic_names(names: DataFrame, topics: DataFrame, top: DataFrame, n: int,
     brings at most N topics. Both sides reach the join straight from a
     shuffle, so adaptive execution can split an id that many rows share.
     """
-    tagged = _restrict(topics, top, n).select("id", "topic").distinct()
+    tagged = _restrict(topics, top).select("id", "topic").distinct()
     pairs = names.select("id", who).distinct().join(tagged, "id")
     return _topic_sets(pairs, who)
 
@@ -103,7 +105,7 @@ def top_topic_users(messages: DataFrame, top: DataFrame, n: int) -> DataFrame:
         F.col("user.screen_name").alias("user"),
         F.explode(F.array_distinct("entities.hashtags.text")).alias("topic"),
     )
-    return _topic_sets(_restrict(pairs, top, n), "user")
+    return _topic_sets(_restrict(pairs, top), "user")
 
 
 def top_topic_mentions(messages: DataFrame, top: DataFrame, n: int) -> DataFrame:
@@ -112,7 +114,7 @@ def top_topic_mentions(messages: DataFrame, top: DataFrame, n: int) -> DataFrame
         F.col("entities.user_mentions.screen_name").alias("_names"),
         F.explode(F.array_distinct("entities.hashtags.text")).alias("topic"),
     )
-    pairs = _restrict(tagged, top, n).select(F.explode(F.array_distinct("_names")).alias("mention"), "topic")
+    pairs = _restrict(tagged, top).select(F.explode(F.array_distinct("_names")).alias("mention"), "topic")
     return _topic_sets(pairs, "mention")
 
 
@@ -145,9 +147,11 @@ def top_commentators(pairs: DataFrame, n: int = 10) -> DataFrame:
     """The pairs of the N most frequent topics of every window.
 
     Authors add up to a topic's occurrences, ``num_tweets``. Commentators come
-    as one row each, because the list of a hot topic has no bound.
+    as one row each, because the list of a hot topic has no bound. The pairs
+    are stored, as they are ranked and joined.
     """
     keys = ["window_start", "topic"]
+    pairs = materialize(pairs, "pairs")
     counts = pairs.groupBy(*keys).agg(F.sum("written").alias("num_tweets"))
     top = rank_windows(counts, n).drop("num_tweets_rnk")
     # A hot topic's people are cut into pieces by name, each with its own copy of the count.

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import skew
-from .scan import block_hot, prefix_totals
-
-# Letters of the next word that cut a hot word's successors into ordered blocks.
-_BLOCK_LETTERS = 3
+from .scan import prefix_totals
 
 
 def totals(counts: DataFrame) -> DataFrame:
@@ -27,18 +23,12 @@ def successors(counts: DataFrame, word: str) -> DataFrame:
     return totals(rows).select("gram1", "n", (F.col("n") / whole).alias("probability"))
 
 
-def cumulative(
-    totals: DataFrame, min_rows: int = skew.HOT_ROWS, block: Column | None = None
-) -> DataFrame:
+def cumulative(totals: DataFrame) -> DataFrame:
     """Half-open ranges [cum_lo, cum_hi) of every successor, by gram1.
 
-    A word with very many successors is split by the first letters of the
-    next word; see :mod:`.scan`. ``size`` is its number of successors.
-    ``totals`` is read more than once: give it as a stored table.
+    ``size`` is the word's number of successors; see :mod:`.scan` for words with very many.
     """
-    block = F.substring("gram1", 1, _BLOCK_LETTERS) if block is None else block
-    blocked = block_hot(totals, ["gram0"], block, "", min_rows)
-    scanned = prefix_totals(blocked, ["gram0"], ["gram1"], {"cum_hi": F.col("n"), "place": F.lit(1)})
+    scanned = prefix_totals(totals, ["gram0"], ["gram1"], {"cum_hi": F.col("n"), "place": F.lit(1).cast("bigint")})
     return scanned.select(
         "gram0",
         "gram1",
@@ -50,12 +40,7 @@ def cumulative(
     )
 
 
-def probabilities(totals: DataFrame, min_rows: int = skew.HOT_ROWS) -> DataFrame:
-    """(gram0, gram1, n, total, probability).
-
-    The totals per word are joined back with hot words spread over many tasks.
-    """
+def probabilities(totals: DataFrame) -> DataFrame:
+    """(gram0, gram1, n, total, probability); adaptive execution splits a frequent word's join."""
     per_word = totals.groupBy("gram0").agg(F.sum("n").alias("total"))
-    hot = skew.hot_keys(totals, ["gram0"], min_rows)
-    joined = skew.salted_join(totals, per_word, ["gram0"], spread=F.col("gram1"), hot=hot)
-    return joined.withColumn("probability", F.col("n") / F.col("total"))
+    return totals.join(per_word, "gram0").withColumn("probability", F.col("n") / F.col("total"))

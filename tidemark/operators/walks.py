@@ -8,27 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draws
-from ..session import materialize
-from . import skew
+from ..session import bucketed, materialize
 from .transitions import cumulative
 
 # Successors that one slot of a word holds on average.
 SLOT_ROWS = 64
+# A slot is drawn in about one step of so many at most.
+SLOT_SHARE = 1024
 
 
-def _with_width(df: DataFrame, slot_rows: int) -> DataFrame:
-    """Length of one slot of a word's range [0, total), in draw units."""
-    slots = f"((size + {slot_rows} - 1) div {slot_rows})"
+def _with_width(df: DataFrame, slot_rows: int, whole: int) -> DataFrame:
+    """Length of one slot of a word's range [0, total), in draw units.
+
+    A word has slots for its successors, and more of them the more often it occurs, so
+    that the walks at a frequent word with few successors spread as well. ``whole`` is the sum of all totals.
+    """
+    slots = f"(1 + size div {slot_rows} + total div {whole // SLOT_SHARE + 1})"
     return df.withColumn("width", F.expr(f"(total + {slots} - 1) div {slots}"))
 
 
-def word_ranges(totals: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def word_ranges(totals: DataFrame, whole: int, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """(word, total, width) of every word that has a successor."""
     words = totals.groupBy(F.col("gram0").alias("word")).agg(F.sum("n").alias("total"), F.count("*").alias("size"))
-    return _with_width(words, slot_rows).drop("size")
+    return _with_width(words, slot_rows, whole).drop("size")
 
 
-def walk_index(totals: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def walk_index(totals: DataFrame, ranges: DataFrame, whole: int, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Successor ranges keyed by (gram0, slot), with the range of the next word.
 
     A word's range is cut into slots of equal length, about ``slot_rows``
@@ -37,7 +42,7 @@ def walk_index(totals: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_ROWS)
     word fall into many keys. A successor wider than a slot is entered in each
     slot it touches: at most one extra row per slot.
     """
-    slotted = _with_width(cumulative(totals), slot_rows).select(
+    slotted = _with_width(cumulative(totals), slot_rows, whole).select(
         "gram0",
         "gram1",
         "cum_lo",
@@ -47,10 +52,7 @@ def walk_index(totals: DataFrame, ranges: DataFrame, slot_rows: int = SLOT_ROWS)
     following = ranges.select(
         F.col("word").alias("gram1"), F.col("total").alias("next_total"), F.col("width").alias("next_width")
     )
-    # Frequent next words, counted on the stored table and not on the slots made from it.
-    hot = skew.hot_keys(totals, ["gram1"])
-    spread = F.struct("gram0", "slot")
-    return skew.salted_join(slotted, following, ["gram1"], spread=spread, how="left", hot=hot)
+    return slotted.join(following, "gram1", "left")
 
 
 def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
@@ -62,7 +64,7 @@ def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
 
 def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
     """One move of every walker that has somewhere to go."""
-    candidates = skew.stored_join(walkers, index, ["gram0", "slot"], spread=F.col("walk_id"))
+    candidates = walkers.join(index, ["gram0", "slot"])
     moved = candidates.where((F.col("cum_lo") <= F.col("place")) & (F.col("place") < F.col("cum_hi")))
     return _drawn(
         moved.select(
@@ -84,13 +86,14 @@ def walk(
 
     ``totals`` is a stored (gram0, gram1, n) table and ``seeds`` is (walk_id, word) with unique ids. Step k of a walk draws a
     number from (seed, walk_id, k) and takes the successor whose range holds
-    it. A walk ends early at a word without successor. Each step is one join
-    of the walks still going, written to the shared folder; a walk carries its
-    phrase along, so the finished ones need no further shuffle.
+    it. A walk ends early at a word without successor. The index is stored in buckets
+    once; each step moves only the walks still going to them, and its result is written
+    to the shared folder. A walk carries its phrase along, so the finished ones stay put.
     """
-    ranges = materialize(word_ranges(totals, slot_rows), "ranges")
-    index = materialize(walk_index(totals, ranges, slot_rows), "index")
-    start = skew.salted_join(seeds.select("walk_id", "word"), ranges, ["word"], spread=F.col("walk_id"), how="left")
+    whole = totals.agg(F.sum("n")).first()[0] or 0
+    ranges = materialize(word_ranges(totals, whole, slot_rows), "ranges")
+    index = bucketed(walk_index(totals, ranges, whole, slot_rows), ["gram0", "slot"], "index")
+    start = seeds.select("walk_id", "word").join(ranges, "word", "left")
     first = start.select(
         "walk_id",
         F.lit(1).alias("words"),

@@ -43,6 +43,15 @@ SATELLITE = _struct(
     t=_LONG,
     d=T.ArrayType(_struct(PRN=_INT, el=_INT, az=_INT, ss=_INT, used=T.BooleanType())),
 )
+AVERAGES = _struct(
+    window_start=T.TimestampType(),
+    window_end=T.TimestampType(),
+    k=_STRING,
+    average_value=T.DoubleType(),
+    n=_LONG,
+    rejects=_LONG,
+)
+TAG_COUNTS = _struct(tag=_STRING, count=_LONG)
 BROKER = _struct(topic=_STRING, value=_STRING)
 
 SENSOR_COLUMNS = ("product_id", "qc_lot", "time", "w_x", "w_y", "w_z")

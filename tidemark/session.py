@@ -70,17 +70,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Input up to this size is worth one shuffle to occupy all cores.
-SPREAD_BYTES = 1 << 30
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder in sorted buckets of ``keys``.
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input to all cores before costly row-wise work.
-
-    A small file has few row groups and would keep few cores busy. Larger
-    input has splits enough and is returned as it is, without a shuffle.
+    A join on exactly these keys reads the buckets as they lie: only its other side
+    moves. There are as many buckets as the session has shuffle partitions.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > SPREAD_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    title = f"{name}_{uuid.uuid4().hex}"
+    # Rows are dealt to the buckets first, so that each bucket is one file.
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(count, *keys)
+    dealt.write.bucketBy(count, *keys).sortBy(*keys).option("path", path).saveAsTable(title)
+    return spark.table(title)

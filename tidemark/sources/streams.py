@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,13 +51,19 @@ def kafka_lines(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 def kafka_envelopes(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """Event envelopes of a Kafka topic, record headers as the property map."""
-    headers = F.transform("headers", lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8")))
-    properties = F.map_from_entries(headers).cast(T.MapType(T.StringType(), T.StringType()))
     return _kafka(spark, {**options, "includeHeaders": "true"}).select(
-        F.col("value").alias("body"), properties.alias("properties")
+        F.col("value").alias("body"), header_map(F.col("headers")).alias("properties")
     )
 
 
+def header_map(headers: Column) -> Column:
+    """Record headers as a map of texts; of a key that is given twice the last value counts."""
+    texts = F.transform(headers, lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8").alias("value")))
+    later = lambda h, i: F.exists(F.slice(texts, i + 2, F.size(texts)), lambda x: x["key"] == h["key"])
+    last = F.filter(texts, lambda h, i: ~later(h, i) & h["key"].isNotNull())
+    return F.map_from_entries(last).cast(T.MapType(T.StringType(), T.StringType()))
+
+
 def kafka_broker(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """``topic, value`` pairs, as a broker subscription gives them."""
     return _kafka(spark, options).select("topic", F.col("value").cast("string").alias("value"))

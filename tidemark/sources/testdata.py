@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,17 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Columns of the documents, dealt to all cores while the table is small."""
-    return spread(table(spark, sf_dir, "documents").select(*columns))
+    return table(spark, sf_dir, "documents").select(*columns)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
-    return spread(table(spark, sf_dir, "events")).withColumn("kk", k)
+    return table(spark, sf_dir, "events").withColumn("kk", k)
 
 
-def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON line per event: ``value STRING``.
+def message_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """One JSON line per event: ``value STRING``, and the event's columns in ``keep``.
 
     Hashtags are the event type and ``k<k>``, the latter given twice on every
     eleventh event; every third event mentions nobody and every seventh is a
@@ -46,6 +44,9 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def named(field: str, value: Column) -> Column:
         return F.struct(value.alias(field))
 
+    # The form of the feed, and a few texts that are no time.
+    feed = F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy")
+    created = F.when(F.col("event_id") % 101 == 0, "soon").otherwise(feed)
     hashtags = F.when(
         F.col("event_id") % 11 == 0, F.array(*[named("text", t) for t in (F.col("event_type"), tag, tag)])
     ).otherwise(F.array(named("text", F.col("event_type")), named("text", tag)))
@@ -54,7 +55,7 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+            created.alias("created_at"),
             text.alias("text"),
             F.struct(user.alias("screen_name")).alias("user"),
             F.struct(hashtags.alias("hashtags"), mentions.alias("user_mentions")).alias("entities"),
@@ -63,10 +64,10 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.struct(F.col("event_id").alias("id"), F.col("event_id").cast("string").alias("id_str"))
     tombstone = F.to_json(F.struct(F.struct(status.alias("status")).alias("delete")))
     is_tombstone = F.col("event_id") % 7 == 0
-    return _events(spark, sf_dir).select(F.when(is_tombstone, tombstone).otherwise(message).alias("value"))
+    return _events(spark, sf_dir).select(F.when(is_tombstone, tombstone).otherwise(message).alias("value"), *keep)
 
 
-def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """One device event per row of ``events``: two metrics in a JSON body.
 
     The first metric is the event type with its value, text that is no number
@@ -88,6 +89,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(
         records.to_bytes(body).alias("body"),
         F.create_map(F.lit("content-type"), F.lit("application/json"), F.lit("source"), source).alias("properties"),
+        *keep,
     )
 
 

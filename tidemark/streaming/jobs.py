@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from concurrent.futures import Future
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..operators import messages as msg
 from ..operators import metrics as mt
 from ..operators import topics as tp
 from ..operators import words as wd
 from ..plans import topic_report
+from ..sources import snapshots
 from ..sources.store import TableStore
 
 WATERMARK = "10 minutes"
@@ -25,8 +30,10 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None
 
 
 def run_for(query: StreamingQuery, seconds: int) -> None:
-    """Let a query run for a while, then stop it; the session stays usable."""
+    """Let a query run for a while, let it finish its batch, then stop it; the session stays usable."""
     if not query.awaitTermination(seconds):
+        while query.isActive and query.status["isTriggerActive"]:
+            time.sleep(0.05)
         query.stop()
 
 
@@ -43,18 +50,20 @@ def topic_history(
     lines: DataFrame,
     store: TableStore,
     checkpoint: str,
-    query_id: str = "topics",
     n: int = 3,
     on_interval: IntervalSink | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Append topics, users and mentions of each mini-batch to the store.
 
-    ``on_interval`` gets the topic report of the mini-batch. The store and the
-    batch number make a replayed batch harmless; an error ends the query.
+    ``on_interval`` gets the topic report of the mini-batch. A batch is stored under the
+    id that the checkpoint keeps for the query and its number: a replayed batch replaces
+    itself, a query with another checkpoint adds to the history. An error ends the query.
     """
+    identity: Future[str] = Future()
 
     def take(batch: DataFrame, batch_id: int) -> None:
+        query_id = identity.result()
         messages = msg.live(msg.parse(batch)).select("id", "user", "entities").persist()
         try:
             store.write_batch(msg.topics(messages), "topics", query_id, batch_id)
@@ -65,7 +74,9 @@ def topic_history(
         finally:
             messages.unpersist()
 
-    return start(lines.writeStream.foreachBatch(take), checkpoint, interval)
+    query = start(lines.writeStream.foreachBatch(take), checkpoint, interval)
+    identity.set_result(str(query.id))
+    return query
 
 
 def history_report(store: TableStore, n: int = 3) -> topic_report.TopicReport:
@@ -74,7 +85,9 @@ def history_report(store: TableStore, n: int = 3) -> topic_report.TopicReport:
 
 
 def _timed(lines: DataFrame, watermark: str) -> DataFrame:
-    return msg.with_time(msg.live(msg.parse(lines))).withWatermark("ts", watermark)
+    """Live messages with a readable time; ``msg.unreadable_times`` counts the others."""
+    timed = msg.with_time(msg.live(msg.parse(lines))).where(F.col("ts").isNotNull())
+    return timed.withWatermark("ts", watermark)
 
 
 def topic_windows(
@@ -84,13 +97,15 @@ def topic_windows(
     window: str = "2 hours",
     watermark: str = WATERMARK,
     interval: str | None = None,
+    running: bool = False,
 ) -> StreamingQuery:
     """Topic counts of closed windows, as a table for :func:`.topics.rank_windows`.
 
-    Spark does not rank inside a stream; the finished windows are ranked on read.
+    Spark does not rank inside a stream; the windows are ranked on read. ``running``
+    writes all windows as they change, for :func:`latest`.
     """
     counts = tp.windowed_counts(_timed(lines, watermark), window)
-    return file_sink(counts, path, checkpoint, "parquet", interval)
+    return updates(counts, path, checkpoint, interval) if running else file_sink(counts, path, checkpoint, "parquet", interval)
 
 
 def commentators(
@@ -139,10 +154,17 @@ def metric_averages(
     watermark: str = WATERMARK,
     epoch_offset_ms: int = 0,
     interval: str | None = None,
+    running: bool = False,
 ) -> StreamingQuery:
-    """Window averages, each written once its window is closed by the watermark."""
+    """Window averages, each written once its window is closed by the watermark.
+
+    ``running`` writes all windows as they change, for :func:`latest`.
+    """
     rows = mt.with_time(mt.metric_rows(envelopes), epoch_offset_ms).withWatermark("ts", watermark)
-    return file_sink(mt.windowed_average(rows, size, slide), path, checkpoint, "parquet", interval)
+    averages = mt.windowed_average(rows, size, slide)
+    if running:
+        return updates(averages, path, checkpoint, interval)
+    return file_sink(averages, path, checkpoint, "parquet", interval)
 
 
 def metric_sums(
@@ -159,23 +181,43 @@ def metric_sums(
     return file_sink(mt.windowed_sum(rows, size), path, checkpoint, "parquet", interval)
 
 
-def latest_averages(envelopes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Averages of the newest mini-batch, overwriting those of the one before."""
+def latest_averages(
+    envelopes: DataFrame,
+    path: str,
+    checkpoint: str,
+    size: str = "90 seconds",
+    slide: str | None = "30 seconds",
+    watermark: str = WATERMARK,
+    epoch_offset_ms: int = 0,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Averages of the newest window, a new snapshot whenever it changes (``snapshots.newest``)."""
+    rows = mt.with_time(mt.metric_rows(envelopes), epoch_offset_ms).withWatermark("ts", watermark)
+    windows = mt.windowed_average(rows, size, slide)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        averages = mt.average(mt.metric_rows(batch)).select("k", "average_value")
-        averages.write.mode("overwrite").csv(path)
+        # A batch brings every metric of a window that it changes, but not those it leaves.
+        batch = batch.persist()
+        try:
+            before = snapshots.newest(batch.sparkSession, path, batch.schema, below=batch_id)
+            both = batch.withColumn("_old", F.lit(0)).unionByName(before.withColumn("_old", F.lit(1)))
+            last = both.agg(F.max("window_end").alias("_last"))
+            latest = both.join(last, F.col("window_end") == F.col("_last")).drop("_last")
+            first = F.row_number().over(Window.partitionBy("k").orderBy("_old"))
+            snapshots.write(latest.withColumn("_n", first).where("_n = 1").drop("_n", "_old"), path, batch_id)
+        finally:
+            batch.unpersist()
 
-    return start(envelopes.writeStream.foreachBatch(take), checkpoint, interval)
+    return start(windows.writeStream.outputMode("update").foreachBatch(take), checkpoint, interval)
 
 
 def top_tags_snapshot(
     lines: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None
 ) -> StreamingQuery:
-    """The current top tags of the whole stream, as a table to poll."""
+    """The current top tags of the whole stream, a snapshot a batch to poll (``snapshots.newest``)."""
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        snapshots.write(batch, path, batch_id)
 
     top = wd.top_tags(wd.tag_counts(lines), n)
     return start(top.writeStream.outputMode("complete").foreachBatch(take), checkpoint, interval)
@@ -195,11 +237,27 @@ def tags_sliding(
     return file_sink(tags, path, checkpoint, "parquet", interval)
 
 
-def word_counts(lines: DataFrame, name: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Running word counts in an in-memory table; for small vocabularies and tests."""
-    counts = wd.word_count(lines)
-    writer = counts.writeStream.outputMode("complete").format("memory").queryName(name)
-    return start(writer, checkpoint, interval)
+def updates(groups: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Write the groups that each batch changes, open windows too; :func:`latest` reads them."""
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        # A replayed batch replaces its folder.
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return start(groups.writeStream.outputMode("update").foreachBatch(take), checkpoint, interval)
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The newest row of every group that :func:`updates` has written."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
+def word_counts(lines: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Running word counts; ``latest(spark, path, ["word"])`` has the newest of each word."""
+    return updates(wd.word_count(lines), path, checkpoint, interval)
 
 
 def console(df: DataFrame, checkpoint: str, rows: int = 50, interval: str | None = None) -> StreamingQuery:
@@ -212,6 +270,31 @@ def to_pandas(df: DataFrame, rows: int):
     return df.limit(rows).toPandas()
 
 
-def input_rows(query: StreamingQuery) -> int:
-    """Records taken in so far, from the progress reports: no extra job."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+class InputRows(StreamingQueryListener):
+    """Records taken in, by query; add it with ``spark.streams.addListener`` before the query starts.
+
+    It hears of every mini-batch, while a query itself remembers its last hundred only.
+    """
+
+    def __init__(self):
+        self.batches: dict[str, dict[int, int]] = {}
+        self.ended: set[str] = set()
+
+    def rows(self, query: StreamingQuery) -> int:
+        """Records of all batches of a query so far; waits for the last report of an ended one."""
+        while not query.isActive and str(query.runId) not in self.ended:
+            time.sleep(0.05)
+        return sum(self.batches.get(str(query.id), {}).values())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.batches.setdefault(str(progress.id), {})[progress.batchId] = progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
