@@ -19,12 +19,12 @@ _PIECE = 100
 MAX_WORDS, SEED = 6, 42
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed(spark: SparkSession, sf_dir: str, compression: str = "none") -> DataFrame:
     """The corpus as tab separated files in one folder per file number."""
     path = scratch_path(spark, "corpus")
     lines = testdata.ngrams(spark, sf_dir).drop("doc_id", "pos")
     # Rows of a folder meet in few tasks; a large folder is split over several.
-    files.write_tsv(lines.hint("rebalance", "file_no"), path, partition_by=["file_no"])
+    files.write_tsv(lines.hint("rebalance", "file_no"), path, partition_by=["file_no"], compression=compression)
     return files.read_ngrams(spark, path, _FILE_NO)
 
 
@@ -42,6 +42,12 @@ def ngram_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir).select("file_no", "bi_gram", "year", "match_count")
 
 
+@query(f"WITH {NGRAMS} SELECT file_no, bi_gram, year, match_count FROM lines")
+def ngram_scan_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from gzip files, which Spark inflates as it reads."""
+    return _landed(spark, sf_dir, "gzip").select("file_no", "bi_gram", "year", "match_count")
+
+
 @query(f"WITH {NGRAMS} SELECT file_no, bi_gram, year, match_count FROM lines WHERE file_no BETWEEN 0 AND 32")
 def corpus_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files one of three nodes would hold; other folders are not read."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,8 +57,10 @@ def read_ngrams(spark: SparkSession, path: str | list[str], partitions: T.Struct
     return spark.read.schema(schema).options(**_TSV).csv(path)
 
 
-def write_tsv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**_TSV).partitionBy(*partition_by).csv(path)
+def write_tsv(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists", compression: str = "none"
+) -> None:
+    df.write.mode(mode).options(**_TSV, compression=compression).partitionBy(*partition_by).csv(path)
 
 
 def read_counts(spark: SparkSession, paths: str | list[str], base: str | None = None) -> DataFrame:
@@ -89,7 +92,20 @@ _ZIP_LINES = T.StructType(
         T.StructField("value", T.StringType()),
     ]
 )
-_ZIP_BATCH = 50_000
+_ZIP_BLOCK = 1 << 22
+
+
+def _whole_lines(raw: IO[bytes]) -> Iterator[bytes]:
+    """Blocks of a file that each end with a line; a last line without an end gets one."""
+    rest = b""
+    while block := raw.read(_ZIP_BLOCK):
+        block = rest + block
+        cut = block.rfind(b"\n") + 1
+        rest = block[cut:]
+        if cut:
+            yield block[:cut]
+    if rest:
+        yield rest + b"\n"
 
 
 def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,16 +115,11 @@ def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             archive = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
             for member in archive.namelist():
                 with archive.open(member) as raw:
-                    lines = io.TextIOWrapper(raw, encoding="utf-8", newline="\n")
-                    pending: list[str] = []
                     start = 1
-                    for line in lines:
-                        pending.append(line.rstrip("\n"))
-                        if len(pending) == _ZIP_BATCH:
-                            yield _line_batch(names, path, member, start, pending)
-                            start, pending = start + len(pending), []
-                    if pending:
-                        yield _line_batch(names, path, member, start, pending)
+                    for block in _whole_lines(raw):
+                        lines = block[:-1].decode("utf-8").split("\n")
+                        yield _line_batch(names, path, member, start, lines)
+                        start += len(lines)
 
 
 def _line_batch(names: list[str], path: str, member: str, start: int, lines: list[str]) -> pa.RecordBatch:
