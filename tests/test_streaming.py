@@ -13,7 +13,7 @@ from tidemark.operators import metrics, words
 from tidemark.operators import topics as tp
 from tidemark.plans import topic_report
 from tidemark.sources import files, snapshots, streams
-from tidemark.sources.store import TableStore
+from tidemark.sources.store import AppendStore, TableStore
 from tidemark.streaming import jobs
 
 TABLES = {"topics": schemas.TOPICS, "users": schemas.USERS, "mentions": schemas.MENTIONS}
@@ -82,6 +82,15 @@ def test_replayed_batch_replaces_itself(spark, rows, tmp_path):
     assert rows(store.read("topics", with_batch=True).where("batch_id = 1"), "id", "query_id") == [(3, "q")]
 
 
+def test_any_source_that_appends_keeps_the_last_attempt(spark, rows, tmp_path):
+    store = AppendStore(spark, "orc", TABLES, lambda name: {"path": str(tmp_path / name)})
+    store.write_batch(spark.createDataFrame([(1, "a"), (1, "b")], schemas.TOPICS), "topics", "q", 0)
+    store.write_batch(spark.createDataFrame([(3, "c")], schemas.TOPICS), "topics", "q", 1)
+    store.write_batch(spark.createDataFrame([(1, "a"), (1, "a")], schemas.TOPICS), "topics", "q", 0)
+    assert rows(store.read("topics")) == [(1, "a"), (1, "a"), (3, "c")]
+    assert rows(store.read("topics", with_batch=True).where("batch_id = 1"), "id", "query_id") == [(3, "q")]
+
+
 def test_reset_and_untouched_tables_read_as_empty(spark, rows, tmp_path):
     store = TableStore(spark, str(tmp_path / "store"), TABLES)
     assert store.read("users").count() == 0

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,3 +64,41 @@ class TableStore:
         jvm = self.spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+class AppendStore:
+    """The same relations in any source that can append, such as a database connector.
+
+    ``options`` gives a table's options of the source by its name. A source that can't
+    replace a batch keeps every attempt at it; reading takes the last attempt of each.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        format: str,
+        tables: dict[str, T.StructType],
+        options: Callable[[str], Mapping[str, str]],
+    ):
+        self.spark, self.format, self.tables, self.options = spark, format, tables, options
+
+    def write_batch(self, df: DataFrame, name: str, query_id: str, batch_id: int) -> None:
+        columns = self.tables[name].fieldNames()
+        # A later attempt has a later time; the random part keeps equal times apart.
+        attempt = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        batch = df.select(
+            *columns,
+            F.lit(query_id).alias("query_id"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(attempt).alias("attempt"),
+        )
+        batch.write.format(self.format).options(**self.options(name)).mode("append").save()
+
+    def read(self, name: str, with_batch: bool = False) -> DataFrame:
+        """All rows of the last attempts; the table must exist in the source."""
+        batch = ["query_id", "batch_id"]
+        rows = self.spark.read.format(self.format).options(**self.options(name)).load()
+        last = rows.groupBy(*batch).agg(F.max("attempt").alias("attempt"))
+        kept = rows.join(last, [*batch, "attempt"], "left_semi")
+        columns = self.tables[name].fieldNames()
+        return kept.select(*columns, *batch) if with_batch else kept.select(*columns)
