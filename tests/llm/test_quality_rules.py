@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
 import duckdb
 import pytest
 
+from tidemark.llm import quality_rules
 from tidemark.llm.quality_rules import judge, op3_ngram_ratio_rules, ratios
 
 from .conftest import SMALL, prose
@@ -70,3 +72,31 @@ def test_score_is_the_mean_log_ratio(spark, documents):
     low = judge(docs, ratios(docs, trusted, buckets=64), buckets=64).collect()
     ratio = {r.doc_id: r.score for r in low}
     assert ratio[1] > 0.2 and ratio[2] < -1
+
+
+def test_verdicts_hold_as_the_corpus_grows(spark):
+    sf = SMALL.replace("0.001", "0.1")
+    every, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    for parts in (16, 1):
+        docs = every.where(f"pmod(xxhash64(doc_id), {parts}) = 0")
+        rows = judge(docs, ratios(docs, labels.where("quality = 1"))).collect()
+        judged = [(quality[r.doc_id], r.kept) for r in rows if r.doc_id in quality and not r.base_failed]
+        good, low = ([kept for q, kept in judged if q == wanted] for wanted in (1, 0))
+        assert sum(good) >= 0.99 * len(good) > 0 and sum(low) <= 0.03 * len(low) and low
+
+
+def test_scores_equal_a_plain_version(spark, documents, monkeypatch):
+    monkeypatch.setattr(quality_rules, "_SLOTS", 8)  # few places, so that most n-grams join the table
+    pairs = [(i, prose(i % 7, 30 + i) + " the end" * (i % 3)) for i in range(20)] + [(3, prose(3, 33)), (None, "the end")]
+    good = {0, 3, 5, 11}
+    grams = lambda t: (w := t.split()) + list(zip(w, w[1:]))
+    all_, some = Counter(), Counter()
+    for i, t in pairs:
+        all_.update(grams(t))
+        some.update(grams(t) if i in good else [])
+    share = some.total() / all_.total()
+    want = sorted(sum(math.log((some[g] + 1) / (all_[g] * share + 1)) for g in grams(t)) / len(grams(t)) for _, t in pairs)
+    docs = documents(pairs)
+    rows = judge(docs, ratios(docs, spark.createDataFrame([(i,) for i in good], "doc_id long"))).collect()
+    assert sorted(r.score for r in rows) == pytest.approx(want)

@@ -1,12 +1,13 @@
 """Quality rules: counts of a text, and a likelihood ratio of its n-grams.
 
-Words and pairs of neighbouring words are hashed to buckets. Two multinomials over the
-buckets, one of trusted documents and one of the whole corpus, give each bucket the
-logarithm of their ratio; a document's score is the mean over its n-grams, so length
-does not count. Every document at or above the threshold passes.
-
-All of it is column expressions. The ratios are one array of fixed size, which reaches
-the scoring scan as the value of a scalar subquery; no text is shuffled.
+N-grams are words and pairs of neighbouring words, each by its 64-bit hash. Two
+multinomials over them, one of trusted documents and one of the whole corpus, give each
+n-gram the logarithm of their ratio; a document's score is the mean over its n-grams, so
+length does not count. Every document at or above the threshold passes.
+
+All of it is column expressions. The counts are a stored table of every n-gram. Those of
+the most frequent ones reach the scoring scan as an array of fixed size, the value of a
+scalar subquery, so that no frequent n-gram is a join key; the rest join the table by hash.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from .tables import store, table
 _GAPS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8  # words of a window that repeats
+_SLOTS = 1 << 16  # places for frequent n-grams
 
 
 def _text() -> Column:
@@ -37,34 +39,77 @@ def _with_hashes(docs: DataFrame) -> DataFrame:
     return rows.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
-def _buckets(buckets: int) -> Column:
-    """Buckets of the words, and in a range of their own those of neighbouring words."""
-    single = F.transform("_hashes", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _grams(buckets: int | None) -> Column:
+    """Hashes of the words and of neighbouring words, or their buckets in two ranges."""
     after = F.slice("_hashes", 2, F.greatest(F.size("_hashes"), F.lit(1)))
-    pairs = F.zip_with("_hashes", after, lambda a, b: (F.pmod(F.xxhash64(a, b), F.lit(buckets)) + buckets).cast("int"))
+    pairs = F.zip_with("_hashes", after, lambda a, b: F.xxhash64(a, b))
     # The last word has no neighbour; its place is cut off.
-    return F.concat(single, F.slice(pairs, 1, F.greatest(F.size("_hashes") - 1, F.lit(0))))
+    pairs = F.slice(pairs, 1, F.greatest(F.size("_hashes") - 1, F.lit(0)))
+    if buckets is None:
+        return F.concat("_hashes", pairs)
+    single = F.transform("_hashes", lambda h: F.pmod(h, F.lit(buckets)))
+    return F.concat(single, F.transform(pairs, lambda h: F.pmod(h, F.lit(buckets)) + buckets))
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = 1 << 14, sample: int = 50_000) -> DataFrame:
-    """One row with ``ratio array<double>``: log(trusted / corpus) for every bucket.
+def ratios(docs: DataFrame, trusted: DataFrame, buckets: int | None = None, sample: int = 50_000) -> DataFrame:
+    """``gram, all, ratio``: occurrences in ``docs``, and log(trusted / corpus), of every n-gram.
 
-    The corpus counts cover all of ``docs``. The trusted counts cover the documents of at
-    most ``sample`` ids of ``trusted``, taken by a hash of the id, so that the broadcast
-    list of ids has a fixed size. Each count gets 1 more; without trusted documents all
-    ratios are those of a uniform target.
+    Counts cover all of ``docs``, trusted ones those of at most ``sample`` ids of ``trusted``. An n-gram
+    gets one trusted occurrence more, and as many of the corpus as belong to one: with 1
+    more on both sides the n-grams not seen, which grow with the corpus, would take most of
+    the trusted mass. Without trusted documents all ratios are 0. With ``buckets``, n-grams
+    of a bucket count as one.
     """
     marks = trusted.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     marks = F.broadcast(marks.withColumn("_good", F.lit(1).cast("bigint")))
     rows = _with_hashes(docs.select("doc_id", _text().alias("_text")).join(marks, "doc_id", "left"))
-    grams = rows.select("_good", F.explode(_buckets(buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("all"), F.sum(F.coalesce("_good", F.lit(0))).alias("good"))
-    every = docs.sparkSession.range(0, 2 * buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"))
-    counts = every.join(counts, "bucket", "left").fillna(0)
-    lists = counts.agg(F.array_sort(F.collect_list(F.struct("bucket", "good", "all"))).alias("c"), F.sum("good").alias("g"), F.sum("all").alias("a"))
-    size = 2 * buckets
-    share = lambda c: F.log((c["good"] + 1) / (F.col("g") + size)) - F.log((c["all"] + 1) / (F.col("a") + size))
-    return store(lists.select(F.transform("c", share).alias("ratio")), "ratios")
+    # Outer: otherwise the plan makes the arrays once more, to leave out empty ones ahead.
+    grams = rows.select("_good", F.explode_outer(_grams(buckets)).alias("gram")).where("gram is not null")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("all"), F.sum(F.coalesce("_good", F.lit(0))).alias("good"))
+    counts = store(counts, "grams")
+    share = counts.agg((F.sum("good") / F.sum("all")).alias("share")).first()["share"] or 0.0
+    return counts.select("gram", "all", F.log((F.col("good") + 1) / (F.col("all") * share + 1)).alias("ratio"))
+
+
+def _frequent(ratio: DataFrame) -> DataFrame:
+    """One row with ``frequent``: ``_SLOTS`` places by hash, each with its most frequent n-gram.
+
+    N-grams below one in 16 * ``_SLOTS`` occurrences take no place.
+    """
+    total = ratio.agg(F.sum("all").alias("total"))
+    often = ratio.where(F.col("all") * 16 * _SLOTS > total.scalar()).groupBy(F.pmod("gram", F.lit(_SLOTS)).alias("slot"))
+    often = often.agg(F.max(F.struct("all", "gram", "ratio")).alias("x"))
+    every = ratio.sparkSession.range(0, _SLOTS, 1, 1).select(F.col("id").alias("slot")).join(often, "slot", "left")
+    lists = every.agg(F.array_sort(F.collect_list(F.struct("slot", "x.gram", "x.ratio"))).alias("frequent"))
+    return store(lists.select(F.transform("frequent", lambda x: F.struct(x["gram"], x["ratio"])).alias("frequent")), "frequent")
+
+
+def _key() -> Column:
+    """Rows with one id and one text have one key, and one score."""
+    return F.xxhash64("doc_id", "_text")
+
+
+def _sums(rows: DataFrame, ratio: DataFrame, buckets: int | None) -> DataFrame:
+    """``_key, _sum``: the sum of the ratios of a text's n-grams, of all ``rows``.
+
+    Rows have doc_id and _text. An n-gram that the corpus lacks adds nothing.
+    """
+    rows = _with_hashes(rows).select(_key().alias("_key"), _grams(buckets).alias("_grams"))
+    # Named once only: then the plan holds the array in place and doesn't copy it into each row.
+    rows = rows.withColumn("_frequent", _frequent(ratio).scalar())
+    found = F.transform("_grams", lambda g: F.struct(g.alias("gram"), F.get("_frequent", F.pmod(g, F.lit(_SLOTS)).cast("int")).alias("x")))
+    value = lambda f: F.when(f["x"]["gram"] == f["gram"], f["x"]["ratio"])
+    rows = rows.select("_key", F.transform(found, lambda f: F.struct(f["gram"], value(f).alias("known"))).alias("_found"))
+    known = F.aggregate("_found", F.lit(0.0), lambda acc, f: acc + F.coalesce(f["known"], F.lit(0.0)))
+    # Each text has a row for its frequent ones, spread by the key; the others wait for the table.
+    first = F.array(F.struct(F.col("_key").alias("gram"), known.alias("known")))
+    rows = rows.select("_key", F.concat(first, F.filter("_found", lambda f: f["known"].isNull())).alias("_grams"))
+    grams = rows.select("_key", F.explode_outer("_grams").alias("g"))
+    found = grams.select("_key", "g.*").join(ratio.select("gram", "ratio"), "gram", "left")
+    value = F.coalesce("known", "ratio", F.lit(0.0))
+    # Rows that repeat share a key, each with the same sum.
+    sums = found.groupBy("_key").agg((F.sum(value) / F.count("known")).alias("_sum"))
+    return store(sums, "sums")
 
 
 def _repeat_words() -> Column:
@@ -112,16 +157,17 @@ def counts(docs: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", _repeat_words()).drop("_places")
 
 
-def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: int = 1 << 14) -> DataFrame:
+def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: int | None = None) -> DataFrame:
     """The counts, the score and the verdict for every row.
 
-    A NULL text counts as empty; without words the score is 0 and the base rules fail.
-    Rows that repeat are judged each by itself.
+    ``ratio`` comes from ``ratios`` with the same ``buckets``. A NULL text counts as empty;
+    without words the score is 0 and the base rules fail. Rows that repeat are judged each
+    by itself.
     """
-    rows = counts(docs.select("doc_id", _text().alias("_text"))).withColumn("_grams", _buckets(buckets))
-    rows = rows.drop("_text", "_hashes").withColumn("_ratio", ratio.scalar())
-    total = F.aggregate("_grams", F.lit(0.0), lambda acc, b: acc + F.get("_ratio", b))
-    score = F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(0.0)
+    texts = docs.select("doc_id", _text().alias("_text"))
+    sums = _sums(texts, ratio, buckets)
+    rows = counts(texts).withColumn("_key", _key()).drop("_text", "_hashes").join(sums, "_key", "left")
+    score = F.when(F.col("n_words") > 0, F.col("_sum") / (2 * F.col("n_words") - 1)).otherwise(0.0)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = rows.withColumns({"score": score, "base_failed": failed})
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select(
