@@ -100,3 +100,8 @@ def test_scores_equal_a_plain_version(spark, documents, monkeypatch):
     docs = documents(pairs)
     rows = judge(docs, ratios(docs, spark.createDataFrame([(i,) for i in good], "doc_id long"))).collect()
     assert sorted(r.score for r in rows) == pytest.approx(want)
+
+
+def test_all_trusted_rows_count(spark):
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('w', id, ' x') AS text")
+    assert ratios(docs, docs.select("doc_id")).where("abs(ratio) > 1e-9").count() == 0

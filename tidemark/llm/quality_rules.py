@@ -51,17 +51,16 @@ def _grams(buckets: int | None) -> Column:
     return F.concat(single, F.transform(pairs, lambda h: F.pmod(h, F.lit(buckets)) + buckets))
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, buckets: int | None = None, sample: int = 50_000) -> DataFrame:
+def ratios(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
     """``gram, all, ratio``: occurrences in ``docs``, and log(trusted / corpus), of every n-gram.
 
-    Counts cover all of ``docs``, trusted ones those of at most ``sample`` ids of ``trusted``. An n-gram
+    Counts cover all of ``docs``, trusted ones those whose id is in ``trusted``. An n-gram
     gets one trusted occurrence more, and as many of the corpus as belong to one: with 1
     more on both sides the n-grams not seen, which grow with the corpus, would take most of
     the trusted mass. Without trusted documents all ratios are 0. With ``buckets``, n-grams
     of a bucket count as one.
     """
-    marks = trusted.select("doc_id").dropna().distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    marks = F.broadcast(marks.withColumn("_good", F.lit(1).cast("bigint")))
+    marks = trusted.select("doc_id").dropna().distinct().withColumn("_good", F.lit(1).cast("bigint"))
     rows = _with_hashes(docs.select("doc_id", _text().alias("_text")).join(marks, "doc_id", "left"))
     # Outer: otherwise the plan makes the arrays once more, to leave out empty ones ahead.
     grams = rows.select("_good", F.explode_outer(_grams(buckets)).alias("gram")).where("gram is not null")
