@@ -95,3 +95,12 @@ def test_query(spark, sf):
     whole = {(d, i) for d, t in texts.items() for i, x in items.items() if words(x) in words(t)}
     assert whole == {(d, i) for d, r in rows.items() for i, k in zip(r.item_ids, r.distances, strict=True) if k == 0}
     assert all(r.contaminated == bool(r.item_ids) for r in rows.values()) and len(whole) > 5
+
+
+def test_short_items_have_a_column_of_their_own(documents, spark):
+    rows = [(1, "Short!"), (2, "short cut"), (3, "short"), (4, "?"), (None, "cut x")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = documents([(1, "a SHORT  cut x"), (2, "shorter cuts"), (3, "short"), (4, None), (5, "?")])
+    for block in (1 << 22, 7):
+        got = {r.doc_id: (sorted(r.short_items, key=str), r.matches) for r in find(docs, bench, block=block).collect()}
+        assert got == {1: ([1, 2, 3, None], []), 2: ([], []), 3: ([1, 3], []), 4: ([], []), 5: ([], [])}

@@ -7,6 +7,7 @@ Myers' bit-parallel method, a few operations on whole bit vectors for each chara
 
 Text and items are compared as lower-case words, one blank between them. The benchmark
 is handled in blocks of bounded size; every block looks at every text, row by row.
+Short items are looked for as they are, on word boundaries, and told apart.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from . import query
 from .tables import table
 
 _MATCHES = "array<struct<item_id: long, distance: int, start: int, stop: int>>"
+_FOUND = f"struct<short_items: array<long>, matches: {_MATCHES}>"
 
 # Letters and digits stay, as do the bytes of other characters; the rest are blanks.
 _PLAIN = bytes(c if chr(c).isalnum() or c >= 0x80 else 0x20 for c in range(256))
@@ -112,23 +114,47 @@ class Matcher:
         return sorted(out, key=lambda x: (x["item_id"] is None, x["item_id"] or 0, x["start"]))
 
 
-def _looking_for(held, error: float):
+class ShortMatcher:
+    """Finds the short items of one block in texts, unchanged and as whole words."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        self.machine = ahocorasick.Automaton()
+        ids: dict[str, list[int]] = {}
+        for i, text in items:
+            ids.setdefault(f" {text} ", []).append(i)
+        for key, of_key in ids.items():
+            self.machine.add_word(key, (key, of_key))
+        if ids:
+            self.machine.make_automaton()
+
+    def __call__(self, raw: str | None) -> list[int]:
+        if not len(self.machine):
+            return []
+        found = dict(x for _, x in self.machine.iter(f" {normal(raw)} "))
+        return sorted((i for ids in found.values() for i in ids), key=lambda i: (i is None, i or 0))
+
+
+def _looking_for(held, error: float, shortest: int):
     kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.int32()) for c in ("distance", "start", "stop"))]))
 
-    @F.arrow_udf(_MATCHES)
+    @F.arrow_udf(_FOUND)
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(held.value, error)
+        matcher = Matcher([x for x in held.value if len(x[1]) >= shortest], error)
+        short = ShortMatcher([x for x in held.value if len(x[1]) < shortest])
         for texts in batches:
-            yield pa.array([matcher(t.as_py()) for t in texts], kind)
+            texts = texts.to_pylist()
+            found = [pa.array(map(short, texts), pa.list_(pa.int64())), pa.array(map(matcher, texts), kind)]
+            yield pa.StructArray.from_arrays(found, ["short_items", "matches"])
 
     return match
 
 
 def find(docs: DataFrame, benchmark: DataFrame, error: float = 0.05, shortest: int = 20, block: int = 1 << 22) -> DataFrame:
-    """The rows of ``docs`` with a last column ``matches``: the items each text holds.
+    """The rows of ``docs`` with ``short_items`` and a last column ``matches``: the items each text holds.
 
-    ``benchmark`` has item_id and text; items whose normal form is below ``shortest`` bytes
-    say too little and are not looked for. A match has the best distance, at most
+    ``benchmark`` has item_id and text. Items whose normal form is below ``shortest`` bytes
+    say too little to be matches; ``short_items`` has the ids of those that stand in the text
+    unchanged, as whole words. Items without a word are in no text. A match has the best distance, at most
     ``error`` times the item's length, and its place in the normal form of the document.
     A NULL or empty text has no matches; repeated rows and items count each by itself.
     ``block`` bounds the bytes of items that are sent to the executors at a time.
@@ -140,12 +166,17 @@ def find(docs: DataFrame, benchmark: DataFrame, error: float = 0.05, shortest: i
     columns = []
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        known = [(i, n) for i, t in mine if len(n := normal(t)) >= shortest]
+        known = [(i, n) for i, t in mine if (n := normal(t))]
         known.sort(key=lambda x: (x[1], x[0] is None, x[0] or 0))
         held = spark.sparkContext.broadcast(known)
 
-        columns.append(_looking_for(held, error)(F.col("text").cast("string")))
-    return docs.withColumn("matches", F.concat(F.array().cast(_MATCHES), *columns))
+        columns.append(_looking_for(held, error, shortest)(F.col("text").cast("string")))
+    found = docs.select("*", *[c.alias(f"_found_{b}") for b, c in enumerate(columns)])
+    short = [F.col(f"_found_{b}.short_items") for b in range(blocks)]
+    matches = [F.col(f"_found_{b}.matches") for b in range(blocks)]
+    found = found.withColumn("short_items", F.concat(F.array().cast("array<long>"), *short))
+    found = found.withColumn("matches", F.concat(F.array().cast(_MATCHES), *matches))
+    return found.drop(*[f"_found_{b}" for b in range(blocks)])
 
 
 @query()
@@ -157,4 +188,5 @@ def op6_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         (F.size("matches") > 0).alias("contaminated"),
         F.col("matches.item_id").alias("item_ids"),
         F.col("matches.distance").alias("distances"),
+        "short_items",
     )
