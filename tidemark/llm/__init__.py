@@ -26,4 +26,4 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    from . import decontaminate, hash_tree, mixing, near_dup, pu_toxicity, quality_rules, secret_scan, suffix_dedup, token_files, url_filter, vector_dedup, word_runs  # noqa: F401
+    from . import decontaminate, hash_tree, mixing, near_dup, pu_toxicity, quality_rules, secret_scan, spelling, suffix_dedup, token_files, url_filter, vector_dedup, word_runs  # noqa: F401
