@@ -82,6 +82,132 @@ def test_replayed_batch_replaces_itself(spark, rows, tmp_path):
     assert rows(store.read("topics", with_batch=True).where("batch_id = 1"), "id", "query_id") == [(3, "q")]
 
 
+def many_batches(spark, n, per_batch=3):
+    rows = spark.range(n * per_batch).select(F.col("id"), F.concat(F.lit("t"), F.col("id") % 7).alias("topic"))
+    return rows, F.floor(F.col("id") / per_batch)
+
+
+def test_compaction_bounds_the_files_of_a_thousand_batches(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"), TABLES, fan=4)
+    history, batch = many_batches(spark, 1000)
+    before = 0
+    for first in range(0, 1000, 100):
+        store.load(history.where(batch.between(first, first + 99)), "topics", "q", batch)
+        before = max(before, store.files("topics"))
+        assert store.compact("topics")
+        assert not store.compact("topics")
+        # At most three runs of a level and the newest batch stay.
+        assert store.files("topics") <= 3 * 3 * 4 + 4
+    assert before >= 100
+    assert sorted(store.read("topics").collect()) == sorted(history.collect())
+    assert store.read("topics", with_batch=True).where(f"batch_id != floor(id / 3)").isEmpty()
+    # Merged folders go one compaction later.
+    left = [p for p in (tmp_path / "store/topics/batches/query_id=q").iterdir() if p.name.startswith("batch_id=")]
+    assert len(left) <= 101
+
+
+def test_a_merged_batch_is_final(spark, rows, tmp_path):
+    def frame(*pairs):
+        return spark.createDataFrame(pairs, schemas.TOPICS)
+
+    store = TableStore(spark, str(tmp_path / "store"), TABLES)
+    for b in range(3):
+        store.write_batch(frame((b, "a"), (b, "b")), "topics", "q", b)
+    store.write_batch(frame((9, "x")), "topics", "other", 0)
+    assert store.compact("topics")
+    want = rows(store.read("topics"))
+    # Another process replays an old batch, the newest batch, and the only one of another query.
+    again = TableStore(spark, str(tmp_path / "store"), TABLES)
+    again.write_batch(frame((0, "a"), (0, "b")), "topics", "q", 0)
+    again.write_batch(frame((2, "a"), (2, "b")), "topics", "q", 2)
+    again.write_batch(frame((9, "x")), "topics", "other", 0)
+    assert rows(again.read("topics")) == want == rows(store.read("topics"))
+    assert len(want) == 7
+    again.write_batch(frame((2, "c")), "topics", "q", 2)
+    assert rows(again.read("topics").where("id = 2")) == [(2, "c")]
+    again.reset("topics")
+    assert again.read("topics").isEmpty()
+
+
+def test_a_compaction_that_fails_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "store"), TABLES)
+    history, batch = many_batches(spark, 5)
+    store.load(history, "topics", "q", batch)
+    monkeypatch.setattr(TableStore, "_commit", lambda *_: (_ for _ in ()).throw(OSError("no")))
+    with pytest.raises(OSError):
+        store.compact("topics")
+    monkeypatch.undo()
+    assert rows(store.read("topics")) == rows(history)
+    assert store.compact("topics")
+    assert rows(store.read("topics")) == rows(history)
+    # The run of the failed attempt is gone.
+    assert len(list((tmp_path / "store/topics/runs").iterdir())) == 1
+
+
+def test_a_lookup_reads_the_files_of_its_range(spark, rows, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"), TABLES)
+    history, batch = many_batches(spark, 40, 500)
+    store.load(history, "topics", "q", batch)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.compact("topics")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = store.lookup("topics", 100, 140)
+    assert rows(found) == rows(history.where("id BETWEEN 100 AND 140"))
+    runs = [f for f in found.inputFiles() if "/runs/" in f]
+    assert len(runs) == 1 < store.files("topics") - 1
+    assert rows(store.lookup("topics", 19_900, 30_000)) == rows(history.where("id >= 19900"))
+    assert rows(store.lookup("topics", -5, -1)) == []
+
+
+def test_states_merge_on_read_and_at_compaction(spark, rows, tmp_path):
+    store = jobs.history_store(spark, str(tmp_path / "store"), relations=False)
+    for b, pairs in enumerate([[("x", 2), ("y", 1)], [("x", 5)], [("z", 1), ("x", 1)], [("y", 4)]]):
+        store.write_batch(spark.createDataFrame(pairs, schemas.TOPIC_COUNTS), "topic_counts", "q", b)
+        store.write_batch(spark.createDataFrame([("x", "u"), ("y", f"u{b}")], schemas.USER_TOPICS), "user_topics", "q", b)
+        want = rows(store.read("topic_counts"))
+        if b:
+            store.compact("topic_counts", least=1)
+            store.compact("user_topics", least=1)
+        assert rows(store.read("topic_counts")) == want
+    assert want == [("x", 8), ("y", 5), ("z", 1)]
+    assert rows(store.read("user_topics")) == [("x", "u"), *(("y", f"u{b}") for b in range(4))]
+    assert rows(store.lookup("topic_counts", "y", "z")) == [("y", 5), ("z", 1)]
+
+
+def test_the_final_report_reads_states_alone(spark, tmp_path):
+    store = jobs.history_store(spark, str(tmp_path / "store"))
+    land(tmp_path / "landing", "0.json", batch_texts(0))
+    lines = streams.text_lines(spark, str(tmp_path / "landing"))
+    jobs.drain(jobs.topic_history(lines, store, str(tmp_path / "progress"), compact_every=1))
+    report = jobs.history_report(store, 3)
+    read = {f.split("/store/")[1].split("/")[0] for frame in report for f in frame.inputFiles()}
+    assert read == {"topic_counts", "user_topics", "mention_topics"}
+
+
+def test_deleted_messages_leave_the_history(spark, rows, tmp_path):
+    def gone(i):
+        return json.dumps({"delete": {"status": {"id": i, "id_str": str(i)}}})
+
+    landing = tmp_path / "landing"
+    store = jobs.history_store(spark, str(tmp_path / "store"))
+    # Before, with and after its message; one for a message that never comes.
+    batches = [[gone(25), *batch_texts(0, 20)], [gone(3), gone(22), *batch_texts(20, 20)], [gone(39), gone(999)], batch_texts(40, 5)]
+    for k, texts in enumerate(batches):
+        land(landing, f"{k}.json", texts)
+        lines = streams.text_lines(spark, str(landing))
+        jobs.drain(jobs.topic_history(lines, store, str(tmp_path / "progress"), compact_every=3))
+    m = msg.parse(spark.createDataFrame([(t,) for b in batches for t in b], "value string"))
+    kept = m.where("id NOT IN (3, 9, 22, 25, 39)")
+    # The first two batches were merged when all notices had come.
+    assert rows(store.read("topics")) == rows(msg.topics(kept))
+    assert rows(store.read("topics", live=True)) == rows(msg.topics(kept))
+    live = jobs.history_report(store, 3, live=True).as_rows()
+    assert rows(live) == rows(topic_report.from_messages(kept, 3).as_rows())
+    assert rows(jobs.history_report(store, 3).as_rows()) == rows(topic_report.from_messages(m, 3).as_rows())
+
+
 def test_any_source_that_appends_keeps_the_last_attempt(spark, rows, tmp_path):
     store = AppendStore(spark, "orc", TABLES, lambda name: {"path": str(tmp_path / name)})
     store.write_batch(spark.createDataFrame([(1, "a"), (1, "b")], schemas.TOPICS), "topics", "q", 0)

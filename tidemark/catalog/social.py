@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import files, testdata
 from ..sources.store import TableStore
 from . import query
-from .fixtures import MESSAGES
+from .fixtures import MESSAGES, RAW
 
 TOP = 10
 
@@ -249,6 +249,61 @@ def history_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_topics(spark, sf_dir).read("topics").orderBy("id", "topic").limit(3)
 
 
+_BATCHES = 12
+
+
+def _history(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Topics of twelve mini-batches, the closed ones merged into one run, and a replay of a merged batch."""
+    store = TableStore(spark, scratch_path(spark, "store"), {"topics": schemas.TOPICS})
+    found = topics(spark, sf_dir)
+    batch = F.pmod("id", F.lit(_BATCHES))
+    store.load(found, "topics", "load", batch)
+    store.compact("topics")
+    store.write_batch(found.where(batch == 3), "topics", "load", 3)
+    return store
+
+
+@query(f"WITH {MESSAGES} SELECT id, topic, id % {_BATCHES} AS batch FROM topics")
+def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of several mini-batches after compaction."""
+    read = _history(spark, sf_dir).read("topics", with_batch=True)
+    # A replayed batch is in the run once.
+    return read.select("id", "topic", F.col("batch_id").alias("batch"))
+
+
+@query(f"""WITH {MESSAGES}, bounds AS (SELECT max(event_id) // 3 AS low, max(event_id) // 3 + 500 AS high FROM events)
+SELECT id, topic FROM topics, bounds WHERE id BETWEEN low AND high""")
+def history_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of ids out of a compacted history, from the files that may hold it."""
+    low = testdata.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] // 3
+    return _history(spark, sf_dir).lookup("topics", low, low + 500)
+
+
+@query(f"""WITH {RAW}, said AS (
+  SELECT event_id AS id, event_type AS topic FROM raw UNION ALL SELECT event_id, 'k' || kk FROM raw)
+SELECT id, topic FROM said WHERE id % 7 <> 0""")
+def deletes_over_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history without the messages that were deleted, by notices before, with and after them.
+
+    Every event says its type and its number. A notice for each seventh comes in a
+    batch of its own choice; half of the batches are compacted with the notices known by then.
+    """
+    events = testdata.table(spark, sf_dir, "events")
+    words = F.array("event_type", F.concat(F.lit("k"), F.get_json_object("props", "$.k")))
+    said = events.select(F.col("event_id").alias("id"), F.explode(words).alias("topic"))
+    gone = events.where("event_id % 7 = 0").select(F.col("event_id").alias("id"))
+    tables = {"topics": schemas.TOPICS, "deleted": schemas.DELETED}
+    store = TableStore(spark, scratch_path(spark, "store"), tables, tombstones="deleted")
+    batch, notice = F.pmod("id", F.lit(_BATCHES)), F.pmod(F.floor(F.col("id") / 7), F.lit(_BATCHES))
+    for first in (0, _BATCHES // 2):
+        half = (F.lit(first), F.lit(first + _BATCHES // 2 - 1))
+        store.load(gone.where(notice.between(*half)), "deleted", "load", notice)
+        store.load(said.where(batch.between(*half)), "topics", "load", batch)
+        store.compact("deleted")
+        store.compact("topics")
+    return store.read("topics", live=True)
+
+
 @query(f"""WITH {MESSAGES} SELECT id, author AS "user" FROM msg
 WHERE CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10 = 0""")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

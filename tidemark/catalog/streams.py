@@ -10,48 +10,51 @@ from ..operators import messages as msg
 from ..operators import topics as tp
 from ..session import scratch_path
 from ..sources import files, snapshots, streams, testdata
-from ..sources.store import TableStore
 from ..streaming import jobs
 from . import query
 from .fixtures import MESSAGES, METRICS
 from .social import _REPORT
 from .telemetry import plain, windows_sql
 
-# Rows of a landed file and files of a mini-batch, whatever the size of the table.
-_FILE_ROWS, _FILES = 2_000, 4
+# A backlog comes in as so many files, of bounded size, and is taken in as so many mini-batches.
+_LANDED, _FILE_ROWS, _BATCHES = 48, (500, 1_000_000), 6
 
 
-def _land(rows: DataFrame, path: str, by: str, format: str) -> str:
-    """Write ``rows`` in the order of ``by``, as if the files had come in one after the other."""
+def _land(rows: DataFrame, path: str, by: str, format: str) -> tuple[str, int]:
+    """Write ``rows`` in the order of ``by``, as if the files had come in one after the other.
+
+    Gives the folder and how many files make up a mini-batch.
+    """
     spark = rows.sparkSession
+    least, most = _FILE_ROWS
+    file_rows = min(most, max(least, rows.count() // _LANDED))
     ordered = rows.repartitionByRange(by).sortWithinPartitions(by).drop(by)
-    ordered.write.format(format).option("maxRecordsPerFile", _FILE_ROWS).save(path)
+    ordered.write.format(format).option("maxRecordsPerFile", file_rows).save(path)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     landed = sorted((s.getPath() for s in system.listStatus(folder) if s.getPath().getName()[0] not in "_."), key=str)
     for i, file in enumerate(landed):
         system.setTimes(file, 1_700_000_000_000 + 1000 * i, -1)
-    return path
+    return path, -(-len(landed) // _BATCHES)
 
 
 def _landed_lines(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """The message lines as a stream of files, several mini-batches long, each line ``copies`` times."""
     lines = testdata.message_lines(spark, sf_dir, "ts")
     again = lines.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_n")
-    return streams.text_lines(spark, _land(again, scratch_path(spark, "landing"), "ts", "text"), _FILES)
+    return streams.text_lines(spark, *_land(again, scratch_path(spark, "landing"), "ts", "text"))
 
 
 def _landed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = testdata.envelopes(spark, sf_dir, "ts")
-    return streams.envelope_files(spark, _land(rows, scratch_path(spark, "envelopes"), "ts", "parquet"), _FILES)
+    return streams.envelope_files(spark, *_land(rows, scratch_path(spark, "envelopes"), "ts", "parquet"))
 
 
 @query(_REPORT)
 def final_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mini-batches appended to the table store, then the report over the store."""
-    tables = {"topics": schemas.TOPICS, "users": schemas.USERS, "mentions": schemas.MENTIONS}
-    store = TableStore(spark, scratch_path(spark, "store"), tables)
-    jobs.drain(jobs.topic_history(_landed_lines(spark, sf_dir), store, scratch_path(spark, "progress")))
+    """States of mini-batches in the table store, merged on the way, then the report over them."""
+    store = jobs.history_store(spark, scratch_path(spark, "store"), relations=False)
+    jobs.drain(jobs.topic_history(_landed_lines(spark, sf_dir), store, scratch_path(spark, "progress"), compact_every=4))
     return jobs.history_report(store, 3).as_rows()
 
 

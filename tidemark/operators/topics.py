@@ -99,6 +99,11 @@ def top_topic_names(names: DataFrame, topics: DataFrame, top: DataFrame, n: int,
     return _topic_sets(pairs, who)
 
 
+def names_of(pairs: DataFrame, top: DataFrame, who: str) -> DataFrame:
+    """Who goes with the top topics, from (topic, name) pairs."""
+    return _topic_sets(_restrict(pairs, top), who)
+
+
 def top_topic_users(messages: DataFrame, top: DataFrame, n: int) -> DataFrame:
     """Authors of the top topics straight from messages: no join on id."""
     pairs = msg.live(messages).select(

@@ -80,6 +80,39 @@ def from_messages(messages: DataFrame, n: int = 3) -> TopicReport:
     return TopicReport(top, tp.top_topic_users(messages, top, n), tp.top_topic_mentions(messages, top, n))
 
 
+def partial_states(messages: DataFrame) -> dict[str, DataFrame]:
+    """What one mini-batch adds to the report over all history: counts, and who goes with which topic.
+
+    States of several batches are put together by :data:`MERGES`.
+    """
+    pairs = F.explode(F.array_distinct("entities.hashtags.text")).alias("topic")
+    users = msg.live(messages).select(pairs, F.col("user.screen_name").alias("user"))
+    names = F.col("entities.user_mentions.screen_name").alias("_names")
+    mentions = msg.live(messages).select(pairs, names).select("topic", F.explode(F.array_distinct("_names")).alias("mention"))
+    return {
+        "topic_counts": tp.topic_counts(msg.topics(messages)),
+        "user_topics": users.distinct(),
+        "mention_topics": mentions.distinct(),
+    }
+
+
+#: How states of several batches become one.
+MERGES = {
+    "topic_counts": lambda df: df.groupBy("topic").agg(F.sum("num_tweets").alias("num_tweets")),
+    "user_topics": lambda df: df.distinct(),
+    "mention_topics": lambda df: df.distinct(),
+}
+
+
+def from_states(topic_counts: DataFrame, user_topics: DataFrame, mention_topics: DataFrame, n: int = 3) -> TopicReport:
+    """The report from merged states: no message and no join on the message id.
+
+    Equal to :func:`from_relations` as long as an id stands for one message.
+    """
+    top = tp.top_topics(topic_counts, n)
+    return TopicReport(top, tp.names_of(user_topics, top, "user"), tp.names_of(mention_topics, top, "mention"))
+
+
 # The report as SQL text over the relations {topics}, {users} and {mentions}.
 _RANKED = """
     WITH counted AS (SELECT topic, count(*) AS num_tweets FROM {topics} GROUP BY topic),

@@ -27,6 +27,12 @@ MESSAGE = _struct(
 TOPICS = _struct(id=_LONG, topic=_STRING)
 USERS = _struct(id=_LONG, user=_STRING)
 MENTIONS = _struct(id=_LONG, mention=_STRING)
+DELETED = _struct(id=_LONG)
+
+# What the report over all history needs of each mini-batch.
+TOPIC_COUNTS = _struct(topic=_STRING, num_tweets=_LONG)
+USER_TOPICS = _struct(topic=_STRING, user=_STRING)
+MENTION_TOPICS = _struct(topic=_STRING, mention=_STRING)
 
 # One telemetry event: raw body plus its property map.
 ENVELOPE = _struct(body=T.BinaryType(), properties=T.MapType(_STRING, _STRING))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from .. import schemas
 from ..operators import messages as msg
 from ..operators import metrics as mt
 from ..operators import topics as tp
@@ -46,6 +47,19 @@ def drain(query: StreamingQuery) -> StreamingQuery:
 IntervalSink = Callable[[topic_report.TopicReport, int], None]
 
 
+#: Tables of a topic history: the report's states, and the raw relations for those who want them.
+STATES = {"topic_counts": schemas.TOPIC_COUNTS, "user_topics": schemas.USER_TOPICS, "mention_topics": schemas.MENTION_TOPICS}
+RELATIONS = {"topics": schemas.TOPICS, "users": schemas.USERS, "mentions": schemas.MENTIONS, "deleted": schemas.DELETED}
+
+
+def history_store(spark: SparkSession, root: str, relations: bool = True) -> TableStore:
+    """A store for :func:`topic_history`: states that merge, and relations whose deleted ids can be left out."""
+    if not relations:
+        return TableStore(spark, root, STATES, merges=topic_report.MERGES)
+    merges = topic_report.MERGES | {"deleted": lambda df: df.distinct()}
+    return TableStore(spark, root, STATES | RELATIONS, merges=merges, tombstones="deleted")
+
+
 def topic_history(
     lines: DataFrame,
     store: TableStore,
@@ -53,35 +67,45 @@ def topic_history(
     n: int = 3,
     on_interval: IntervalSink | None = None,
     interval: str | None = None,
+    compact_every: int = 16,
 ) -> StreamingQuery:
-    """Append topics, users and mentions of each mini-batch to the store.
+    """Append what each mini-batch holds to those of STATES and RELATIONS that the store has.
 
     ``on_interval`` gets the topic report of the mini-batch. A batch is stored under the
     id that the checkpoint keeps for the query and its number: a replayed batch replaces
-    itself, a query with another checkpoint adds to the history. An error ends the query.
+    itself, a query with another checkpoint adds to the history. Every ``compact_every``
+    batches the closed ones are merged. An error ends the query.
     """
     identity: Future[str] = Future()
 
     def take(batch: DataFrame, batch_id: int) -> None:
         query_id = identity.result()
-        messages = msg.live(msg.parse(batch)).select("id", "user", "entities").persist()
+        messages = msg.parse(batch).select("id", "user", "entities", "delete").persist()
         try:
-            store.write_batch(msg.topics(messages), "topics", query_id, batch_id)
-            store.write_batch(msg.users(messages), "users", query_id, batch_id)
-            store.write_batch(msg.mentions(messages), "mentions", query_id, batch_id)
+            frames = {"topics": msg.topics(messages), "users": msg.users(messages), "mentions": msg.mentions(messages)}
+            frames |= {"deleted": msg.deleted_ids(messages)} | topic_report.partial_states(messages)
+            store.write_batches({name: df for name, df in frames.items() if name in store.tables}, query_id, batch_id)
             if on_interval:
                 on_interval(topic_report.from_messages(messages, n), batch_id)
         finally:
             messages.unpersist()
+        if batch_id % compact_every == compact_every - 1:
+            store.compact_all({query_id: batch_id})
 
     query = start(lines.writeStream.foreachBatch(take), checkpoint, interval)
     identity.set_result(str(query.id))
     return query
 
 
-def history_report(store: TableStore, n: int = 3) -> topic_report.TopicReport:
-    """The final report over everything the store has accumulated."""
-    return topic_report.from_relations(store.read("topics"), store.read("users"), store.read("mentions"), n)
+def history_report(store: TableStore, n: int = 3, live: bool = False) -> topic_report.TopicReport:
+    """The final report over everything the store has accumulated.
+
+    It comes from the merged states where the store keeps them. ``live`` leaves out messages
+    that were deleted; states can't tell those, so the relations are read.
+    """
+    if not live and STATES.keys() <= store.tables.keys():
+        return topic_report.from_states(*(store.read(name) for name in STATES), n)
+    return topic_report.from_relations(*(store.read(name, live=live) for name in ("topics", "users", "mentions")), n)
 
 
 def _timed(lines: DataFrame, watermark: str) -> DataFrame:
