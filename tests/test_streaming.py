@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import json
+import os
+from datetime import timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from test_social import TOMBSTONE, message
 
@@ -295,13 +298,125 @@ def test_latest_averages_are_overwritten(spark, rows, tmp_path):
     assert seen == [("k", 1.0, 1), ("k", 3.0, 2), ("k", 7.0, 1), ("k", 7.0, 1)]
 
 
-def test_top_tags_follow_the_whole_stream(spark, rows, tmp_path):
-    landing, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "p")
-    for k, text in enumerate(["#a #b #b", "#A #a #c"]):
-        land(landing, f"{k}.txt", [text])
-        jobs.drain(jobs.top_tags_snapshot(streams.text_lines(spark, str(landing)), out, progress, n=2))
-    assert rows(snapshots.newest(spark, out, schemas.TAG_COUNTS)) == [("#a", 3), ("#b", 2)]
-    assert rows(snapshots.newest(spark, str(tmp_path / "none"), schemas.TAG_COUNTS)) == []
+def drop_in(folder, name, texts, second):
+    """Land a file that came in at a second of 1970."""
+    land(folder, name, texts)
+    os.utime(folder / name, (second, second))
+
+
+def test_polled_tags_forget_what_is_idle(spark, rows, tmp_path):
+    landing, progress = tmp_path / "in", str(tmp_path / "p")
+    store = jobs.tag_store(spark, str(tmp_path / "store"))
+
+    def run(k, text, second):
+        drop_in(landing, f"{k}.txt", [text], second)
+        lines = streams.text_lines(spark, str(landing), arrival=True)
+        idle = timedelta(seconds=100)
+        return jobs.drain(jobs.tag_totals(lines, store, progress, idle, watermark="0 seconds", compact_every=2))
+
+    assert rows(jobs.polled_top_tags(store)) == []
+    run(0, "#a #b #b #old", 1_000)
+    run(1, "#A #a #c none", 1_050)
+    assert rows(jobs.polled_top_tags(store, 2)) == [("#a", 3), ("#b", 2)]
+    # The watermark passes 1,100, when #b and #old have been idle for 100 seconds, but not #a and #c.
+    query = run(2, "#c", 1_120)
+    assert rows(jobs.polled_top_tags(store)) == [("#a", 3), ("#c", 2)]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+    # A tag that comes back starts from nothing.
+    query = run(3, "#b", 1_121)
+    assert rows(jobs.polled_top_tags(store)) == [("#a", 3), ("#b", 1), ("#c", 2)]
+    query = run(4, "#end", 9_000)
+    query = run(5, "#end", 9_001)
+    assert rows(jobs.polled_top_tags(store)) == [("#end", 2)]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    for k in range(6, 8):
+        run(k, "#end", 9_000 + k)
+    # Tags that left are gone from the stored table too.
+    runs = spark.read.parquet(str(tmp_path / "store/tags/runs/*"))
+    assert len(store._manifest("tags").runs) == 1 and runs.where("tag = '#old'").where("count IS NOT NULL").count() <= 1
+    merged = store._runs("tags", list(store._manifest("tags").runs))
+    assert [r.tag for r in merged.collect()] == ["#end"]
+
+
+def test_windows_of_arrival_are_the_same_after_a_replay(spark, rows, tmp_path):
+    landing = tmp_path / "in"
+    for k, second in enumerate([1_000, 1_009, 1_013, 1_031]):
+        drop_in(landing, f"{k}.txt", [f"#t{k % 2} #x"], second)
+    want = {}
+    for k, second in enumerate([1_000, 1_009, 1_013, 1_031]):
+        for tag in (f"#t{k % 2}", "#x"):
+            for first in (second // 10 * 10, second // 10 * 10 - 10):
+                want[first, tag] = want.get((first, tag), 0) + 1
+    for name in ("first", "again"):
+        out = str(tmp_path / name)
+        lines = streams.text_lines(spark, str(landing), 1, arrival=True)
+        jobs.drain(jobs.tags_by_arrival(lines, out, str(tmp_path / f"{name}_p")))
+        found = jobs.latest(spark, out, ["window_start", "tag"])
+        assert rows(found.select(F.unix_seconds("window_start"), "tag", "count")) == rows_of(want)
+
+
+def rows_of(counts):
+    return sorted(((*key, n) for key, n in counts.items()), key=repr)
+
+
+def test_intake_counts_what_each_batch_held(spark, rows, tmp_path):
+    landing = tmp_path / "in"
+    tables = {"slim": schemas.SLIM, "intake": schemas.INTAKE}
+    store = TableStore(spark, str(tmp_path / "store"), tables)
+    batches = [
+        [message(1), message(2, created="soon"), TOMBSTONE, "{broken", ""],
+        ["nothing", "[1, 2]"],
+        [TOMBSTONE],
+        [message(3)] * 4,
+    ]
+    for k, texts in enumerate(batches):
+        land(landing, f"{k}.json", texts)
+        jobs.drain(jobs.message_intake(streams.text_lines(spark, str(landing)), store, str(tmp_path / "p")))
+    held = store.read("intake", with_batch=True)
+    want = [(0, 5, 2, 1, 2, 1), (1, 2, 0, 0, 2, 0), (2, 1, 0, 1, 0, 0), (3, 4, 4, 0, 0, 0)]
+    assert rows(held, "batch_id", *schemas.INTAKE.fieldNames()) == want
+    assert store.read("slim").count() == 6
+    # The same measures of a table, in the pass that writes it.
+    m = msg.with_time(msg.parse(spark.createDataFrame([(t,) for t in batches[0]], "value string")))
+    counts = Observation()
+    m.observe(counts, *jobs.intake_measures()).write.format("noop").mode("overwrite").save()
+    assert tuple(counts.get.values()) == (5, 2, 1, 2, 1)
+
+
+def test_authors_and_topics_that_come_apart_are_joined(spark, rows, tmp_path):
+    users, topics = str(tmp_path / "users"), str(tmp_path / "topics")
+
+    def at(minute):
+        return f"2024-01-01 {minute // 60:02d}:{minute % 60:02d}:00"
+
+    def add(path, name, entries):
+        df = spark.createDataFrame([(i, v, at(m)) for i, v, m in entries], f"id bigint, {name} string, t string")
+        df.select("id", name, F.to_timestamp("t").alias("ts")).coalesce(1).write.mode("append").parquet(path)
+
+    def run():
+        sides = [
+            spark.readStream.schema(f"id bigint, {name} string, ts timestamp").parquet(path)
+            for path, name in ((users, "user"), (topics, "topic"))
+        ]
+        jobs.drain(jobs.topic_users(*sides, str(tmp_path / "out"), str(tmp_path / "p"), watermark="30 minutes"))
+
+    add(users, "user", [(1, "u1", 0), (2, "u2", 5), (3, "u3", 6)])
+    add(topics, "topic", [(1, "x", 0), (1, "y", 10), (1, "far", 11)])
+    run()
+    # The topic of 2 comes a batch later, in time; the author of 4 after its topic.
+    add(topics, "topic", [(2, "x", 5), (4, "z", 20)])
+    add(users, "user", [(5, "u5", 20)])
+    run()
+    add(users, "user", [(4, "u4", 21), (9, "u9", 300)])
+    add(topics, "topic", [(9, "late", 300)])
+    run()
+    # Both sides are at minute 300, so what is of minute 6 is late.
+    add(topics, "topic", [(3, "x", 6), (9, "on", 301)])
+    run()
+    add(users, "user", [(10, "end", 302)])
+    run()
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "user", "topic")
+    assert got == [("u1", "x"), ("u1", "y"), ("u2", "x"), ("u4", "z"), ("u9", "late"), ("u9", "on")]
 
 
 def test_sliding_tags_stream_equals_batch(spark, rows, tmp_path):

@@ -28,6 +28,7 @@ TOPICS = _struct(id=_LONG, topic=_STRING)
 USERS = _struct(id=_LONG, user=_STRING)
 MENTIONS = _struct(id=_LONG, mention=_STRING)
 DELETED = _struct(id=_LONG)
+SLIM = _struct(id=_LONG, author=_STRING, tweet=_STRING)
 
 # What the report over all history needs of each mini-batch.
 TOPIC_COUNTS = _struct(topic=_STRING, num_tweets=_LONG)
@@ -58,6 +59,10 @@ AVERAGES = _struct(
     rejects=_LONG,
 )
 TAG_COUNTS = _struct(tag=_STRING, count=_LONG)
+# A tag's newest total; NULL once the tag has been idle for too long.
+TAG_TOTALS = _struct(tag=_STRING, count=_LONG, batch=_LONG)
+# What a mini-batch held: messages, delete notices, texts that are neither, messages without a readable time.
+INTAKE = _struct(lines=_LONG, messages=_LONG, notices=_LONG, unreadable=_LONG, untimed=_LONG)
 BROKER = _struct(topic=_STRING, value=_STRING)
 
 SENSOR_COLUMNS = ("product_id", "qc_lot", "time", "w_x", "w_y", "w_z")

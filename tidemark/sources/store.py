@@ -42,12 +42,13 @@ class TableStore:
     batch that is replayed after a failure changes nothing. :meth:`compact` merges closed
     batches into runs: files sorted by the table's first column, with the range of each file
     beside them. As many runs of one level as ``fan`` become one of the next, so a row is
-    rewritten a few times only and the number of files read follows the size of the table,
+    rewritten a few times only (with a ``fan`` of 1 all runs become one each time) and the number of files read follows the size of the table,
     not the number of batches. A manifest names what is in force, and a new version of it is
     the one step that swaps old for new.
 
     ``merges`` may give a function for a table whose rows are partial states (sums, sets): it
-    turns rows of several batches into fewer rows of the same columns. ``tombstones`` names a
+    turns rows of several batches into fewer rows of the same columns. ``settled`` may give a
+    function that drops what a table merged as a whole need not keep. ``tombstones`` names a
     table of ids; rows of tables with that column are left out by ``read(live=True)`` and go when their
     table is compacted, whichever of the two came first.
 
@@ -62,10 +63,12 @@ class TableStore:
         format: str = "parquet",
         merges: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
         tombstones: str | None = None,
+        settled: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
         fan: int = 8,
     ):
         self.spark, self.root, self.tables, self.format = spark, root.rstrip("/"), tables, format
-        self.merges, self.tombstones, self.fan = dict(merges or {}), tombstones, fan
+        self.merges, self.settled = dict(merges or {}), dict(settled or {})
+        self.tombstones, self.fan = tombstones, fan
         self._merged: dict[str, dict[str, int]] = {}
 
     def path(self, name: str) -> str:
@@ -118,7 +121,7 @@ class TableStore:
         if live:
             df = self._living(df, name)
         if name in self.merges:
-            return self.merges[name](df.select(*columns))
+            return self._settle(self.merges[name](df.select(*columns)), name)
         return df if with_batch else df.select(*columns)
 
     def lookup(self, name: str, low: object, high: object) -> DataFrame:
@@ -133,7 +136,7 @@ class TableStore:
         if files:
             df = df.unionByName(self.spark.read.format(self.format).schema(self._full(name)).load(files))
         found = df.where(key.between(F.lit(low), F.lit(high))).select(*columns)
-        return self.merges[name](found) if name in self.merges else found
+        return self._settle(self.merges[name](found), name) if name in self.merges else found
 
     def compact(self, name: str, least: int = 2, current: Mapping[str, int] | None = None) -> bool:
         """Merge closed batches into a run, if there are ``least`` or more; tells whether it did.
@@ -152,14 +155,18 @@ class TableStore:
             return False
         rows = self._load_batches(name, folders)
         level, old = 0, []
-        while len(same := [run for run, (at, _) in before.runs.items() if at == level]) >= self.fan - 1:
-            old += same
-            level += 1
+        if self.fan == 1:
+            old = list(before.runs)
+        else:
+            while len(same := [run for run, (at, _) in before.runs.items() if at == level]) >= self.fan - 1:
+                old += same
+                level += 1
         rows = rows.unionByName(self._runs(name, old))
         rows = self._living(rows, name)
         if name in self.merges:
             none = [F.lit(None).cast(f.dataType).alias(f.name) for f in _BATCH.fields]
-            rows = self.merges[name](rows.select(*self.tables[name].fieldNames())).select("*", *none)
+            rows = self.merges[name](rows.select(*self.tables[name].fieldNames()))
+            rows = (self._settle(rows, name) if len(old) == len(before.runs) else rows).select("*", *none)
         run, key = uuid.uuid4().hex, self._key(name)
         path = f"{self.path(name)}/runs/{run}"
         rows.repartitionByRange(key).sortWithinPartitions(key).write.format(self.format).save(path)
@@ -219,6 +226,9 @@ class TableStore:
     def _batch(self, name: str, query: str, batch_id: int) -> str:
         return f"{self.path(name)}/batches/query_id={query}/batch_id={batch_id}"
 
+    def _settle(self, df: DataFrame, name: str) -> DataFrame:
+        return self.settled[name](df) if name in self.settled else df
+
     def _living(self, df: DataFrame, name: str) -> DataFrame:
         """Rows whose id, if the table has one, is not among the tombstones."""
         if self.tombstones in (None, name) or (key := self._key(self.tombstones)) not in self.tables[name].fieldNames():

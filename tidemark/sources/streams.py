@@ -11,9 +11,17 @@ from pyspark.sql import types as T
 from .. import schemas
 
 
-def text_lines(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """``value STRING`` lines of files that land in a folder."""
-    return _limited(spark.readStream.format("text"), files_per_trigger).load(folder)
+def text_lines(
+    spark: SparkSession, folder: str, files_per_trigger: int | None = None, arrival: bool = False
+) -> DataFrame:
+    """``value STRING`` lines of files that land in a folder.
+
+    ``arrival`` adds ``arrived``, the time at which a line's file landed. It belongs to the
+    file, so a batch that is replayed has the same times.
+    """
+    lines = _limited(spark.readStream.format("text"), files_per_trigger).load(folder)
+    arrived = [F.col("_metadata.file_modification_time").alias("arrived")] if arrival else []
+    return lines.select("value", *arrived)
 
 
 def message_files(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -44,9 +52,13 @@ def kafka_options(
     return options
 
 
-def kafka_lines(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """``value STRING`` lines of a Kafka topic; needs the Kafka connector on the cluster."""
-    return _kafka(spark, options).select(F.col("value").cast("string").alias("value"))
+def kafka_lines(spark: SparkSession, options: Mapping[str, str], arrival: bool = False) -> DataFrame:
+    """``value STRING`` lines of a Kafka topic; needs the Kafka connector on the cluster.
+
+    ``arrival`` adds ``arrived``, the time that the broker keeps with a record.
+    """
+    arrived = [F.col("timestamp").alias("arrived")] if arrival else []
+    return _kafka(spark, options).select(F.col("value").cast("string").alias("value"), *arrived)
 
 
 def kafka_envelopes(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import Future
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -19,6 +20,7 @@ from ..operators import words as wd
 from ..plans import topic_report
 from ..sources import snapshots
 from ..sources.store import TableStore
+from .idle import totals
 
 WATERMARK = "10 minutes"
 
@@ -235,16 +237,122 @@ def latest_averages(
     return start(windows.writeStream.outputMode("update").foreachBatch(take), checkpoint, interval)
 
 
-def top_tags_snapshot(
-    lines: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None
+def tag_store(spark: SparkSession, root: str) -> TableStore:
+    """A store for :func:`tag_totals`: the newest total of each tag that has not left."""
+
+    def newest(df: DataFrame) -> DataFrame:
+        last = df.groupBy("tag").agg(F.max_by(F.struct("count", "batch"), "batch").alias("_row"))
+        return last.select("tag", "_row.*")
+
+    tables, known = {"tags": schemas.TAG_TOTALS}, {"tags": lambda df: df.where("count IS NOT NULL")}
+    # Each compaction takes in the whole table, which holds live tags alone, so tags that left go.
+    return TableStore(spark, root, tables, merges={"tags": newest}, settled=known, fan=1)
+
+
+def tag_totals(
+    lines: DataFrame,
+    store: TableStore,
+    checkpoint: str,
+    idle: timedelta = timedelta(days=7),
+    watermark: str = "1 minute",
+    interval: str | None = None,
+    compact_every: int = 16,
 ) -> StreamingQuery:
-    """The current top tags of the whole stream, a snapshot a batch to poll (``snapshots.newest``)."""
+    """Running totals of the tags of lines (value, arrived), for :func:`polled_top_tags`.
+
+    A tag that no line has brought for ``idle`` of arrival time leaves the state and the
+    store, so both hold what is alive however long the stream runs. A batch writes the
+    totals that it changes. One query writes to a store.
+    """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        snapshots.write(batch, path, batch_id)
+        totals = batch.select(F.col("key").alias("tag"), F.col("total").alias("count"), F.lit(batch_id).alias("batch"))
+        store.write_batch(totals, "tags", "tags", batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            store.compact("tags", current={"tags": batch_id})
+
+    tags = wd.hashtag_tokens(lines, keep=["arrived"]).select(F.col("tag").alias("key"), F.col("arrived").alias("seen"))
+    changed = totals(tags, int(idle.total_seconds() * 1000), watermark)
+    return start(changed.writeStream.outputMode("update").foreachBatch(take), checkpoint, interval)
+
+
+def polled_top_tags(store: TableStore, n: int = 10) -> DataFrame:
+    """The top tags as of the last batch."""
+    return wd.top_tags(store.read("tags").select("tag", "count"), n)
+
+
+def tags_by_arrival(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    size: str = "20 seconds",
+    slide: str = "10 seconds",
+    watermark: str = WATERMARK,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Tag counts per sliding window of the time at which lines (value, arrived) came in.
 
-    top = wd.top_tags(wd.tag_counts(lines), n)
-    return start(top.writeStream.outputMode("complete").foreachBatch(take), checkpoint, interval)
+    Windows are written as they change; ``latest(spark, path, ["window_start", "tag"])``
+    has them as they are now.
+    """
+    timed = lines.withColumnRenamed("arrived", "ts").withWatermark("ts", watermark)
+    return updates(wd.tags_sliding(timed, "value", size, slide), path, checkpoint, interval)
+
+
+def intake_measures() -> list[Column]:
+    """What :data:`.schemas.INTAKE` counts of parsed messages that carry ``ts``."""
+    live, notice = F.col("id").isNotNull(), F.col("delete.status.id").isNotNull()
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(live).alias("messages"),
+        F.count_if(~live & notice).alias("notices"),
+        F.count_if(~live & ~notice).alias("unreadable"),
+        F.count_if(live & F.col("ts").isNull()).alias("untimed"),
+    ]
+
+
+def message_intake(
+    lines: DataFrame, store: TableStore, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Slim messages of each batch into table ``slim``, and what the batch held into ``intake``.
+
+    The counts are taken while the batch is written, in the same pass.
+    """
+    identity: Future[str] = Future()
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        counts = Observation()
+        slim = msg.slim(msg.with_time(msg.parse(batch)).observe(counts, *intake_measures()))
+        store.write_batch(slim, "slim", identity.result(), batch_id)
+        held = [counts.get[name] for name in schemas.INTAKE.fieldNames()]
+        row = batch.sparkSession.createDataFrame([held], schemas.INTAKE)
+        store.write_batch(row, "intake", identity.result(), batch_id)
+
+    query = start(lines.writeStream.foreachBatch(take), checkpoint, interval)
+    identity.set_result(str(query.id))
+    return query
+
+
+def topic_users(
+    users: DataFrame,
+    topics: DataFrame,
+    path: str,
+    checkpoint: str,
+    apart: str = "10 minutes",
+    watermark: str = WATERMARK,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """(user, topic, ts) of authors (id, user, ts) and topics (id, topic, ts) that come in apart.
+
+    A pair has one id and times at most ``apart`` from each other. Each side waits for the
+    other until the watermark says that nothing in reach can come any more; rows
+    later than that are left out.
+    """
+    authors = users.select("id", "user", F.col("ts").alias("user_ts")).withWatermark("user_ts", watermark)
+    tagged = topics.select(F.col("id").alias("topic_id"), "topic", "ts").withWatermark("ts", watermark)
+    near = f"ts BETWEEN user_ts - INTERVAL {apart} AND user_ts + INTERVAL {apart}"
+    pairs = authors.join(tagged, (F.col("id") == F.col("topic_id")) & F.expr(near))
+    return file_sink(pairs.select("user", "topic", "ts"), path, checkpoint, "parquet", interval)
 
 
 def tags_sliding(
