@@ -114,3 +114,35 @@ WHERE regexp_full_match(topic, '/applications/in/[^/]+/public(/.*)?') GROUP BY t
 def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = br.subscribe(testdata.broker(spark, sf_dir), FILTER)
     return accepted.groupBy("topic").agg(F.count("*").alias("n"))
+
+
+# Filters of six kinds, from the orders; those of the last kind accept nothing.
+_MANY = """flt AS (
+  SELECT *, CASE kind
+    WHEN 0 THEN '/applications/in/' || u || '/public/' || t
+    WHEN 1 THEN '/applications/in/' || u || '/+/' || t
+    WHEN 2 THEN '/applications/in/' || u || '/#'
+    WHEN 3 THEN '/applications/+/' || u || '/private/#'
+    WHEN 4 THEN '/applications/in/+/' || w || '/' || t
+    ELSE '/applications/in/' || u || '/public/' || t || '/' || o_orderkey || '/#' END AS filter
+  FROM (SELECT o_orderkey, o_orderkey % 6 AS kind, o_custkey % 150 AS u,
+               CASE WHEN o_custkey % 2 = 0 THEN 'public' ELSE 'private' END AS w,
+               CASE o_custkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
+                 WHEN 3 THEN 'signup' ELSE 'view' END AS t FROM orders))"""
+
+
+@query(f"""WITH {BROKER}, {_MANY},
+wanted AS (SELECT DISTINCT filter, kind, u, CASE WHEN kind = 4 THEN w END AS w, t FROM flt),
+said AS (SELECT topic, user_id AS u, split_part(topic, '/', 5) AS w, event_type AS t, count(*) AS n FROM broker GROUP BY ALL)
+SELECT f.filter, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT DISTINCT f.filter, s.topic, s.n FROM wanted f JOIN said s ON
+    (f.kind = 4 OR f.u = s.u) AND (f.kind NOT IN (0, 1, 4) OR f.t = s.t)
+    AND CASE f.kind WHEN 0 THEN s.w = 'public' WHEN 3 THEN s.w = 'private' WHEN 4 THEN s.w = f.w ELSE f.kind < 5 END) f
+GROUP BY f.filter""")
+def many_topic_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that each of thousands of broker filters accepts."""
+    orders = testdata.table(spark, sf_dir, "orders")
+    orders.createOrReplaceTempView("orders_of_filters")
+    filters = spark.sql(f"WITH {_MANY.replace('FROM orders', 'FROM orders_of_filters')} SELECT filter FROM flt")
+    counts = testdata.broker(spark, sf_dir).groupBy("topic").agg(F.count("*").alias("n"))
+    return br.route(counts, filters).groupBy("filter").agg(F.sum("n").alias("n"))
