@@ -351,7 +351,7 @@ def test_windows_of_arrival_are_the_same_after_a_replay(spark, rows, tmp_path):
         out = str(tmp_path / name)
         lines = streams.text_lines(spark, str(landing), 1, arrival=True)
         jobs.drain(jobs.tags_by_arrival(lines, out, str(tmp_path / f"{name}_p")))
-        found = jobs.latest(spark, out, ["window_start", "tag"])
+        found = jobs.latest(spark, out, ["window_start", "tag"], schemas.WINDOW_TAGS)
         assert rows(found.select(F.unix_seconds("window_start"), "tag", "count")) == rows_of(want)
 
 
@@ -455,7 +455,20 @@ def test_word_counts_grow(spark, rows, tmp_path):
     land(landing, "0.txt", ["a b a"])
     land(landing, "1.txt", ["b a"])
     jobs.drain(jobs.word_counts(streams.text_lines(spark, str(landing), 1), str(tmp_path / "wc"), str(tmp_path / "p")))
-    assert rows(jobs.latest(spark, str(tmp_path / "wc"), ["word"])) == [("a", 3), ("b", 2)]
+    assert rows(jobs.latest(spark, str(tmp_path / "wc"), ["word"], schemas.WORD_COUNTS)) == [("a", 3), ("b", 2)]
+
+
+def test_updates_merge_and_read_as_empty_before_the_first(spark, rows, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    assert rows(jobs.latest(spark, out, ["word"], schemas.WORD_COUNTS)) == []
+    for k in range(5):
+        land(landing, f"{k}.txt", [f"a a{k}"])
+    counts = words.word_count(streams.text_lines(spark, str(landing), 1))
+    jobs.drain(jobs.updates(counts, out, str(tmp_path / "p"), ["word"], compact_every=2))
+    assert rows(jobs.latest(spark, out, ["word"], schemas.WORD_COUNTS)) == [("a", 5), *((f"a{k}", 1) for k in range(5))]
+    # Merged runs hold each word once.
+    merged = spark.read.parquet(f"{out}/updates/runs/*")
+    assert merged.where("word = 'a'").count() == 2
 
 
 def test_bounded_run_stops_and_keeps_the_session(spark, tmp_path):

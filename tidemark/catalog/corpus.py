@@ -14,8 +14,8 @@ from . import query
 from .fixtures import NGRAMS
 
 _FILE_NO = T.StructType([T.StructField("file_no", T.IntegerType())])
-# Documents of a file are its pieces when runs are searched: ids that share their hundreds.
-_PIECE = 100
+# Some hundred documents of a file are a piece when runs are searched; their ids share their ten thousands.
+_PIECE = 10_000
 MAX_WORDS, SEED = 6, 42
 
 

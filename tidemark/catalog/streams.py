@@ -108,7 +108,7 @@ def stream_metric_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "averages")
     stream = _landed_envelopes(spark, sf_dir)
     jobs.drain(jobs.metric_averages(stream, out, scratch_path(spark, "progress"), running=True))
-    return plain(jobs.latest(spark, out, ["window_start", "window_end", "k"]))
+    return plain(jobs.latest(spark, out, ["window_start", "window_end", "k"], schemas.AVERAGES))
 
 
 @query(f"SELECT * FROM ({windows_sql(90_000, 30_000)}) QUALIFY window_end = max(window_end) OVER ()")
@@ -142,7 +142,7 @@ def stream_tags_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = msg.live(msg.parse(lines)).select(F.col("text").alias("value"), "arrived")
     out = scratch_path(spark, "arrivals")
     jobs.drain(jobs.tags_by_arrival(texts, out, scratch_path(spark, "progress")))
-    found = jobs.latest(spark, out, ["window_start", "tag"])
+    found = jobs.latest(spark, out, ["window_start", "tag"], schemas.WINDOW_TAGS)
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -206,5 +206,5 @@ def stream_top_topics_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows counted by a stream, ranked when they are read."""
     out = scratch_path(spark, "windows")
     jobs.drain(jobs.topic_windows(_landed_lines(spark, sf_dir), out, scratch_path(spark, "progress"), running=True))
-    top = tp.rank_windows(jobs.latest(spark, out, ["window_start", "topic"]), 3)
+    top = tp.rank_windows(jobs.latest(spark, out, ["window_start", "topic"], schemas.WINDOW_TOPICS), 3)
     return top.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import BIGRAM_PATTERN, WORD_PATTERN
 from ..session import materialize
+from .scan import in_order
 
 _BLOCK = "_block"
 
@@ -46,59 +47,66 @@ def counts(cleaned: DataFrame) -> DataFrame:
     return cleaned.groupBy("gram0", "gram1").agg(F.sum("match_count").alias("matchcount"))
 
 
+def _runs(rows: DataFrame, piece: Sequence[str], along: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Runs of the rows of each piece, as rows of the same kind with their number in ``_run``.
+
+    A row goes on with the one before it if both have one pair, it ``_opens`` what it comes from,
+    and the other ``_closes`` it. A run opens its piece if its first row is the piece's first
+    one and opens what it comes from itself; closing is the same at the end.
+    """
+    window = Window.partitionBy(*piece).orderBy(*along)
+    before = F.lag(F.struct("_closes", "_pair")).over(window)
+    goes_on = F.col("_opens") & F.coalesce(before["_closes"] & (before["_pair"] == F.col("_pair")), F.lit(False))
+    marked = rows.withColumns(
+        {"_begins": ~goes_on, "_head": before.isNull(), "_tail": F.lead("_pair").over(window).isNull()}
+    )
+    run = F.sum(F.col("_begins").cast("bigint")).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    # Same partitioning as the window: no further shuffle.
+    return (
+        marked.withColumn("_run", run)
+        .groupBy(*piece, "_run", "_pair")
+        .agg(
+            *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
+            F.sum("matchcount").alias("matchcount"),
+            F.max(F.col("_head") & F.col("_opens")).alias("_opens"),
+            F.max(F.col("_tail") & F.col("_closes")).alias("_closes"),
+        )
+    )
+
+
 def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str = "file_no") -> DataFrame:
     """Totals over runs of consecutive lines with the same first two words.
 
     ``order`` is the line order inside a file and must be unique there;
     ``block`` must not decrease along it and cuts a file into pieces that are
     scanned side by side. A piece first adds up its own runs; only its first
-    and last run can go on in a neighbour, so at most two rows per piece are
-    put together along the file. Runs are found over all lines, and only those
+    and last run can go on in a neighbour. These are sorted along the files by a range
+    shuffle and put together by its tasks, and what still goes on from task to task
+    by file: two rows a task at most. Runs are found over all lines, and only those
     of two all-letter words are returned, with the order of their first line.
     """
     order = list(order)
     # The first two words as one string; never NULL, so NULL can mean "no neighbour".
     pair = F.coalesce(F.substring_index("bi_gram", " ", 2), F.lit(""))
-    lines = ngrams.select(file, *order, block.alias(_BLOCK), pair.alias("_pair"), "match_count")
-    piece = Window.partitionBy(file, _BLOCK).orderBy(*order)
-    marked = lines.withColumns(
-        {
-            "_begins": ~F.col("_pair").eqNullSafe(F.lag("_pair").over(piece)),
-            "_last": F.lead("_pair").over(piece).isNull(),
-        }
-    )
-    run = F.sum(F.col("_begins").cast("bigint")).over(piece.rowsBetween(Window.unboundedPreceding, 0))
-    # Same partitioning as the window: no further shuffle.
-    runs = (
-        marked.withColumn("_run", run)
-        .groupBy(file, _BLOCK, "_run", "_pair")
-        .agg(
-            *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
-            F.sum("match_count").alias("matchcount"),
-            F.max("_last").alias("_last"),
-        )
-    )
-    # Found once: the runs inside a piece are done, those at its edges go on below.
-    runs = materialize(runs, "runs")
-    inner = runs.where((F.col("_run") > 1) & ~F.col("_last"))
-
-    along = Window.partitionBy(file).orderBy(_BLOCK, "_run")
-    continues = F.lag("_last", 1, False).over(along) & F.col("_pair").eqNullSafe(F.lag("_pair").over(along))
-    edges = runs.where((F.col("_run") == 1) | F.col("_last")).withColumn(
-        "_begins", ~((F.col("_run") == 1) & continues)
-    )
-    whole = F.sum(F.col("_begins").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    stitched = (
-        edges.withColumn("_whole", whole)
-        .groupBy(file, "_whole", "_pair")
-        .agg(
-            *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
-            F.sum("matchcount").alias("matchcount"),
-        )
+    always = F.lit(True)
+    lines = ngrams.select(
+        file,
+        *order,
+        block.alias(_BLOCK),
+        pair.alias("_pair"),
+        F.col("match_count").alias("matchcount"),
+        always.alias("_opens"),
+        always.alias("_closes"),
     )
+    going_on = F.col("_opens") | F.col("_closes")
+    # Found once each: the runs inside a piece are done, those at its edges go on below.
+    in_blocks = materialize(_runs(lines, [file, _BLOCK], order, order), "runs")
+    edges = in_order(in_blocks.where(going_on), [file, _BLOCK, "_run"], "edges")
+    in_tasks = materialize(_runs(edges.drop("_run"), [file, "_task"], ["_at"], order), "joined")
+    whole = _runs(in_tasks.where(going_on).withColumnRenamed("_run", "_nth"), [file], ["_task", "_nth"], order)
     columns = [file, *order, "_pair", "matchcount"]
-    found = inner.select(*columns).unionByName(stitched.select(*columns))
-    return found.where(F.col("_pair").rlike(BIGRAM_PATTERN)).select(
+    found = in_blocks.where(~going_on).select(*columns).unionByName(in_tasks.where(~going_on).select(*columns))
+    return found.unionByName(whole.select(*columns)).where(F.col("_pair").rlike(BIGRAM_PATTERN)).select(
         file, *order, *_two_words("_pair"), "matchcount"
     )
 

@@ -37,9 +37,10 @@ def last_points(points: DataFrame, keep: int = 100, series: str = "series", x: s
     """The newest points of every series.
 
     Each part of a series keeps its newest, then the series those of its parts, so that a
-    long series meets in one task with ``keep`` rows a part only.
+    long series meets in one task with ``keep`` rows a part only. Parts follow the input's
+    tasks, so that a task, which limits its rows before they move, passes on one part.
     """
-    part = F.pmod(F.xxhash64(x), F.lit(_PARTS))
+    part = F.spark_partition_id() % _PARTS
     of_part = F.row_number().over(Window.partitionBy(series, "_part").orderBy(F.desc(x)))
     newest = F.row_number().over(Window.partitionBy(series).orderBy(F.desc(x)))
     few = points.withColumn("_part", part).withColumn("_n", of_part).where(F.col("_n") <= keep).drop("_n", "_part")

@@ -54,7 +54,7 @@ def rank_windows(counts: DataFrame, n: int = 3) -> DataFrame:
     window's topics, so the last step meets at most N rows a part.
     """
     best = [F.desc("num_tweets"), "topic"]
-    part = F.pmod(F.xxhash64("topic"), F.lit(_PIECES))
+    part = F.spark_partition_id() % _PIECES
     of_part = F.row_number().over(Window.partitionBy("window_start", "_part").orderBy(*best))
     few = counts.withColumn("_part", part).withColumn("_n", of_part).where(F.col("_n") <= n).drop("_n", "_part")
     rank = F.dense_rank().over(Window.partitionBy("window_start").orderBy(*best))

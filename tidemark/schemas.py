@@ -59,6 +59,9 @@ AVERAGES = _struct(
     rejects=_LONG,
 )
 TAG_COUNTS = _struct(tag=_STRING, count=_LONG)
+WORD_COUNTS = _struct(word=_STRING, total=_LONG)
+WINDOW_TOPICS = _struct(window_start=T.TimestampType(), topic=_STRING, num_tweets=_LONG)
+WINDOW_TAGS = _struct(window_start=T.TimestampType(), tag=_STRING, count=_LONG)
 # A tag's newest total; NULL once the tag has been idle for too long.
 TAG_TOTALS = _struct(tag=_STRING, count=_LONG, batch=_LONG)
 # What a mini-batch held: messages, delete notices, texts that are neither, messages without a readable time.

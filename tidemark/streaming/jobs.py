@@ -9,6 +9,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -131,7 +132,8 @@ def topic_windows(
     writes all windows as they change, for :func:`latest`.
     """
     counts = tp.windowed_counts(_timed(lines, watermark), window)
-    return updates(counts, path, checkpoint, interval) if running else file_sink(counts, path, checkpoint, "parquet", interval)
+    keys = ["window_start", "topic"]
+    return updates(counts, path, checkpoint, keys, interval) if running else file_sink(counts, path, checkpoint, "parquet", interval)
 
 
 def commentators(
@@ -189,7 +191,7 @@ def metric_averages(
     rows = mt.with_time(mt.metric_rows(envelopes), epoch_offset_ms).withWatermark("ts", watermark)
     averages = mt.windowed_average(rows, size, slide)
     if running:
-        return updates(averages, path, checkpoint, interval)
+        return updates(averages, path, checkpoint, ["window_start", "window_end", "k"], interval)
     return file_sink(averages, path, checkpoint, "parquet", interval)
 
 
@@ -292,11 +294,11 @@ def tags_by_arrival(
 ) -> StreamingQuery:
     """Tag counts per sliding window of the time at which lines (value, arrived) came in.
 
-    Windows are written as they change; ``latest(spark, path, ["window_start", "tag"])``
-    has them as they are now.
+    Windows are written as they change; :func:`latest` has them as they are now.
     """
     timed = lines.withColumnRenamed("arrived", "ts").withWatermark("ts", watermark)
-    return updates(wd.tags_sliding(timed, "value", size, slide), path, checkpoint, interval)
+    counts = wd.tags_sliding(timed, "value", size, slide)
+    return updates(counts, path, checkpoint, ["window_start", "tag"], interval)
 
 
 def intake_measures() -> list[Column]:
@@ -369,27 +371,43 @@ def tags_sliding(
     return file_sink(tags, path, checkpoint, "parquet", interval)
 
 
-def updates(groups: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Write the groups that each batch changes, open windows too; :func:`latest` reads them."""
+def _update_store(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> TableStore:
+    """A store of the newest row of each group, with the number of the batch that gave it."""
+    values = [c for c in schema.fieldNames() if c not in keys]
+
+    def newest(df: DataFrame) -> DataFrame:
+        last = df.groupBy(*keys).agg(F.max_by(F.struct(*values, "_batch"), "_batch").alias("_row"))
+        return last.select(*keys, "_row.*")
+
+    full = T.StructType([schema[k] for k in keys] + [schema[c] for c in values] + [T.StructField("_batch", T.LongType())])
+    return TableStore(spark, path, {"updates": full}, merges={"updates": newest})
+
+
+def updates(
+    groups: DataFrame, path: str, checkpoint: str, keys: list[str], interval: str | None = None, compact_every: int = 16
+) -> StreamingQuery:
+    """Write the groups that each batch changes, open windows too; :func:`latest` reads them.
+
+    Every ``compact_every`` batches older rows of a group are merged away.
+    """
+    store = _update_store(groups.sparkSession, path, groups.schema, keys)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # A replayed batch replaces its folder.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        store.write_batch(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")), "updates", "updates", batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            store.compact("updates", current={"updates": batch_id})
 
     return start(groups.writeStream.outputMode("update").foreachBatch(take), checkpoint, interval)
 
 
-def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest row of every group that :func:`updates` has written."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_row"))
-    return newest.select(*keys, "_row.*")
+def latest(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
+    """The newest row of every group that :func:`updates` has written; none before its first batch."""
+    return _update_store(spark, path, schema, keys).read("updates").drop("_batch")
 
 
 def word_counts(lines: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Running word counts; ``latest(spark, path, ["word"])`` has the newest of each word."""
-    return updates(wd.word_count(lines), path, checkpoint, interval)
+    """Running word counts; ``latest(spark, path, ["word"], schemas.WORD_COUNTS)`` has the newest of each word."""
+    return updates(wd.word_count(lines), path, checkpoint, ["word"], interval)
 
 
 def console(df: DataFrame, checkpoint: str, rows: int = 50, interval: str | None = None) -> StreamingQuery:
