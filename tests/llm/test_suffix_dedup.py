@@ -10,10 +10,10 @@ from tidemark.llm.suffix_dedup import op1_suffix_array_dedup, remove_repeats
 from .conftest import SMALL, prose
 
 
-def brute(pairs, length=100):
+def brute(pairs, length=100, key=lambda p: (p[0] is not None, p[0] or 0)):
     """(n_bytes, spans, kept) by (doc_id, text), with every string looked up in a set."""
     seen, out = set(), {}
-    for doc, text in sorted(set(pairs), key=lambda p: (p[0] is not None, p[0] or 0)):
+    for doc, text in sorted(set(pairs), key=key):
         data = (text or "").encode()
         gone = bytearray(len(data))
         for i in range(len(data) - length + 1):
@@ -85,6 +85,18 @@ def test_long_text_is_cut_into_segments(documents, monkeypatch):
     assert np.all(count <= 53)
 
 
+def test_thousands_of_rows_without_id(documents):
+    """Different texts that share no more than a missing id or one id go by their hashes."""
+    same = prose(1, 40)
+    pairs = [(None, f"{i:05d}" + "abcdefghij"[i % 10] * (i % 200)) for i in range(12_000)]
+    pairs += [(3, f"{i} {prose(i, 25)}") for i in range(300)] + [(9, same), (9, same + "x"), (10, same)]
+    df = documents(pairs, 8)
+    hashes = {r.text: (r.h1, r.h2) for r in df.selectExpr("text", "xxhash64(text, 1) AS h1", "xxhash64(text, 2) AS h2").collect()}
+    want = brute(pairs, key=lambda p: (p[0] is not None, p[0] or 0, hashes[p[1]]))
+    got = sorted((r.doc_id or 0, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in remove_repeats(df).collect())
+    assert got == sorted((i or 0, *want[i, t]) for i, t in pairs)
+
+
 def test_empty_table(documents):
     assert remove_repeats(documents([])).count() == 0
 

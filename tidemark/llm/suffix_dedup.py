@@ -29,16 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.scan import with_ordinal
 from . import query
 from .rolling import Roller, sliding_min, text_bytes
-from .tables import NO_ID, doc_key, real_id, store, table
+from .tables import NO_ID, doc_key, store, table
 
 #: Bytes of text hashed at once; a longer document is cut into overlapping segments.
 _CHUNK = 1 << 19
 _SEGMENT = 1 << 22
 
-# The place of a phrase within its document, packed: kind, text hash, start, strings.
-# The text hash parts different rows that repeat a doc_id.
+# The place of a phrase within its document, packed: kind, tag, start, strings.
+# The tag numbers different texts that share a doc_id.
 _OPEN, _REPEAT, _CHECK = 0, 1, 2
 _TAG_BITS, _START_BITS, _COUNT_BITS = 22, 32, 7
 
@@ -56,8 +57,29 @@ def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kind, (place >> _COUNT_BITS) & ((1 << _START_BITS) - 1), place & ((1 << _COUNT_BITS) - 1)
 
 
-def _tag():
-    return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << _TAG_BITS) - 1)
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with columns d and tag, which tell different texts of one doc_id apart.
+
+    Rows of a doc_id with one text have tag 0. Other texts are numbered along their 128-bit
+    hashes: those without doc_id by d, as they come before all others, those of one doc_id
+    by tag. Only hashes move for that, and the numbers are joined where there are any.
+    """
+    text = F.col("text").cast("string")
+    hashes = [F.xxhash64(F.coalesce(text, F.lit("")), F.lit(i)).alias(f"h{i}") for i in (1, 2)]
+    docs = docs.select("doc_id", text.alias("text"), doc_key().alias("d"), *hashes)
+    spread = docs.groupBy("d").agg(F.min(F.struct("h1", "h2")).alias("low"), F.max(F.struct("h1", "h2")).alias("high"))
+    shared = spread.where("low != high").select("d")
+    texts = store(docs.select("d", "h1", "h2").distinct().join(shared, "d", "left_semi"), "shared_ids")
+    if texts.isEmpty():
+        return docs.select("doc_id", "text", "d", F.lit(0).cast("bigint").alias("tag"))
+    nameless = with_ordinal(texts.where(F.col("d") == NO_ID), ["h1", "h2"])
+    nameless = nameless.select("d", "h1", "h2", (F.col("d") + F.col("n")).alias("own"), F.lit(0).cast("bigint").alias("tag"))
+    nth = F.row_number().over(Window.partitionBy("d").orderBy("h1", "h2")).cast("bigint")
+    named = texts.where(F.col("d") != NO_ID).select("d", "h1", "h2", F.col("d").alias("own"), nth.alias("tag"))
+    numbers = store(nameless.union(named), "told_apart")
+    return docs.join(numbers, ["d", "h1", "h2"], "left").select(
+        "doc_id", "text", F.coalesce("own", "d").alias("d"), F.coalesce("tag", F.lit(0)).alias("tag")
+    )
 
 
 def _chunks(offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -206,7 +228,7 @@ def _cut(length: int):
     """The spans of covered bytes, and the rest of each text."""
     schema = pa.schema(
         [
-            ("d", pa.int64()),
+            ("doc_id", pa.int64()),
             ("n_bytes", pa.int64()),
             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
             ("kept", pa.binary()),
@@ -233,7 +255,7 @@ def _cut(length: int):
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 spans.append([{"start": a, "stop": b} for a, b in turns.reshape(-1, 2).tolist()])
                 kept.append(text[~gone].tobytes())
-            arrays = [batch.column("d"), np.diff(offsets), spans, kept]
+            arrays = [batch.column("doc_id"), np.diff(offsets), spans, kept]
             yield pa.RecordBatch.from_arrays(
                 [a if isinstance(a, pa.Array) else pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)],
                 schema=schema,
@@ -249,12 +271,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 48) -> DataFr
     spans array<struct<start, stop>>, kept binary`` for every row. Earlier means a
     smaller doc_id, or an earlier start in the same text. A NULL text is empty, a NULL
     doc_id comes before all others. Of rows that repeat a doc_id, different texts count
-    as documents in a fixed order; equal texts count as one document and get the same
-    result. Texts shorter than ``length`` stay whole.
+    as documents in a fixed order, up to four million of them; equal texts count as one
+    document and get the same result. There may be any number of rows without doc_id, and
+    other ids are above -2**62. Texts shorter than ``length`` stay whole, longer ones are
+    hashed in segments whatever their size. An empty table gives an empty one.
     """
     if not 0 < gram < length <= 127:
         raise ValueError("gram must be below length, and length at most 127")
-    docs = docs.select(doc_key().alias("d"), _tag().alias("tag"), F.col("text").cast("string").alias("text"))
+    told_apart = _told_apart(docs)
+    docs = told_apart.select("d", "tag", "text")
 
     by_key, by_entry = Window.partitionBy("k"), Window.partitionBy("k", "e").orderBy("d", "p")
     kind = F.shiftright("p", _TAG_BITS + _START_BITS + _COUNT_BITS)
@@ -285,11 +310,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = 48) -> DataFr
     )
     strings = store(strings.groupBy("d", "tag").agg(F.collect_list("p").alias("strings")), "suffix_strings")
 
-    flagged = docs.join(places, ["d", "tag"], "left").join(strings, ["d", "tag"], "left")
-    out = flagged.select("d", "text", "places", "strings").mapInArrow(
-        _cut(length), "d long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
+    flagged = told_apart.join(places, ["d", "tag"], "left").join(strings, ["d", "tag"], "left")
+    return flagged.select(F.col("doc_id").cast("bigint"), "text", "places", "strings").mapInArrow(
+        _cut(length), "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
     )
-    return out.select(real_id("d").alias("doc_id"), "n_bytes", "spans", "kept")
 
 
 @query()
