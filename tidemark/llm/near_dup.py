@@ -8,12 +8,14 @@ independent: a pair of similarity 0.75 stays together at the root with probabili
 and at each further level with 0.96, so at four levels one tree finds it with 0.65 and
 ten trees miss one pair in 30,000; mostly such a pair is joined by other links too.
 
-Only links that can join two components matter. A large node first compares all its
-documents with its first and its last one, which settles groups of near copies at the
-cost of two comparisons each. From then on only documents of different components are
-compared, and a node counts as small once few documents are outside its largest
-component. Documents with equal sets take part as one. Comparisons pass three filters:
-set size, three bits of each token, then the full sets.
+Only links that can join two components matter. Groups of near copies are settled first:
+at the roots of a few trees every document is compared with two others of its node, one of
+them of the largest component there. Then the trees compare documents of different
+components only, and a node counts as small once few documents are outside its largest
+component. Nodes that stay large down to the last level, whose documents agree in some
+two dozen tokens, compare each document with two others as well. Documents with equal
+sets take part as one. Comparisons pass three filters: set size, one bit of the least hash
+in each of 256 ranges, then the full sets.
 """
 
 from __future__ import annotations
@@ -32,14 +34,30 @@ from .shingles import shingle_sets
 from .tables import complete, doc_key, real_id, store, table
 
 _SIZE = 64  # minwise tokens of a set
-_PLANES = 3  # bits of each token that a comparison looks at first
-_ALLOWED = 30  # tokens that may differ in them; 14 do on average at similarity 0.75, 39 at 0.3
+_RANGES = 256  # ranges of hashes whose least members are compared first, by one bit each
+_ALLOWED = 56  # bits that may differ; 32 do on average at similarity 0.75, 64 at 0.5
+_SETTLING = [(0, 1), (2, 3)]  # trees whose roots settle groups of near copies, in turn
 _PICKS = 4  # times a large node deals its documents again
-_DEPTH = 12  # levels after which nodes of any size compare all their documents
-_BITS = [f"b{i}" for i in range(_PLANES)]
+_DEPTH = 12  # levels after which large nodes are not dealt any further
+_BITS = [f"b{i}" for i in range(_RANGES // 64)]
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, _SIZE, dtype=np.uint64) | np.uint64(1)
 
 
+def _range_bits(hashes: np.ndarray, at: np.ndarray, sets: int) -> np.ndarray:
+    """For each set a bit of its least hash in every range, 64 ranges a number; 0 in empty ones.
+
+    The hashes of a set are in order, so the first one of a range is its least.
+    """
+    owner = np.repeat(np.arange(sets), np.diff(at))
+    place = (hashes >> np.uint64(56)).astype(np.int64)
+    first = np.ones(len(hashes), bool)
+    first[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1])
+    owner, place, bit = owner[first], place[first], hashes[first] & np.uint64(1)
+    out = np.zeros((len(_BITS), sets), np.uint64)
+    np.bitwise_or.at(out, (place // 64, owner), bit << (place % 64).astype(np.uint64))
+    return out
+
+
 def _sketches(words: int):
     schema = pa.schema(
         [("d", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
@@ -57,14 +75,12 @@ def _sketches(words: int):
                 full = n > 0
                 heads = at[:-1][full]
                 tokens = np.zeros((j - i, _SIZE), np.uint32)
-                bits = np.zeros((_PLANES, j - i), np.uint64)
+                bits = _range_bits(hashes, at, j - i)
                 h1 = h2 = np.zeros(j - i, np.uint64)
                 if len(heads):
                     for k, factor in enumerate(_FACTORS):
                         least = mix(np.minimum.reduceat(hashes * factor, heads))
                         tokens[full, k] = least >> np.uint64(32)
-                        for b in range(_PLANES):
-                            bits[b, full] |= (least >> np.uint64(b) & np.uint64(1)) << np.uint64(k)
                     h1, h2 = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
                     h1[full] = np.add.reduceat(mix(hashes ^ np.uint64(1)), heads)
                     h2[full] = np.add.reduceat(mix(hashes ^ np.uint64(2)), heads)
@@ -113,24 +129,43 @@ def _linked(percent: int):
 
 def _alike(x: str, y: str, percent: int) -> Column:
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    planes = [F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}")) for b in _BITS]
-    differing = F.bit_count(reduce(Column.bitwiseOR, planes))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differing <= _ALLOWED)
+    differing = [F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS]
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reduce(Column.__add__, differing) <= _ALLOWED)
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
     """Rows of nodes with several components: the largest one ``main``, the number of rows
-    of ``others``, and the rows with the smallest and the largest id."""
+    of ``others``, and the rows with the smallest id of the main one and the largest id of all."""
     row = F.struct("d", "n", *_BITS, "c")
     parts = nodes.groupBy("node", "c").agg(F.count("*").alias("k"), F.min(row).alias("low"), F.max(row).alias("high"))
     heads = parts.groupBy("node").agg(
-        F.max(F.struct("k", "c")).alias("main"),
-        F.sum("k").alias("size"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
+        F.max(F.struct("k", "c", "low")).alias("main"), F.sum("k").alias("size"), F.max("high").alias("high")
+    )
+    heads = heads.select("node", "main.c", (F.col("size") - F.col("main.k")).alias("others"), "main.low", "high")
+    return nodes.join(heads.where("others > 0").withColumnRenamed("c", "main"), "node")
+
+
+def _stars(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each node's documents with two others of it."""
+    y = F.struct("d", "n", *_BITS, "c").alias("y")
+    heads = F.explode(F.array("low", "high")).alias("x")
+    pairs = nodes.select(heads, y).where((F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
+    return pairs.select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The pairs whose full sets are similar enough, each once."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = store(pairs, f"{name}_pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct()
+    sets = docs.join(wanted, "d", "left_semi").mapInArrow(_sets(words), "d long, set binary")
+    sets = store(sets, f"{name}_sets")
+    both = (
+        pairs.join(sets.select(F.col("d").alias("a"), F.col("set").alias("sa")), "a")
+        .join(sets.select(F.col("d").alias("b"), F.col("set").alias("sb")), "b")
+        .select("a", "b", "sa", "sb")
     )
-    heads = heads.select("node", F.col("main.c").alias("main"), (F.col("size") - F.col("main.k")).alias("others"), "low", "high")
-    return nodes.join(heads.where("others > 0"), "node")
+    return store(both.mapInArrow(_linked(percent), "a long, b long"), f"{name}_links")
 
 
 def _child(pick: int) -> Column:
@@ -141,7 +176,7 @@ def _child(pick: int) -> Column:
 
 @complete
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 128
+    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 32
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -165,12 +200,21 @@ def near_duplicates(
 
     # Trees take turns through the tokens, each its own.
     picks = [F.xxhash64(F.lit(t), F.element_at("tokens", 1 + t * 37 % _SIZE)) for t in range(trees)]
-    nodes = lead.select(F.explode(F.array(*picks)).alias("node"), "d", "n", *_BITS, F.col("d").alias("c"))
-    found, full_sets = None, None
+    named, links = lead.withColumn("c", F.col("d")), None
+    for turn, some in enumerate(_SETTLING):
+        roots_of = F.explode(F.array(*[picks[t] for t in some if t < trees]))
+        nodes = named.select(roots_of.alias("node"), "d", "n", *_BITS, "c")
+        near = _confirmed(_stars(_sized(nodes), percent), docs, words, percent, f"near_{turn}")
+        links = near if links is None else links.union(near)
+        # One name for each document, joined once.
+        names = components(links).select("d", F.col("root").alias("c"))
+        named = lead.join(names, "d", "left").withColumn("c", F.coalesce("c", "d"))
+        named = store(named, f"named_{turn}")
+    nodes = named.select(F.explode(F.array(*picks)).alias("node"), "d", "n", *_BITS, "c")
+    met = []
     for depth in range(_DEPTH + 1):
-        limit = small if depth < _DEPTH else 1 << 62
         nodes = store(_sized(nodes), f"nodes_{depth}")
-        few, many = nodes.where(F.col("others") <= limit), nodes.where(F.col("others") > limit)
+        few, many = nodes.where(F.col("others") <= small), nodes.where(F.col("others") > small)
         # Documents of the node's largest component meet all others, but not each other.
         pairs = (
             few.where(F.col("c") != F.col("main"))
@@ -178,39 +222,15 @@ def near_duplicates(
             .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
             .select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
         )
-        for head in ("low", "high"):
-            stars = many.select(head, F.struct("d", "n", *_BITS, "c").alias("y"))
-            stars = stars.where((F.col(f"{head}.c") != F.col("y.c")) & _alike(head, "y", percent))
-            pairs = pairs.union(stars.select(F.col(f"{head}.d").alias("a"), F.col("y.d").alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = store(pairs, f"pairs_{depth}")
-        if full_sets is None:
-            # Deeper nodes hold a part of the documents of the large ones here.
-            wanted = pairs.select(F.explode(F.array("a", "b")).alias("d")).union(many.select("d")).distinct()
-            full_sets = store(docs.join(wanted, "d", "left_semi").mapInArrow(_sets(words), "d long, set binary"), "sets")
-        links = (
-            pairs.join(full_sets.select(F.col("d").alias("a"), F.col("set").alias("sa")), "a")
-            .join(full_sets.select(F.col("d").alias("b"), F.col("set").alias("sb")), "b")
-            .select("a", "b", "sa", "sb")
-            .mapInArrow(_linked(percent), "a long, b long")
-        )
-        links = store(links, f"links_{depth}")
-        found = links if found is None else found.union(links)
+        met.append(store(pairs, f"met_{depth}"))
         if many.isEmpty():
             break
-        # A document takes over the smallest component of its new neighbours. That may leave one
-        # component with several names, which costs comparisons and loses none.
-        either = links.union(links.select("b", "a")).join(many.select(F.col("d").alias("b"), F.col("c").alias("near")).distinct(), "b")
-        nearest = either.groupBy(F.col("a").alias("d")).agg(F.min("near").alias("near"))
-        nodes = many.select("node", "d", "n", *_BITS, "c").join(nearest, "d", "left")
-        nodes = nodes.withColumn("c", F.least("c", "near")).drop("near")
-        nodes = store(_sized(nodes), f"open_{depth}")
-        # What the stars have left to little is compared as it is; the rest is dealt again.
-        ready = nodes.where(F.col("others") <= small).select("node", "d", "n", *_BITS, "c")
-        dealt = nodes.where(F.col("others") > small).join(lead.select("d", "tokens"), "d")
-        dealt = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", *_BITS, "c")
-        nodes = ready.union(dealt)
-    roots = components(copies.union(found))
+        if depth == _DEPTH:
+            met.append(_stars(many, percent))
+        dealt = many.select("node", "d", "n", *_BITS, "c").join(lead.select("d", "tokens"), "d")
+        nodes = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", *_BITS, "c")
+    found = _confirmed(reduce(DataFrame.union, met), docs, words, percent, "tree")
+    roots = components(copies.union(links).union(found))
     out = sketches.select("d", "n").join(roots, "d", "left").withColumn("c", F.coalesce("root", "d"))
     return out.select(
         real_id("d").alias("doc_id"),
