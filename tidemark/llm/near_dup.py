@@ -1,19 +1,21 @@
 """Near duplicates by a chosen-path set similarity join.
 
 Documents become sets of word shingles, and each set a row of ``_SIZE`` minwise
-tokens. A tree deals the documents to nodes by one token that the tree picks; a node with
-many documents deals them again, four times over, by two further tokens that a hash of
+tokens. A tree deals the documents to nodes by two tokens of its own; a node with
+many documents deals them again, four times over, by four further tokens that a hash of
 the node picks, and so on. Small nodes compare all their documents. Trees are
-independent: a pair of similarity 0.75 stays together at the root with probability 0.75
-and at each further level with 0.96, so at four levels one tree finds it with 0.65 and
-ten trees miss one pair in 30,000; mostly such a pair is joined by other links too.
+independent: a pair of similarity 0.75 stays together at the root with probability 0.56
+and at each further level with 0.78, one of similarity 0.65 and less grows rarer with
+each level. Fourteen trees miss one pair of 0.75 in 100,000 at their roots, and three in a
+thousand two levels below, in groups of thousands of documents that are nearly as
+similar; mostly such a pair is joined by other links too.
 
 Only links that can join two components matter. Groups of near copies are settled first:
-at the roots of a few trees every document is compared with two others of its node, one of
-them of the largest component there. Then the trees compare documents of different
+among the documents that share one of a few tokens each is compared with eight of them, where
+possible of the largest component there. Then the trees compare documents of different
 components only, and a node counts as small once few documents are outside its largest
-component. Nodes that stay large down to the last level, whose documents agree in some
-two dozen tokens, compare each document with two others as well. Documents with equal
+component. Nodes that stay large down to the last level, whose documents agree in most
+tokens, compare each document with eight of them as well. Documents with equal
 sets take part as one. Comparisons pass three filters: set size, one bit of the least hash
 in each of 256 ranges, then the full sets.
 """
@@ -35,8 +37,9 @@ from .tables import complete, doc_key, real_id, store, table
 
 _SIZE = 64  # minwise tokens of a set
 _RANGES = 256  # ranges of hashes whose least members are compared first, by one bit each
-_ALLOWED = 56  # bits that may differ; 32 do on average at similarity 0.75, 64 at 0.5
-_SETTLING = [(0, 1), (2, 3)]  # trees whose roots settle groups of near copies, in turn
+_DEVIATIONS = 4.5  # by which the number of bits that differ may exceed its mean
+_HEADS = 8  # documents of a node that all others are compared with to settle groups
+_SETTLING = [(1, 2), (3, 4)]  # the last tokens but so many settle groups of near copies, in turn
 _PICKS = 4  # times a large node deals its documents again
 _DEPTH = 12  # levels after which large nodes are not dealt any further
 _BITS = [f"b{i}" for i in range(_RANGES // 64)]
@@ -130,26 +133,26 @@ def _linked(percent: int):
 def _alike(x: str, y: str, percent: int) -> Column:
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
     differing = [F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS]
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reduce(Column.__add__, differing) <= _ALLOWED)
+    # Of sets just similar enough, a part of the ranges that both fill have different bits.
+    far = F.lit(1 - percent / 100)
+    filled = _RANGES * (1 - F.exp(-(n + m) / ((1 + percent / 100) * _RANGES)))
+    allowed = far / 2 * filled + _DEVIATIONS * F.sqrt(far / 2 * filled)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reduce(Column.__add__, differing) <= allowed)
 
 
 def _sized(nodes: DataFrame) -> DataFrame:
-    """Rows of nodes with several components: the largest one ``main``, the number of rows
-    of ``others``, and the rows with the smallest id of the main one and the largest id of all."""
-    row = F.struct("d", "n", *_BITS, "c")
-    parts = nodes.groupBy("node", "c").agg(F.count("*").alias("k"), F.min(row).alias("low"), F.max(row).alias("high"))
-    heads = parts.groupBy("node").agg(
-        F.max(F.struct("k", "c", "low")).alias("main"), F.sum("k").alias("size"), F.max("high").alias("high")
-    )
-    heads = heads.select("node", "main.c", (F.col("size") - F.col("main.k")).alias("others"), "main.low", "high")
-    return nodes.join(heads.where("others > 0").withColumnRenamed("c", "main"), "node")
+    """Rows of nodes with several components, with the largest one ``main`` and the number of rows of ``others``."""
+    parts = nodes.groupBy("node", "c").agg(F.count("*").alias("k"))
+    heads = parts.groupBy("node").agg(F.max(F.struct("k", "c")).alias("main"), F.sum("k").alias("size"))
+    heads = heads.select("node", F.col("main.c").alias("main"), (F.col("size") - F.col("main.k")).alias("others"))
+    return nodes.join(heads.where("others > 0"), "node")
 
 
 def _stars(nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each node's documents with two others of it."""
-    y = F.struct("d", "n", *_BITS, "c").alias("y")
-    heads = F.explode(F.array("low", "high")).alias("x")
-    pairs = nodes.select(heads, y).where((F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
+    """Pairs of each node's documents with up to ``_HEADS`` others of it, of its largest component where possible."""
+    row = F.struct((F.col("c") != F.col("main")).alias("other"), "d", "n", *_BITS, "c")
+    heads = nodes.groupBy("node", F.pmod(F.xxhash64("d"), F.lit(_HEADS)).alias("nth")).agg(F.min(row).alias("x"))
+    pairs = heads.join(nodes.select("node", row.alias("y")), "node").where((F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
     return pairs.select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
 
 
@@ -169,14 +172,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name
 
 
 def _child(pick: int) -> Column:
-    """A node below: the node and two of the document's tokens, whose places the node picks."""
-    places = [1 + F.pmod(F.xxhash64("node", F.lit(pick), F.lit(k)), F.lit(_SIZE)) for k in (0, 1)]
+    """A node below: the node and four of the document's tokens, whose places the node picks."""
+    places = [1 + F.pmod(F.xxhash64("node", F.lit(pick), F.lit(k)), F.lit(_SIZE)) for k in range(4)]
     return F.xxhash64("node", F.lit(pick), *[F.element_at("tokens", p.cast("int")) for p in places])
 
 
 @complete
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 10, small: int = 32
+    docs: DataFrame, words: int = 5, percent: int = 75, trees: int = 14, small: int = 64
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -185,7 +188,8 @@ def near_duplicates(
     columns doc_id and text and ignores others. A text that is NULL or without words
     has no shingles and no links; its document is kept. Rows with one doc_id are one
     vertex with several texts, and rows without doc_id are one that comes before all
-    others; their component_id is NULL.
+    others; their component_id is NULL. Very long texts are hashed whole; an empty table
+    gives an empty one. ``trees`` is at most 30.
     """
     docs = docs.select(doc_key().alias("d"), F.col("text").cast("string").alias("text"))
     sketches = store(
@@ -198,11 +202,12 @@ def near_duplicates(
     lead = full.groupBy(*sets).agg(F.min(F.struct("d", *_BITS, "tokens")).alias("x"))
     lead = store(lead.select("x.*", "n"), "distinct_sets")
 
-    # Trees take turns through the tokens, each its own.
-    picks = [F.xxhash64(F.lit(t), F.element_at("tokens", 1 + t * 37 % _SIZE)) for t in range(trees)]
+    # Trees have tokens of their own; groups are settled by single ones.
+    token = [F.element_at("tokens", i) for i in range(1, _SIZE + 1)]
+    picks = [F.xxhash64(F.lit(t), token[2 * t], token[2 * t + 1]) for t in range(trees)]
     named, links = lead.withColumn("c", F.col("d")), None
     for turn, some in enumerate(_SETTLING):
-        roots_of = F.explode(F.array(*[picks[t] for t in some if t < trees]))
+        roots_of = F.explode(F.array(*[F.xxhash64(F.lit(-i), token[-i]) for i in some]))
         nodes = named.select(roots_of.alias("node"), "d", "n", *_BITS, "c")
         near = _confirmed(_stars(_sized(nodes), percent), docs, words, percent, f"near_{turn}")
         links = near if links is None else links.union(near)
