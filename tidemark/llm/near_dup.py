@@ -161,7 +161,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = store(pairs, f"{name}_pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct()
-    sets = docs.join(wanted, "d", "left_semi").mapInArrow(_sets(words), "d long, set binary")
+    # How many documents are wanted has no bound, so this is no broadcast at any size.
+    sets = docs.join(wanted.hint("merge"), "d", "left_semi").mapInArrow(_sets(words), "d long, set binary")
     sets = store(sets, f"{name}_sets")
     both = (
         pairs.join(sets.select(F.col("d").alias("a"), F.col("set").alias("sa")), "a")
