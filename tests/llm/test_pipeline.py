@@ -3,11 +3,12 @@ from __future__ import annotations
 from collections import Counter
 
 import duckdb
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import mixing
 
-from .conftest import SMALL
+from .conftest import SMALL, prose
 from .test_decontaminate import words
 from .test_near_dup import brute
 
@@ -66,3 +67,24 @@ def test_empty_documents_pass_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
         assert docs.count() == 0
+
+
+def test_names_that_operators_use_survive_every_stage(spark):
+    extra = ["toxicity", "matches", "short_items", "turn", "passes", "last", "copies", "n", "d"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in extra})
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.store(stage(spark, docs, SMALL), "stage")
+        assert docs.columns == columns
+        assert docs.count() and docs.where(" OR ".join(f"{c} != concat('{c}', doc_id)" for c in extra)).isEmpty()
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    pairs = [(7, b), (8, b), (7, a), (5, a), (None, c), (None, c), (9, c), (None, prose(4, 80)), (6, ""), (6, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "s", k) for k, (i, t) in enumerate(pairs)], "doc_id long, text string, source string, _n int")
+    kept = corpus_pipeline.near_duplicates(spark, docs.repartition(3), SMALL)
+    assert kept.columns == docs.columns
+    rows = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert rows == sorted([(7, b), (5, a), (None, c), (None, prose(4, 80)), (6, ""), (6, ""), (None, None)], key=repr)
