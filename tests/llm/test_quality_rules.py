@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from tidemark.llm import quality_rules
-from tidemark.llm.quality_rules import judge, op3_ngram_ratio_rules, ratios
+from tidemark.llm.quality_rules import judge, judge_corpus, op3_ngram_ratio_rules, ratios
 
 from .conftest import SMALL, prose
 
@@ -105,3 +105,25 @@ def test_scores_equal_a_plain_version(spark, documents, monkeypatch):
 def test_all_trusted_rows_count(spark):
     docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('w', id, ' x') AS text")
     assert ratios(docs, docs.select("doc_id")).where("abs(ratio) > 1e-9").count() == 0
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_a_corpus_judged_by_itself(spark, documents, monkeypatch, rounds):
+    monkeypatch.setattr(quality_rules, "_SLOTS", 16)
+    pairs = [(i, prose(i % 7, 30 + i) + " the end" * (i % 3)) for i in range(60)] + [(3, prose(3, 33)), (None, "the end")]
+    pairs += [(5, None), (6, ""), (7, " \n"), (8, "one"), (9, "w " * 700_000), (9, "w " * 700_000), (None, "the end")]
+    docs = documents(pairs)
+    for good in ([0, 3, 5, 9, 11], []):
+        trusted = spark.createDataFrame([(i,) for i in [*good, *good, None]], "doc_id long")
+        want = judge(docs, ratios(docs, trusted)).collect()
+        got = judge_corpus(docs, trusted, rounds=rounds).collect()
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_words, r.word_chars, r.score)
+        want, got = sorted(want, key=key), sorted(got, key=key)
+        assert [r.score for r in got] == pytest.approx([r.score for r in want])
+        assert [(r.doc_id, *columns(r), r.kept) for r in got] == [(r.doc_id, *columns(r), r.kept) for r in want]
+
+
+def test_an_empty_corpus_judged_by_itself(spark, documents):
+    none = spark.createDataFrame([], "doc_id long")
+    assert judge_corpus(documents([]), none).count() == 0
+    assert [r.score for r in judge_corpus(documents([(1, None)]), none).collect()] == [0]

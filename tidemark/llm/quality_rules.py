@@ -5,14 +5,17 @@ multinomials over them, one of trusted documents and one of the whole corpus, gi
 n-gram the logarithm of their ratio; a document's score is the mean over its n-grams, so
 length does not count. Every document at or above the threshold passes.
 
-All of it is column expressions. The counts are a stored table of every n-gram. Those of
-the most frequent ones reach the scoring scan as an array of fixed size, the value of a
-scalar subquery, so that no frequent n-gram is a join key; the rest join the table by hash.
+All of it is column expressions. The counts of the most frequent n-grams reach a scan as
+an array of fixed size, the value of a scalar subquery, so that no frequent n-gram is a
+shuffle key. ``ratios`` and ``judge`` hold any texts against a stored table of every n-gram.
+``judge_corpus`` judges a corpus by itself without such a table: each of the other n-grams
+is shuffled once, together with its text's key, is counted where it arrives, and sends back
+partial sums of ratios only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import query
@@ -22,6 +25,8 @@ _GAPS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8  # words of a window that repeats
 _SLOTS = 1 << 16  # places for frequent n-grams
+_ROUNDS = 4  # shares of the hashes that are shuffled one after the other
+_LONG = 1 << 20  # bytes of a text that always helps to choose frequent n-grams
 
 
 def _text() -> Column:
@@ -156,6 +161,110 @@ def counts(docs: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", _repeat_words()).drop("_places")
 
 
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``_text`` and ``_key`` of every row; the key's lowest bit tells a trusted row."""
+    marks = trusted.select("doc_id").dropna().distinct().withColumn("_good", F.lit(1).cast("bigint"))
+    rows = docs.select("doc_id", _text().alias("_text")).join(marks, "doc_id", "left")
+    bit = F.coalesce("_good", F.lit(0).cast("bigint"))
+    return rows.select("doc_id", "_text", _key().bitwiseAND(F.lit(-2).cast("bigint")).bitwiseOR(bit).alias("_key"))
+
+
+def _exploded(rows: DataFrame) -> DataFrame:
+    grams = _with_hashes(rows).select("_key", F.explode_outer(_grams(None)).alias("gram"))
+    return grams.where("gram is not null")
+
+
+def _good() -> Column:
+    return F.col("_key").bitwiseAND(F.lit(1).cast("bigint"))
+
+
+def _slot(gram: Column) -> Column:
+    return F.pmod(gram, F.lit(_SLOTS)).cast("int")
+
+
+def _places(chosen: DataFrame, *fields: str) -> DataFrame:
+    """One row with ``places``: an array with a struct of gram and ``fields`` at each taken place."""
+    every = chosen.sparkSession.range(0, _SLOTS, 1, 1).select(F.col("id").cast("int").alias("slot"))
+    every = every.join(chosen.select("slot", F.struct("gram", *fields).alias("x")), "slot", "left")
+    lists = every.agg(F.array_sort(F.collect_list(F.struct("slot", "x"))).alias("places"))
+    return store(lists.select(F.transform("places", lambda p: p["x"]).alias("places")), "places")
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """For each of ``_SLOTS`` places by hash the n-gram that is most frequent in a part of the texts.
+
+    The part is one text in 16, by hash, and every long one. N-grams below one in 2 * ``_SLOTS``
+    of its occurrences take no place. Which ones are chosen changes no result, only what is shuffled.
+    """
+    part = rows.where((F.pmod(F.hash("_key"), F.lit(16)) == 0) | (F.octet_length("_text") > _LONG))
+    counted = store(_exploded(part).groupBy("gram").agg(F.count("*").alias("n")), "part")
+    total = counted.agg(F.sum("n").alias("total")).scalar()
+    often = counted.where((F.col("n") > 1) & (F.col("n") * 2 * _SLOTS > total)).groupBy(_slot(F.col("gram")).alias("slot"))
+    return _places(often.agg(F.max(F.struct("n", "gram")).alias("x")).select("slot", "x.gram"))
+
+
+def _ratio(all_: str, good: str, share: float) -> Column:
+    return F.log((F.col(good) + 1) / (F.col(all_) * share + 1))
+
+
+def corpus_sums(docs: DataFrame, trusted: DataFrame, rounds: int = _ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Ratios of the frequent n-grams of ``docs``, and what the others add to each text.
+
+    The first is a frame of one row with ``places``; the second has ``_key, _sum``, a row for
+    every text. Counts cover every row. The others are shuffled in ``rounds`` by hash, whose
+    files go before the next round starts.
+    """
+    rows = _marked(docs, trusted)
+    chosen = _candidates(rows).scalar()
+    grams = _exploded(rows).select("_key", "gram", F.get(chosen, _slot(F.col("gram"))).alias("x"))
+    slot = F.when(F.col("x.gram") == F.col("gram"), _slot(F.col("gram"))).otherwise(-1)
+    counted = grams.groupBy(slot.alias("slot")).agg(F.count("*").alias("all"), F.sum(_good()).alias("good"), F.max("gram").alias("gram"))
+    counted = store(counted, "frequent")
+    share = counted.agg((F.sum("good") / F.sum("all")).alias("share")).first()["share"] or 0.0
+    frequent = counted.where("slot >= 0").withColumn("ratio", _ratio("all", "good", share))
+    frequent = _places(frequent, "ratio")
+    # A gram's texts lie together once sorted; the sums per text are made before they move.
+    other = Window.partitionBy("gram")
+    sums = store(rows.groupBy("_key").agg(F.count("*").alias("n")).select("_key", F.lit(0.0).alias("s"), "n"), "texts")
+    for r in range(rounds):
+        mine = grams.where((slot == -1) & (F.pmod(F.shiftright("gram", 40), F.lit(rounds)) == r)).select("_key", "gram")
+        mine = mine.withColumns({"all": F.count("*").over(other), "good": F.sum(_good()).over(other)})
+        part = mine.groupBy("_key").agg(F.sum(_ratio("all", "good", share)).alias("s"))
+        sums = sums.unionByName(store(part.withColumn("n", F.lit(0).cast("bigint")), f"round_{r}"))
+    # Rows that repeat share a key, each with the same sum.
+    return frequent, sums.groupBy("_key").agg((F.sum("s") / F.sum("n")).alias("_sum"))
+
+
+def _verdict(rows: DataFrame, threshold: float) -> DataFrame:
+    """The columns of the result, from the counts and ``_sum``."""
+    score = F.when(F.col("n_words") > 0, F.col("_sum") / (2 * F.col("n_words") - 1)).otherwise(0.0)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    rows = rows.withColumns({"score": score, "base_failed": failed})
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def judge_corpus(docs: DataFrame, trusted: DataFrame, threshold: float = -0.2, rounds: int = _ROUNDS) -> DataFrame:
+    """``judge(docs, ratios(docs, trusted), threshold)`` without a table of all n-grams.
+
+    A NULL text counts as empty; without words the score is 0 and the base rules fail. Long
+    texts are counted whole. Rows that repeat are judged each by itself. An empty table gives
+    no rows; other columns of ``docs`` are not looked at.
+    """
+    frequent, sums = corpus_sums(docs, trusted, rounds)
+
+    def known(acc: Column, g: Column) -> Column:
+        return acc + F.when(g["x"]["gram"] == g["gram"], g["x"]["ratio"]).otherwise(0.0)
+
+    # Named once only: then the plan holds the array in place and doesn't copy it into each row.
+    rows = counts(_marked(docs, trusted)).withColumn("_places", frequent.scalar())
+    found = F.transform(_grams(None), lambda g: F.struct(g.alias("gram"), F.get("_places", _slot(g)).alias("x")))
+    rows = rows.withColumn("_known", F.aggregate(found, F.lit(0.0), known))
+    rows = rows.drop("_text", "_hashes", "_places").join(sums, "_key", "left")
+    return _verdict(rows.withColumn("_sum", F.col("_known") + F.coalesce("_sum", F.lit(0.0))), threshold)
+
+
 def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: int | None = None) -> DataFrame:
     """The counts, the score and the verdict for every row.
 
@@ -166,12 +275,7 @@ def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: i
     texts = docs.select("doc_id", _text().alias("_text"))
     sums = _sums(texts, ratio, buckets)
     rows = counts(texts).withColumn("_key", _key()).drop("_text", "_hashes").join(sums, "_key", "left")
-    score = F.when(F.col("n_words") > 0, F.col("_sum") / (2 * F.col("n_words") - 1)).otherwise(0.0)
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    rows = rows.withColumns({"score": score, "base_failed": failed})
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
-    )
+    return _verdict(rows, threshold)
 
 
 @query()
@@ -179,4 +283,4 @@ def op3_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents, against the documents of good quality."""
     docs = table(spark, sf_dir, "documents")
     trusted = table(spark, sf_dir, "labels").where("quality = 1")
-    return judge(docs, ratios(docs, trusted))
+    return judge_corpus(docs, trusted)
