@@ -25,7 +25,8 @@ _GAPS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8  # words of a window that repeats
 _SLOTS = 1 << 16  # places for frequent n-grams
-_ROUNDS = 4  # shares of the hashes that are shuffled one after the other
+_IDS = 1 << 20  # trusted ids, some 40 MB, that are broadcast
+_ROUNDS = 6  # shares of the hashes that are shuffled one after the other
 _LONG = 1 << 20  # bytes of a text that always helps to choose frequent n-grams
 
 
@@ -162,8 +163,14 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``_text`` and ``_key`` of every row; the key's lowest bit tells a trusted row."""
-    marks = trusted.select("doc_id").dropna().distinct().withColumn("_good", F.lit(1).cast("bigint"))
+    """``_text`` and ``_key`` of every row; the key's lowest bit tells a trusted row.
+
+    Up to ``_IDS`` trusted ids go to every executor; with more, each scan shuffles the texts.
+    """
+    marks = trusted.select(F.col("doc_id").cast("bigint")).dropna().distinct()
+    marks = store(marks.withColumn("_good", F.lit(1).cast("bigint")), "marks")
+    if marks.count() <= _IDS:
+        marks = F.broadcast(marks)
     rows = docs.select("doc_id", _text().alias("_text")).join(marks, "doc_id", "left")
     bit = F.coalesce("_good", F.lit(0).cast("bigint"))
     return rows.select("doc_id", "_text", _key().bitwiseAND(F.lit(-2).cast("bigint")).bitwiseOR(bit).alias("_key"))
@@ -207,14 +214,13 @@ def _ratio(all_: str, good: str, share: float) -> Column:
     return F.log((F.col(good) + 1) / (F.col(all_) * share + 1))
 
 
-def corpus_sums(docs: DataFrame, trusted: DataFrame, rounds: int = _ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Ratios of the frequent n-grams of ``docs``, and what the others add to each text.
+def corpus_sums(rows: DataFrame, rounds: int = _ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Ratios of the frequent n-grams of ``rows``, and what the others add to each text.
 
-    The first is a frame of one row with ``places``; the second has ``_key, _sum``, a row for
+    ``rows`` come from ``_marked``. The first is a frame of one row with ``places``; the second has ``_key, _sum``, a row for
     every text. Counts cover every row. The others are shuffled in ``rounds`` by hash, whose
     files go before the next round starts.
     """
-    rows = _marked(docs, trusted)
     chosen = _candidates(rows).scalar()
     grams = _exploded(rows).select("_key", "gram", F.get(chosen, _slot(F.col("gram"))).alias("x"))
     slot = F.when(F.col("x.gram") == F.col("gram"), _slot(F.col("gram"))).otherwise(-1)
@@ -252,13 +258,14 @@ def judge_corpus(docs: DataFrame, trusted: DataFrame, threshold: float = -0.2, r
     texts are counted whole. Rows that repeat are judged each by itself. An empty table gives
     no rows; other columns of ``docs`` are not looked at.
     """
-    frequent, sums = corpus_sums(docs, trusted, rounds)
+    marked = _marked(docs, trusted)
+    frequent, sums = corpus_sums(marked, rounds)
 
     def known(acc: Column, g: Column) -> Column:
         return acc + F.when(g["x"]["gram"] == g["gram"], g["x"]["ratio"]).otherwise(0.0)
 
     # Named once only: then the plan holds the array in place and doesn't copy it into each row.
-    rows = counts(_marked(docs, trusted)).withColumn("_places", frequent.scalar())
+    rows = counts(marked).withColumn("_places", frequent.scalar())
     found = F.transform(_grams(None), lambda g: F.struct(g.alias("gram"), F.get("_places", _slot(g)).alias("x")))
     rows = rows.withColumn("_known", F.aggregate(found, F.lit(0.0), known))
     rows = rows.drop("_text", "_hashes", "_places").join(sums, "_key", "left")
