@@ -73,3 +73,11 @@ def test_query_equals_sql(spark):
     got = op5_bloom_url_rules(spark, SMALL)
     want = con.execute(ORACLES["op5_bloom_url_rules"]).fetchall()
     assert sorted(map(tuple, got.select("page_id", "host", "path", "rule", "verdict").collect())) == sorted(want)
+
+
+def test_hosts_of_many_labels(spark):
+    urls = ["u://" + "w." * 100_000 + end for end in ("com/en/x", "example.com/en/", "www.example.com/en/", "org/")]
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    assert sorted(tuple(r) for r in got) == [(i, *brute(u, rules)) for i, u in enumerate(urls)]

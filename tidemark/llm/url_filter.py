@@ -98,7 +98,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", id_column: str =
     ``rules`` has host, path and verdict. A rule fits its host and all subdomains if the
     path starts with the rule's; the longest wins, and of equal ones a block. Without a
     fitting rule the rule is NULL and the verdict allow. Rules with a NULL fit nothing.
-    Rows that repeat are judged each by itself, an empty list allows everything.
+    Rows that repeat are judged each by itself, an empty list allows everything. Of a long
+    host only as many labels are looked at as the longest host of a rule has.
     """
     spark = pages.sparkSession
     rules = rules.select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict").dropna()
@@ -109,7 +110,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", id_column: str =
 
     host, path = parts(F.col(url).cast("string"))
     rows = pages.select(F.col(id_column), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("_row"))
+    # Only so many labels as a rule's host has can equal one.
+    most = rules.agg(F.max(F.size(F.split("host", "\\.", -1)))).first()[0] or 1
     rows = rows.withColumn("_labels", F.split("host", "\\.", -1))
+    rows = rows.withColumn("_labels", F.slice("_labels", F.greatest(F.size("_labels") - most + 1, F.lit(1)), most))
     rows = rows.withColumn(
         "_hosts",
         F.transform("_labels", lambda _, i: F.array_join(F.slice("_labels", i + 1, F.size("_labels")), ".")),
