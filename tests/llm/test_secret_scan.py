@@ -61,6 +61,12 @@ def test_cases(documents):
     assert scan(documents([])).count() == 0
 
 
+def test_many_matches_in_one_text(documents):
+    texts = [f"{i:016x} " * n + "é token=abcdefghijkl" * m for i, (n, m) in enumerate([(20_000, 0), (101, 7), (1, 1), (9, 16), (0, 50)])]
+    rows = scan(documents(list(enumerate(texts)))).collect()
+    assert {r.doc_id: sorted(tuple(s) for s in r.base) for r in rows} == {i: base(t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("alphabet", [BASE62, "0123456789ABCDEF", BASE62 + "+/"])
 @pytest.mark.parametrize("n", [24, 48, 200])
 def test_random_runs_pass_and_text_fails(spark, alphabet, n):

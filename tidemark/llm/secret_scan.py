@@ -15,6 +15,7 @@ counts over a fixed number of bins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -50,6 +51,11 @@ _BANDS = (32, 40, 48, 64, 96, 128, 256, 1024)  # upper ends; the last band has n
 _STEPS, _BINS = 20, 6000  # bins a decade of probability, and bins in all
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value found once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """(start, kind, end) of a pattern's matches, in code points, end exclusive.
 
@@ -71,13 +77,33 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0
 
     def step(acc, row):
         start = acc["at"] + row["gap"]
-        end = start + row["size"]
+        end = start + F.coalesce(row["size"], F.lit(0).cast("bigint"))
         here = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
         found = F.when(row["good"], F.concat(acc["found"], here)).otherwise(acc["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), nothing.alias("found"))
-    spans = F.aggregate(rows, first, step, lambda acc: acc["found"])
+    zero = F.lit(0).cast("bigint")
+    first = F.struct(zero.alias("at"), nothing.alias("found"))
+
+    def blocks(r):
+        # A fold copies its list at each match, so it runs over the root of their number only.
+        size = F.ceil(F.sqrt(F.size(r))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(r), size), lambda i: F.aggregate(F.slice(r, i, size), first, step))
+
+    def moved(of_blocks):
+        def next_(acc, x):
+            return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+
+        none = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(of_blocks, none, next_, lambda acc: acc["starts"])
+
+        def shift(x, by):
+            one = lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"))
+            return F.transform(x["found"], one)
+
+        return F.flatten(F.zip_with(of_blocks, starts, shift))
+
+    spans = _once(_once(rows, blocks), moved)
     return F.when(text.rlike(pattern), spans).otherwise(nothing)
 
 
