@@ -139,3 +139,9 @@ def test_totals_sort_rows_once(spark):
     text = plan(scan.prefix_totals(points, ["k"], ["id"], {"n": F.lit(1)}))
     # Rows are dealt by their part of a key; sums of the parts by part and by key.
     assert text.count("Exchange hashpartitioning") <= 3 and "Broadcast" not in text
+
+
+def test_deletes_are_dealt_out_and_not_broadcast(spark):
+    # Unpacked rows outgrow the estimate that the planner has of them from the size of the file.
+    text = plan(entry_points.queries()["deletes_applied"](spark, SMALL))
+    assert "Broadcast" not in text and text.count("SortMergeJoin") == 2
