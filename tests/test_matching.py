@@ -77,3 +77,23 @@ def test_long_texts_are_cut_in_one_pass(spark, rows):
     assert rows(got, "keyword") == [("cd",), ("d end",)]
     text = plan(got)
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_only_what_a_text_holds_is_joined(spark, rows):
+    # All of a text's parts are common, and few of the keywords that have them are in it.
+    texts = spark.range(300).select(F.concat(F.lit("the abcabc "), F.col("id")).alias("text"))
+    asked = spark.range(2_000).select(F.concat(F.lit("abc "), F.col("id")).alias("keyword"))
+    got = keywords.track_many(texts, asked)
+    assert got.count() == sum(len(str(i)) for i in range(300))
+    assert len(re.findall(r"Join \[", plan(got))) == 1
+
+
+def test_windows_across_the_pieces_of_a_text_are_found(spark, rows):
+    piece = keywords._PIECE
+    asked = ["needle", "the whole Needle in the hay", "é\U0001f600é", "zz", "needl\0"]
+    texts = ["x" * (piece - n) + "the whole needle in the hay" + "é\U0001f600é" * n for n in range(0, 40, 13)]
+    texts += ["y" * 3 * piece, "the whole needle in the\thay", "n", "", None, "é\U0001f600"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+    got = keywords.track_many(df, frame(spark, "keyword", asked))
+    want = {(i, k.lower()) for i, t in enumerate(texts) if t for k in asked if k.lower() in t}
+    assert rows(got, "id", "keyword") == sorted(want, key=repr) and len(want) == 12
