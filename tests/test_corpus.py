@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from tidemark import schemas
 from tidemark.operators import bigrams, transitions, walks
 from tidemark.plans import phrases
+from tidemark.session import materialize
 from tidemark.sources import files
 
 RAW = [
@@ -116,6 +117,26 @@ def test_run_totals_against_a_walk_through_the_lines(spark, rows, piece):
     assert sorted(tuple(r) for r in got.collect()) == _runs_by_hand(lines)
 
 
+def test_lines_without_two_words_are_stored_at_edges_only(spark, monkeypatch):
+    stored = {}
+
+    def keep(df, name):
+        stored[name] = (df._jdf.queryExecution().optimizedPlan().toString(), materialize(df, name))
+        return stored[name][1]
+
+    monkeypatch.setattr(bigrams, "materialize", keep)
+    pairs = ["a b", "x1 y", "x2 y", None, "a b", "single", "c d", "c d e", "4"]
+    lines = [(0, i, pair, 1) for i, pair in enumerate(pairs * 10)]
+    df = spark.createDataFrame(lines, "file_no int, line_no bigint, bi_gram string, match_count bigint")
+    got = bigrams.run_totals(df, ["line_no"], F.floor(F.col("line_no") / 45))
+    assert [tuple(r)[1:] for r in got.orderBy("line_no").limit(3).collect()] == [(0, "a", "b", 1), (4, "a", "b", 1), (6, "c", "d", 2)]
+    assert got.count() == 30
+    # The last line of each of the two pieces has no second word.
+    assert stored["runs"][1].where("_pair = ''").count() == 2
+    # Lines move with nothing beside their own columns.
+    assert "struct(" not in stored["runs"][0]
+
+
 def test_runs_equal_group_totals_on_sorted_input(spark, rows):
     data = sorted((f"{a} {b}", y, 1) for a in "pqr" for b in "stu" for y in range(5))
     df = spark.createDataFrame(

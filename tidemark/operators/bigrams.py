@@ -52,11 +52,16 @@ def _runs(rows: DataFrame, piece: Sequence[str], along: Sequence[str], order: Se
 
     A row goes on with the one before it if both have one pair, it ``_opens`` what it comes from,
     and the other ``_closes`` it. A run opens its piece if its first row is the piece's first
-    one and opens what it comes from itself; closing is the same at the end.
+    one and opens what it comes from itself; closing is the same at the end. Rows without
+    these columns are lines, which always do both.
     """
     window = Window.partitionBy(*piece).orderBy(*along)
-    before = F.lag(F.struct("_closes", "_pair")).over(window)
-    goes_on = F.col("_opens") & F.coalesce(before["_closes"] & (before["_pair"] == F.col("_pair")), F.lit(False))
+    lines = "_opens" not in rows.columns
+    opens, closes = (F.lit(True),) * 2 if lines else (F.col("_opens"), F.col("_closes"))
+    closed = F.lit(True) if lines else F.lag("_closes").over(window)
+    # Plain columns only: what a window makes of several would move beside them.
+    before = F.lag("_pair").over(window)
+    goes_on = opens & F.coalesce(closed & (before == F.col("_pair")), F.lit(False))
     marked = rows.withColumns(
         {"_begins": ~goes_on, "_head": before.isNull(), "_tail": F.lead("_pair").over(window).isNull()}
     )
@@ -68,8 +73,8 @@ def _runs(rows: DataFrame, piece: Sequence[str], along: Sequence[str], order: Se
         .agg(
             *[F.max(F.when(F.col("_begins"), F.col(c))).alias(c) for c in order],
             F.sum("matchcount").alias("matchcount"),
-            F.max(F.col("_head") & F.col("_opens")).alias("_opens"),
-            F.max(F.col("_tail") & F.col("_closes")).alias("_closes"),
+            F.max(F.col("_head") & opens).alias("_opens"),
+            F.max(F.col("_tail") & closes).alias("_closes"),
         )
     )
 
@@ -83,30 +88,31 @@ def run_totals(ngrams: DataFrame, order: Sequence[str], block: Column, file: str
     and last run can go on in a neighbour. These are sorted along the files by a range
     shuffle and put together by its tasks, and what still goes on from task to task
     by file: two rows a task at most. Runs are found over all lines, and only those
-    of two all-letter words are returned, with the order of their first line.
+    of two all-letter words are returned, with the order of their first line. Of other lines
+    nothing is asked but that they end a run: they move without their words, and are stored
+    at the edges of a piece only.
     """
     order = list(order)
     # The first two words as one string; never NULL, so NULL can mean "no neighbour".
-    pair = F.coalesce(F.substring_index("bi_gram", " ", 2), F.lit(""))
-    always = F.lit(True)
+    pair = F.substring_index("bi_gram", " ", 2)
+    pair = F.when(pair.rlike(BIGRAM_PATTERN), pair).otherwise("")
     lines = ngrams.select(
         file,
         *order,
         block.alias(_BLOCK),
         pair.alias("_pair"),
         F.col("match_count").alias("matchcount"),
-        always.alias("_opens"),
-        always.alias("_closes"),
     )
     going_on = F.col("_opens") | F.col("_closes")
     # Found once each: the runs inside a piece are done, those at its edges go on below.
-    in_blocks = materialize(_runs(lines, [file, _BLOCK], order, order), "runs")
+    in_blocks = _runs(lines, [file, _BLOCK], order, order)
+    in_blocks = materialize(in_blocks.where(going_on | (F.col("_pair") != "")), "runs")
     edges = in_order(in_blocks.where(going_on), [file, _BLOCK, "_run"], "edges")
     in_tasks = materialize(_runs(edges.drop("_run"), [file, "_task"], ["_at"], order), "joined")
     whole = _runs(in_tasks.where(going_on).withColumnRenamed("_run", "_nth"), [file], ["_task", "_nth"], order)
     columns = [file, *order, "_pair", "matchcount"]
     found = in_blocks.where(~going_on).select(*columns).unionByName(in_tasks.where(~going_on).select(*columns))
-    return found.unionByName(whole.select(*columns)).where(F.col("_pair").rlike(BIGRAM_PATTERN)).select(
+    return found.unionByName(whole.select(*columns)).where(F.col("_pair") != "").select(
         file, *order, *_two_words("_pair"), "matchcount"
     )
 
