@@ -145,3 +145,14 @@ def test_deletes_are_dealt_out_and_not_broadcast(spark):
     # Unpacked rows outgrow the estimate that the planner has of them from the size of the file.
     text = plan(entry_points.queries()["deletes_applied"](spark, SMALL))
     assert "Broadcast" not in text and text.count("SortMergeJoin") == 2
+
+
+def test_a_step_sorts_nothing_and_its_index_names_no_next_range(spark):
+    totals = spark.createDataFrame([(f"w{i % 50}", f"w{i % 49}", i) for i in range(1, 400)], "gram0 string, gram1 string, n bigint")
+    whole = totals.agg(F.sum("n")).first()[0]
+    index = bucketed(walks.walk_index(totals, walks.word_ranges(totals, whole), whole), ["gram0", "slot"], "index")
+    assert index.columns == ["gram0", "gram1", "cum_lo", "cum_hi", "slot"]
+    word = "concat('w', id % 50)"
+    walkers = spark.range(100).selectExpr("id as walk_id", "1 as words", f"{word} as phrase", f"{word} as gram0", "id % 7 as place", "id % 3 as slot")
+    text = plan(walks._step(walkers, index, 1))
+    assert "ShuffledHashJoin" in text and "Sort " not in text and text.count("Exchange") == 1

@@ -34,7 +34,7 @@ def word_ranges(totals: DataFrame, whole: int, slot_rows: int = SLOT_ROWS) -> Da
 
 
 def walk_index(totals: DataFrame, ranges: DataFrame, whole: int, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """Successor ranges keyed by (gram0, slot), with the range of the next word.
+    """Successor ranges keyed by (gram0, slot).
 
     A word's range is cut into slots of equal length, about ``slot_rows``
     successors each. A draw falls into one slot, so a walk meets some dozen
@@ -42,29 +42,28 @@ def walk_index(totals: DataFrame, ranges: DataFrame, whole: int, slot_rows: int
     word fall into many keys. A successor wider than a slot is entered in each
     slot it touches: at most one extra row per slot.
     """
-    slotted = _with_width(cumulative(totals), slot_rows, whole).select(
-        "gram0",
-        "gram1",
-        "cum_lo",
-        "cum_hi",
-        F.explode(F.expr("sequence(cum_lo div width, (cum_hi - 1) div width)")).alias("slot"),
-    )
-    following = ranges.select(
-        F.col("word").alias("gram1"), F.col("total").alias("next_total"), F.col("width").alias("next_width")
-    )
-    return slotted.join(following, "gram1", "left")
+    slots = F.explode(F.expr("sequence(cum_lo div width, (cum_hi - 1) div width)")).alias("slot")
+    return _with_width(cumulative(totals), slot_rows, whole).select("gram0", "gram1", "cum_lo", "cum_hi", slots)
 
 
 def _drawn(walkers: DataFrame, seed: int) -> DataFrame:
+    return walkers.withColumn("draw", draws.draw(seed, F.col("walk_id"), F.col("words")))
+
+
+def _placed(walkers: DataFrame, ranges: DataFrame) -> DataFrame:
     """Where each walker's draw falls in the range of its word; NULL at the end of a walk."""
-    place = draws.draw(seed, F.col("walk_id"), F.col("words")) % F.col("total")
-    placed = walkers.withColumn("place", place)
-    return placed.withColumn("slot", F.expr("place div width")).drop("total", "width")
+    at = walkers.hint("shuffle_hash").join(ranges, F.col("gram0") == F.col("word"), "left").drop("word")
+    placed = at.withColumn("place", F.col("draw") % F.col("total"))
+    return placed.withColumn("slot", F.expr("place div width")).drop("draw", "total", "width")
 
 
 def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
-    """One move of every walker that has somewhere to go."""
-    candidates = walkers.join(index, ["gram0", "slot"])
+    """One move of every walker that has somewhere to go, and its next draw.
+
+    The walkers of a bucket are few beside its part of the index: they are hashed and the
+    index streams by, which spares sorting it in every step.
+    """
+    candidates = walkers.hint("shuffle_hash").join(index, ["gram0", "slot"])
     moved = candidates.where((F.col("cum_lo") <= F.col("place")) & (F.col("place") < F.col("cum_hi")))
     return _drawn(
         moved.select(
@@ -72,8 +71,6 @@ def _step(walkers: DataFrame, index: DataFrame, seed: int) -> DataFrame:
             (F.col("words") + 1).alias("words"),
             F.concat_ws(" ", "phrase", "gram1").alias("phrase"),
             F.col("gram1").alias("gram0"),
-            F.col("next_total").alias("total"),
-            F.col("next_width").alias("width"),
         ),
         seed,
     )
@@ -86,26 +83,21 @@ def walk(
 
     ``totals`` is a stored (gram0, gram1, n) table and ``seeds`` is (walk_id, word) with unique ids. Step k of a walk draws a
     number from (seed, walk_id, k) and takes the successor whose range holds
-    it. A walk ends early at a word without successor. The index is stored in buckets
-    once; each step moves only the walks still going to them, and its result is written
+    it. A walk ends early at a word without successor. Ranges and index are stored in
+    buckets once; each step moves only the walks still going, to them and then to the range of
+    their next word, which so need not be stored with every successor. Its result is written
     to the shared folder. A walk carries its phrase along, so the finished ones stay put.
     """
     whole = totals.agg(F.sum("n")).first()[0] or 0
-    ranges = materialize(word_ranges(totals, whole, slot_rows), "ranges")
+    ranges = bucketed(word_ranges(totals, whole, slot_rows), ["word"], "ranges")
     index = bucketed(walk_index(totals, ranges, whole, slot_rows), ["gram0", "slot"], "index")
-    start = seeds.select("walk_id", "word").join(ranges, "word", "left")
-    first = start.select(
-        "walk_id",
-        F.lit(1).alias("words"),
-        F.col("word").alias("phrase"),
-        F.col("word").alias("gram0"),
-        "total",
-        "width",
-    )
-    steps = [materialize(_drawn(first, seed), "step-1")]
+    word = F.col("word")
+    first = seeds.select("walk_id", F.lit(1).alias("words"), word.alias("phrase"), word.alias("gram0"))
+    steps = [materialize(_placed(_drawn(first, seed), ranges), "step-1")]
     ended = []
     for k in range(2, max_words + 1):
         going = F.col("place").isNotNull()
         ended.append(steps[-1].where(~going))
-        steps.append(materialize(_step(steps[-1].where(going), index, seed), f"step-{k}"))
-    return reduce(DataFrame.unionByName, [*ended, steps[-1]]).select("walk_id", "words", "phrase")
+        moved = _step(steps[-1].where(going), index, seed)
+        steps.append(materialize(_placed(moved, ranges) if k < max_words else moved, f"step-{k}"))
+    return reduce(DataFrame.unionByName, [df.select("walk_id", "words", "phrase") for df in [*ended, steps[-1]]])
