@@ -147,6 +147,18 @@ def test_deletes_are_dealt_out_and_not_broadcast(spark):
     assert "Broadcast" not in text and text.count("SortMergeJoin") == 2
 
 
+def test_corpus_files_move_texts_and_not_lines(spark, rows, monkeypatch):
+    written = []
+    monkeypatch.setattr(files, "write_tsv", lambda df, path, **_: (written.append(df), df.write.csv(path)))
+    for query in ("ngram_scan", "ngram_scan_gzip", "corpus_slice"):
+        entry_points.queries()[query](spark, SMALL)
+    for df in written:
+        text = plan(df)
+        assert text.index("Generate") < text.index("Exchange") and text.count("Exchange") == 1
+    lines = testdata.ngrams(spark, SMALL)
+    assert rows(testdata.ngrams(spark, SMALL, by_file=True)) == rows(lines)
+
+
 def test_a_step_sorts_nothing_and_its_index_names_no_next_range(spark):
     totals = spark.createDataFrame([(f"w{i % 50}", f"w{i % 49}", i) for i in range(1, 400)], "gram0 string, gram1 string, n bigint")
     whole = totals.agg(F.sum("n")).first()[0]

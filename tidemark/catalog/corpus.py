@@ -22,9 +22,9 @@ MAX_WORDS, SEED = 6, 42
 def _landed(spark: SparkSession, sf_dir: str, compression: str = "none") -> DataFrame:
     """The corpus as tab separated files in one folder per file number."""
     path = scratch_path(spark, "corpus")
-    lines = testdata.ngrams(spark, sf_dir).drop("doc_id", "pos")
-    # Rows of a folder meet in few tasks; a large folder is split over several.
-    files.write_tsv(lines.hint("rebalance", "file_no"), path, partition_by=["file_no"], compression=compression)
+    # Rows of a folder come from few tasks; a large folder is split over several.
+    lines = testdata.ngrams(spark, sf_dir, by_file=True).drop("doc_id", "pos")
+    files.write_tsv(lines, path, partition_by=["file_no"], compression=compression)
     return files.read_ngrams(spark, path, _FILE_NO)
 
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions import records
 
+_FILES = 100  # corpus files
+_TASK_BYTES = 1 << 23  # text of a task that writes corpus files; its lines are sorted in memory
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -116,20 +119,31 @@ def broker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(topic.alias("topic"), value.alias("value"))
 
 
-def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_file(texts: DataFrame) -> DataFrame:
+    """Texts dealt to tasks of some ``_TASK_BYTES``, those of a file number to few of them."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = 1 + size // _TASK_BYTES
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 + tasks // _FILES))
+    return texts.repartition(tasks, F.col("doc_id") % _FILES, share)
+
+
+def ngrams(spark: SparkSession, sf_dir: str, by_file: bool = False) -> DataFrame:
     """Every pair of neighbouring words of every document as one bigram line.
 
-    ``file_no`` plays the corpus file; (doc_id, pos) is the line order in it.
+    ``file_no`` plays the corpus file; (doc_id, pos) is the line order in it. With
+    ``by_file`` the lines of a file come from few tasks: the texts are moved for that, and
+    not their lines, which take many times the room.
     """
+    texts = documents(spark, sf_dir, "doc_id", "text")
     # Split in a step of its own: the generator below uses the list three times.
-    split = documents(spark, sf_dir, "doc_id", "text").select("doc_id", F.split("text", "[ \t\r\n]").alias("ws"))
+    split = (_by_file(texts) if by_file else texts).select("doc_id", F.split("text", "[ \t\r\n]").alias("ws"))
     pairs = F.arrays_zip(F.col("ws").alias("w1"), F.slice("ws", F.lit(2), F.size("ws")).alias("w2"))
     return (
         split.select("doc_id", F.posexplode(pairs).alias("pos", "pair"))
         .select("doc_id", "pos", "pair.w1", "pair.w2")
         .where(F.col("w2").isNotNull())
         .select(
-            (F.col("doc_id") % 100).cast("int").alias("file_no"),
+            (F.col("doc_id") % _FILES).cast("int").alias("file_no"),
             "doc_id",
             "pos",
             F.concat_ws(" ", "w1", "w2").alias("bi_gram"),
