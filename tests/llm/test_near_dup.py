@@ -4,6 +4,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from tidemark.llm import near_dup
@@ -80,6 +81,51 @@ def test_chains_and_large_groups(documents, monkeypatch):
     check(near_duplicates(documents(pairs), small=4), pairs)
 
 
+def test_pairs_below_the_limit_are_not_compared_in_full(documents, monkeypatch):
+    words, draw, pairs = prose(7, 1100).split()[:600], random.Random(8), []
+    for i in range(60):  # four runs of ten words are new in each, so two share some 0.68 of their shingles
+        new = {10 * k + j for k in draw.sample(range(60), 4) for j in range(10)}
+        pairs.append((i, " ".join(f"n{i}x{k}" if k in new else w for k, w in enumerate(words))))
+    pairs += [(200, pairs[0][1] + " and a tail"), (201, pairs[50][1] + " one more")]
+    sets = [shingles(t) for _, t in pairs]
+    alike = [len(x & y) / len(x | y) for k, x in enumerate(sets) for y in sets[:k]]
+    assert sum(0.6 < j < 0.75 for j in alike) > 1500 and sum(j >= 0.75 for j in alike) < 100
+    compared, plain = [], near_dup.store
+
+    def store(df, name):
+        out = plain(df, name)
+        if name == "tree_pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "store", store)
+    check(near_duplicates(documents(pairs)), pairs)
+    assert compared[0] < 300
+
+
+def test_parities_differ_in_no_more_bits_than_the_sets():
+    draw = np.random.Generator(np.random.PCG64(9))
+    one = np.unique(draw.integers(0, 1 << 63, 300, dtype=np.uint64))
+    two = np.unique(np.concatenate([one[20:], draw.integers(0, 1 << 63, 15, dtype=np.uint64)]))
+    three = np.unique(draw.integers(0, 1 << 63, 129, dtype=np.uint64))
+    at = np.cumsum([0, len(one), 0, len(two), len(three)])
+    x, none, y, z = near_dup._parities(np.concatenate([one, two, three]), at).to_pylist()
+    bits = lambda p: sum((v % (1 << 64)) << (64 * i) for i, v in enumerate(p))
+    assert [len(p) * 64 for p in (x, none, y, z)] == [1024, 256, 1024, 512] and not any(none)
+    differing = (bits(x) ^ bits(y)).bit_count()
+    assert 25 <= differing <= 35 and differing % 2 == 1
+    for hashes, p in ((one, x), (three, z)):
+        want = 0
+        for h in hashes.tolist():
+            want ^= 1 << (h % (64 * len(p)))
+        assert bits(p) == want
+    half = bits(x) % (1 << 512) ^ bits(x) >> 512
+    want = 0
+    for h in one.tolist():
+        want ^= 1 << (h % 512)
+    assert half == want
+
+
 def test_rows_without_or_with_one_id(documents):
     a, b = prose(1, 80), prose(2, 80)
     pairs = [(None, a), (None, b), (5, a), (6, b), (7, a), (7, prose(3, 50)), (8, prose(3, 50)), (9, prose(4, 9))]

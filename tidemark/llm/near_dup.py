@@ -16,8 +16,11 @@ possible of the largest component there. Then the trees compare documents of dif
 components only, and a node counts as small once few documents are outside its largest
 component. Nodes that stay large down to the last level, whose documents agree in most
 tokens, compare each document with eight of them as well. Documents with equal
-sets take part as one. Comparisons pass three filters: set size, one bit of the least hash
-in each of 256 ranges, then the full sets.
+sets take part as one. Comparisons pass filters by set size and by one bit of the least hash
+in each of 256 ranges, in the trees' nodes one by parities, then the full sets. Parities
+are those of the hashes of a set that fall on each of some two to four bits a shingle. Two
+sets differ in at least as many shingles as their parities in bits, so that this filter loses
+no link, and few pairs that are no links pass it: those which only a collision of bits hides.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ _HEADS = 8  # documents of a node that all others are compared with to settle gr
 _SETTLING = [(1, 2), (3, 4)]  # the last tokens but so many settle groups of near copies, in turn
 _PICKS = 4  # times a large node deals its documents again
 _DEPTH = 12  # levels after which large nodes are not dealt any further
+_LEAST_BITS, _MOST_BITS = 1 << 8, 1 << 16  # parities of a set
 _BITS = [f"b{i}" for i in range(_RANGES // 64)]
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, _SIZE, dtype=np.uint64) | np.uint64(1)
 
@@ -61,11 +65,27 @@ def _range_bits(hashes: np.ndarray, at: np.ndarray, sets: int) -> np.ndarray:
     return out
 
 
+def _parities(hashes: np.ndarray, at: np.ndarray) -> pa.ListArray:
+    """For each set whether an odd number of its hashes falls on a bit, 64 bits a number.
+
+    A power of two of bits, twice as many as hashes at least, within bounds. Half of the
+    bits are the other ones with their upper half added.
+    """
+    n = np.diff(at)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64)
+    bits = np.clip(bits, _LEAST_BITS, _MOST_BITS)
+    ends = np.cumsum(bits)
+    low = (hashes[at[0] : at[-1]] & np.uint64(_MOST_BITS - 1)).astype(np.int64)
+    place = np.repeat(ends - bits, n) + (low & np.repeat(bits - 1, n))
+    odd = np.packbits((np.bincount(place, minlength=int(bits.sum())) & 1).astype(np.uint8), bitorder="little")
+    return pa.ListArray.from_arrays(np.concatenate([[0], ends // 64]).astype(np.int32), odd.view("<i8"))
+
+
 def _sketches(words: int):
     schema = pa.schema(
         [("d", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
         + [(b, pa.int64()) for b in _BITS]
-        + [("tokens", pa.list_(pa.int32()))]
+        + [("tokens", pa.list_(pa.int32())), ("parities", pa.list_(pa.int64()))]
     )
 
     def run(batches):
@@ -90,7 +110,7 @@ def _sketches(words: int):
                 flat = pa.ListArray.from_arrays(
                     np.arange(0, (j - i) * _SIZE + 1, _SIZE, dtype=np.int32), tokens.reshape(-1).view(np.int32)
                 )
-                columns = [d.slice(i, j - i), n, *(x.view(np.int64) for x in (h1, h2, *bits)), flat]
+                columns = [d.slice(i, j - i), n, *(x.view(np.int64) for x in (h1, h2, *bits)), flat, _parities(hashes, at)]
                 yield pa.RecordBatch.from_arrays(
                     [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=schema
                 )
@@ -140,6 +160,27 @@ def _alike(x: str, y: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (reduce(Column.__add__, differing) <= allowed)
 
 
+def _few_differ(x: str, y: str, percent: int) -> Column:
+    """Whether the parities of two sets of nearly one size allow a link."""
+    one, two = F.col(f"{x}.parities"), F.col(f"{y}.parities")
+
+    def halved(p: Column) -> Column:
+        half = F.shiftright(F.size(p), 1)
+        return F.zip_with(F.slice(p, F.lit(1), half), F.slice(p, half + 1, half), Column.bitwiseXOR)
+
+    # Sets just similar enough have widths that differ by one step at most.
+    first = F.when(F.size(one) > F.size(two), halved(one)).otherwise(one)
+    second = F.when(F.size(two) > F.size(one), halved(two)).otherwise(two)
+    differing = F.aggregate(F.zip_with(first, second, Column.bitwiseXOR), F.lit(0), lambda acc, b: acc + F.bit_count(b))
+    return (100 + percent) * differing <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
+def _named(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with the smallest document linked with theirs, ``c``; one name for each document, joined once."""
+    names = components(links).select("d", F.col("root").alias("c"))
+    return rows.join(names, "d", "left").withColumn("c", F.coalesce("c", "d"))
+
+
 def _sized(nodes: DataFrame) -> DataFrame:
     """Rows of nodes with several components, with the largest one ``main`` and the number of rows of ``others``."""
     parts = nodes.groupBy("node", "c").agg(F.count("*").alias("k"))
@@ -194,38 +235,39 @@ def near_duplicates(
     """
     docs = docs.select(doc_key().alias("d"), F.col("text").cast("string").alias("text"))
     sketches = store(
-        docs.mapInArrow(_sketches(words), f"d long, n long, h1 long, h2 long, {', '.join(f'{b} long' for b in _BITS)}, tokens array<int>"), "sketches"
+        docs.mapInArrow(_sketches(words), f"d long, n long, h1 long, h2 long, {', '.join(f'{b} long' for b in _BITS)}, tokens array<int>, parities array<long>"), "sketches"
     )
     sets = ["h1", "h2", "n"]
     full = sketches.where("n > 0")
     rows = full.groupBy(*sets).agg(F.min("d").alias("first"))
     copies = full.select("d", *sets).join(rows, sets).where("d != first").select(F.col("d").alias("a"), F.col("first").alias("b"))
-    lead = full.groupBy(*sets).agg(F.min(F.struct("d", *_BITS, "tokens")).alias("x"))
+    lead = full.groupBy(*sets).agg(F.min(F.struct("d", *_BITS, "tokens", "parities")).alias("x"))
     lead = store(lead.select("x.*", "n"), "distinct_sets")
 
     # Trees have tokens of their own; groups are settled by single ones.
     token = [F.element_at("tokens", i) for i in range(1, _SIZE + 1)]
     picks = [F.xxhash64(F.lit(t), token[2 * t], token[2 * t + 1]) for t in range(trees)]
-    named, links = lead.withColumn("c", F.col("d")), None
+    links = None
     for turn, some in enumerate(_SETTLING):
-        roots_of = F.explode(F.array(*[F.xxhash64(F.lit(-i), token[-i]) for i in some]))
-        nodes = named.select(roots_of.alias("node"), "d", "n", *_BITS, "c")
+        roots = F.array(*[F.xxhash64(F.lit(-i), token[-i]) for i in some])
+        named = lead.select("d", "n", *_BITS, roots.alias("roots"))
+        named = named.withColumn("c", F.col("d")) if links is None else store(_named(named, links), f"named_{turn}")
+        nodes = named.select(F.explode("roots").alias("node"), "d", "n", *_BITS, "c")
         near = _confirmed(_stars(_sized(nodes), percent), docs, words, percent, f"near_{turn}")
         links = near if links is None else links.union(near)
-        # One name for each document, joined once.
-        names = components(links).select("d", F.col("root").alias("c"))
-        named = lead.join(names, "d", "left").withColumn("c", F.coalesce("c", "d"))
-        named = store(named, f"named_{turn}")
-    nodes = named.select(F.explode(F.array(*picks)).alias("node"), "d", "n", *_BITS, "c")
+    named = store(_named(lead.select("d", "n", *_BITS, F.array(*picks).alias("roots")), links), "named")
+    nodes = named.select(F.explode("roots").alias("node"), "d", "n", *_BITS, "c")
     met = []
     for depth in range(_DEPTH + 1):
         nodes = store(_sized(nodes), f"nodes_{depth}")
         few, many = nodes.where(F.col("others") <= small), nodes.where(F.col("others") > small)
+        few = few.join(lead.select("d", "n", *_BITS, "parities"), ["d", "n", *_BITS])
+        alike = _alike("x", "y", percent) & _few_differ("x", "y", percent)
         # Documents of the node's largest component meet all others, but not each other.
         pairs = (
             few.where(F.col("c") != F.col("main"))
             .alias("x")
-            .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & _alike("x", "y", percent))
+            .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & alike)
             .select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
         )
         met.append(store(pairs, f"met_{depth}"))
