@@ -257,26 +257,27 @@ def near_duplicates(
         links = near if links is None else links.union(near)
     named = store(_named(lead.select("d", "n", *_BITS, F.array(*picks).alias("roots")), links), "named")
     nodes = named.select(F.explode("roots").alias("node"), "d", "n", *_BITS, "c")
-    met = []
+    small_nodes, met = [], []
     for depth in range(_DEPTH + 1):
         nodes = store(_sized(nodes), f"nodes_{depth}")
-        few, many = nodes.where(F.col("others") <= small), nodes.where(F.col("others") > small)
-        few = few.join(lead.select("d", "n", *_BITS, "parities"), ["d", "n", *_BITS])
-        alike = _alike("x", "y", percent) & _few_differ("x", "y", percent)
-        # Documents of the node's largest component meet all others, but not each other.
-        pairs = (
-            few.where(F.col("c") != F.col("main"))
-            .alias("x")
-            .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & alike)
-            .select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
-        )
-        met.append(store(pairs, f"met_{depth}"))
+        small_nodes.append(nodes.where(F.col("others") <= small))
+        many = nodes.where(F.col("others") > small)
         if many.isEmpty():
             break
         if depth == _DEPTH:
             met.append(_stars(many, percent))
         dealt = many.select("node", "d", "n", *_BITS, "c").join(lead.select("d", "tokens"), "d")
         nodes = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", *_BITS, "c")
+    few = reduce(DataFrame.union, small_nodes).join(lead.select("d", "n", *_BITS, "parities"), ["d", "n", *_BITS])
+    alike = _alike("x", "y", percent) & _few_differ("x", "y", percent)
+    # Documents of the node's largest component meet all others, but not each other.
+    pairs = (
+        few.where(F.col("c") != F.col("main"))
+        .alias("x")
+        .join(few.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & alike)
+        .select(F.col("x.d").alias("a"), F.col("y.d").alias("b"))
+    )
+    met.append(pairs)
     found = _confirmed(reduce(DataFrame.union, met), docs, words, percent, "tree")
     roots = components(copies.union(links).union(found))
     out = sketches.select("d", "n").join(roots, "d", "left").withColumn("c", F.coalesce("root", "d"))
