@@ -103,6 +103,28 @@ def test_pairs_below_the_limit_are_not_compared_in_full(documents, monkeypatch):
     assert compared[0] < 300
 
 
+def test_nodes_are_dealt_once_and_only_where_that_saves_comparisons(documents, monkeypatch):
+    words, draw, pairs = prose(7, 1100).split()[:600], random.Random(8), []
+    for i in range(60):  # two share some 0.68 of their shingles
+        new = {10 * k + j for k in draw.sample(range(60), 4) for j in range(10)}
+        pairs.append((i, " ".join(f"n{i}x{k}" if k in new else w for k, w in enumerate(words))))
+    pairs += [(200, pairs[0][1] + " and a tail"), (201, pairs[40][1] + " one more")]
+    rows, plain = {}, near_dup.store
+
+    def store(df, name):
+        out = plain(df, name)
+        if name == "nodes_0":
+            rows[name] = out.where("others > 16").count(), out.where("others > 4").count()
+        elif name == "dealt_0":
+            rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "store", store)
+    check(near_duplicates(documents(pairs), small=4), pairs)
+    many, more = rows["nodes_0"]
+    assert 0 < many < more and rows["dealt_0"] == 4 * many  # nodes below may hold four times four others of a row
+
+
 def test_parities_differ_in_no_more_bits_than_the_sets():
     draw = np.random.Generator(np.random.PCG64(9))
     one = np.unique(draw.integers(0, 1 << 63, 300, dtype=np.uint64))

@@ -14,7 +14,8 @@ Only links that can join two components matter. Groups of near copies are settle
 among the documents that share one of a few tokens each is compared with eight of them, where
 possible of the largest component there. Then the trees compare documents of different
 components only, and a node counts as small once few documents are outside its largest
-component. Nodes that stay large down to the last level, whose documents agree in most
+component: no more than the nodes below it might have together. Each level's rows are
+stored once they are dealt. Nodes that stay large down to the last level, whose documents agree in most
 tokens, compare each document with eight of them as well. Documents with equal
 sets take part as one. Comparisons pass filters by set size and by one bit of the least hash
 in each of 256 ranges, in the trees' nodes one by parities, then the full sets. Parities
@@ -257,17 +258,20 @@ def near_duplicates(
         links = near if links is None else links.union(near)
     named = store(_named(lead.select("d", "n", *_BITS, F.array(*picks).alias("roots")), links), "named")
     nodes = named.select(F.explode("roots").alias("node"), "d", "n", *_BITS, "c")
+    # Dealt, a document is compared with up to so many others in each of its nodes below.
+    few_others = F.col("others") <= _PICKS * small
     small_nodes, met = [], []
     for depth in range(_DEPTH + 1):
         nodes = store(_sized(nodes), f"nodes_{depth}")
-        small_nodes.append(nodes.where(F.col("others") <= small))
-        many = nodes.where(F.col("others") > small)
+        small_nodes.append(nodes.where(few_others))
+        many = nodes.where(~few_others)
         if many.isEmpty():
             break
         if depth == _DEPTH:
             met.append(_stars(many, percent))
         dealt = many.select("node", "d", "n", *_BITS, "c").join(lead.select("d", "tokens"), "d")
-        nodes = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", *_BITS, "c")
+        dealt = dealt.select(F.explode(F.array(*map(_child, range(_PICKS)))).alias("node"), "d", "n", *_BITS, "c")
+        nodes = store(dealt, f"dealt_{depth}")
     few = reduce(DataFrame.union, small_nodes).join(lead.select("d", "n", *_BITS, "parities"), ["d", "n", *_BITS])
     alike = _alike("x", "y", percent) & _few_differ("x", "y", percent)
     # Documents of the node's largest component meet all others, but not each other.
