@@ -129,3 +129,19 @@ def test_an_empty_corpus_judged_by_itself(spark, documents):
     none = spark.createDataFrame([], "doc_id long")
     assert judge_corpus(documents([]), none).count() == 0
     assert [r.score for r in judge_corpus(documents([(1, None)]), none).collect()] == [0]
+
+
+def test_scans_of_a_corpus_are_compiled(spark, documents):
+    rows = quality_rules._marked(documents([(1, "a b"), (2, None)]), spark.createDataFrame([(1,)], "doc_id long"))
+    plan = quality_rules._exploded(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "Generate posexplode" in plan
+
+
+def test_words_and_windows_of_odd_texts(spark, documents):
+    eight = "a b c d e f g h"
+    texts = ["\ta\x0bb\x0cc\rd\n\n e  \u00a0f ", "\n", "\r\n", "x\x1cy", "\x1f z", f"{eight}\t{eight}", f"{eight} {eight[:-2]}"]
+    texts += ["a b c " * 5, " ".join(f"{i} {eight[:13]} {i}" for i in range(9)), "q " * 8, "q " * 9, "q " * 7]
+    texts += [f"{eight} 1 {eight[2:]} i 2 {eight}", f"1 {eight[:7]} 2 {eight[:7]} {eight[8:]} 3 {eight[8:]}"]
+    trusted = spark.createDataFrame([(3,)], "doc_id long")
+    rows = judge_corpus(documents(list(enumerate(texts))), trusted, rounds=1).collect()
+    assert {r.doc_id: columns(r) for r in rows} == {i: base(t) for i, t in enumerate(texts)}

@@ -10,7 +10,8 @@ an array of fixed size, the value of a scalar subquery, so that no frequent n-gr
 shuffle key. ``ratios`` and ``judge`` hold any texts against a stored table of every n-gram.
 ``judge_corpus`` judges a corpus by itself without such a table: each of the other n-grams
 is shuffled once, together with its text's key, is counted where it arrives, and sends back
-partial sums of ratios only.
+partial sums of ratios only. Its scans have a row for each word and no function of arrays
+with a lambda, which Spark would interpret word by word.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from .tables import store, table
 _GAPS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 8  # words of a window that repeats
-_SLOTS = 1 << 16  # places for frequent n-grams
+_SLOTS = 1 << 16  # places for frequent n-grams, in judge_corpus four times as many
 _IDS = 1 << 20  # trusted ids, some 40 MB, that are broadcast
-_ROUNDS = 6  # shares of the hashes that are shuffled one after the other
+_ROUNDS = 5  # shares of the hashes that are shuffled one after the other
 _LONG = 1 << 20  # bytes of a text that always helps to choose frequent n-grams
 
 
@@ -35,9 +36,14 @@ def _text() -> Column:
 
 
 def _words(text: Column) -> Column:
-    """The words between separators; an empty array without one."""
-    trimmed = F.btrim(text, F.lit(_GAPS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t-\\r]+", -1))
+    """The words between separators; an empty array without one.
+
+    To split at one character is several times faster than at a pattern, also to put a
+    blank in place of line ends. Few texts have other separators.
+    """
+    rare = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c")) | F.contains(text, F.lit("\r"))
+    lines = F.split(F.when(rare, F.regexp_replace(text, "[\\t-\\r]", "\n")).otherwise(text), "\n", -1)
+    return F.array_remove(F.split(F.array_join(lines, " "), " ", -1), "")
 
 
 def _with_hashes(docs: DataFrame) -> DataFrame:
@@ -134,27 +140,33 @@ def _repeat_words() -> Column:
     )
 
 
+def _joined(hashes: str, step: int) -> Column:
+    """Hashes of twice as many words as ``hashes`` are of; the last ones reach past the end."""
+    after = F.slice(hashes, step + 1, F.greatest(F.size(hashes), F.lit(1)))
+    return F.zip_with(hashes, after, lambda a, b: F.xxhash64(a, b))
+
+
 def counts(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with a column ``_text``, with its hashed words and base counts."""
-    rows = _with_hashes(docs)
-    n = F.size("_words").cast("bigint")
+    """Rows of ``docs`` with a column ``_text``, with its base counts."""
+    rows = docs.withColumn("_words", _words(F.col("_text")))
     lines = F.filter(F.split("_text", "\n", -1), lambda line: F.btrim(line, F.lit(_GAPS)) != "")
     rows = rows.withColumn("_lines", lines)
     rows = rows.withColumns(
         {
-            "n_words": n,
-            "word_chars": F.length(F.translate("_text", _GAPS, "")).cast("bigint"),
-            "n_symbols": (F.length("_text") - F.length(F.translate("_text", _SYMBOLS, ""))).cast("bigint"),
+            "n_words": F.size("_words").cast("bigint"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
+            "n_symbols": F.length(F.regexp_replace("_text", f"[^{_SYMBOLS}]+", "")).cast("bigint"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
+            "_two": _joined("_words", 1),
         }
     ).drop("_lines", "_words")
-    window = lambda h, i: F.xxhash64(h, *[F.get("_hashes", i + k) for k in range(1, _WINDOW)])
-    starts = F.slice("_hashes", 1, F.greatest(F.size("_hashes") - _WINDOW + 1, F.lit(0)))
-    rows = rows.withColumn("_windows", F.transform(starts, window))
-    sorted_ = F.sort_array(F.transform("_windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    unique = F.size(F.array_distinct("_windows")) == F.size("_windows")
-    nothing = F.array().cast("array<struct<w:bigint,i:int>>")
-    rows = rows.withColumn("_windows", F.when(unique, nothing).otherwise(sorted_))
+    rows = rows.withColumn("_four", _joined("_two", 2)).drop("_two")
+    # A window that repeats makes five runs of four words repeat; few texts have them.
+    may = F.size("_four") - F.size(F.array_distinct("_four")) >= _WINDOW - 3
+    rows = rows.withColumn("_four", F.when(may, F.col("_four")).otherwise(F.array().cast("array<bigint>")))
+    windows = F.slice(_joined("_four", 4), 1, F.greatest(F.size("_four") - _WINDOW + 1, F.lit(0)))
+    rows = rows.withColumn("_windows", windows).drop("_four")
+    rows = rows.withColumn("_windows", F.sort_array(F.transform("_windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
     repeated = F.filter(
         "_windows", lambda s, i: (F.get("_windows", i - 1)["w"] == s["w"]) | (F.get("_windows", i + 1)["w"] == s["w"])
     )
@@ -176,9 +188,23 @@ def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return rows.select("doc_id", "_text", _key().bitwiseAND(F.lit(-2).cast("bigint")).bitwiseOR(bit).alias("_key"))
 
 
+def _by_word(rows: DataFrame) -> DataFrame:
+    """``_key, place, word, pair``: a row for each word with its n-grams, one of NULLs for a text without words.
+
+    The n-grams are those of ``_grams``; the last word has no pair.
+    """
+    # Outer: otherwise the plan splits the texts once more, to leave out empty ones ahead.
+    rows = rows.select("_key", _words(F.col("_text")).alias("_words"))
+    rows = rows.select("_key", "_words", F.posexplode_outer("_words").alias("place", "w"))
+    rows = rows.select("_key", "place", "w", F.get("_words", F.col("place") + 1).alias("after"))
+    word = F.when(F.col("w").isNotNull(), F.xxhash64("w"))
+    rows = rows.select("_key", "place", word.alias("word"), F.when(F.col("after").isNotNull(), F.xxhash64("after")).alias("after"))
+    return rows.select("_key", "place", "word", F.when(F.col("after").isNotNull(), F.xxhash64("word", "after")).alias("pair"))
+
+
 def _exploded(rows: DataFrame) -> DataFrame:
-    grams = _with_hashes(rows).select("_key", F.explode_outer(_grams(None)).alias("gram"))
-    return grams.where("gram is not null")
+    grams = _by_word(rows).unpivot("_key", ["word", "pair"], "kind", "gram")
+    return grams.select("_key", "gram").where("gram is not null")
 
 
 def _good() -> Column:
@@ -186,59 +212,60 @@ def _good() -> Column:
 
 
 def _slot(gram: Column) -> Column:
-    return F.pmod(gram, F.lit(_SLOTS)).cast("int")
+    return F.pmod(gram, F.lit(4 * _SLOTS)).cast("int")
 
 
-def _places(chosen: DataFrame, *fields: str) -> DataFrame:
-    """One row with ``places``: an array with a struct of gram and ``fields`` at each taken place."""
-    every = chosen.sparkSession.range(0, _SLOTS, 1, 1).select(F.col("id").cast("int").alias("slot"))
-    every = every.join(chosen.select("slot", F.struct("gram", *fields).alias("x")), "slot", "left")
-    lists = every.agg(F.array_sort(F.collect_list(F.struct("slot", "x"))).alias("places"))
-    return store(lists.select(F.transform("places", lambda p: p["x"]).alias("places")), "places")
+def _places(chosen: DataFrame, value: str) -> DataFrame:
+    """One row with an array of ``value`` at each taken place, NULL at the others."""
+    every = chosen.sparkSession.range(0, 4 * _SLOTS, 1, 1).select(F.col("id").cast("int").alias("slot"))
+    every = every.join(chosen.select("slot", value), "slot", "left")
+    lists = every.agg(F.sort_array(F.collect_list(F.struct("slot", value))).alias("places"))
+    return store(lists.select(F.col(f"places.{value}").alias("places")), "places")
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """For each of ``_SLOTS`` places by hash the n-gram that is most frequent in a part of the texts.
+    """For each place by hash the n-gram that is most frequent in a part of the texts.
 
-    The part is one text in 16, by hash, and every long one. N-grams below one in 2 * ``_SLOTS``
-    of its occurrences take no place. Which ones are chosen changes no result, only what is shuffled.
+    The part is one text in 16, by hash, and every long one. N-grams found once there take no
+    place. Which ones are chosen changes no result, only what is shuffled.
     """
     part = rows.where((F.pmod(F.hash("_key"), F.lit(16)) == 0) | (F.octet_length("_text") > _LONG))
-    counted = store(_exploded(part).groupBy("gram").agg(F.count("*").alias("n")), "part")
-    total = counted.agg(F.sum("n").alias("total")).scalar()
-    often = counted.where((F.col("n") > 1) & (F.col("n") * 2 * _SLOTS > total)).groupBy(_slot(F.col("gram")).alias("slot"))
-    return _places(often.agg(F.max(F.struct("n", "gram")).alias("x")).select("slot", "x.gram"))
+    counted = _exploded(part).groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    often = counted.groupBy(_slot(F.col("gram")).alias("slot")).agg(F.max(F.struct("n", "gram")).alias("x"))
+    return _places(often.select("slot", "x.gram"), "gram")
 
 
 def _ratio(all_: str, good: str, share: float) -> Column:
     return F.log((F.col(good) + 1) / (F.col(all_) * share + 1))
 
 
-def corpus_sums(rows: DataFrame, rounds: int = _ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Ratios of the frequent n-grams of ``rows``, and what the others add to each text.
+def corpus_sums(rows: DataFrame, rounds: int = _ROUNDS) -> DataFrame:
+    """``_key, _sum``: the sum of the ratios of a text's n-grams, a row for every text of ``rows``.
 
-    ``rows`` come from ``_marked``. The first is a frame of one row with ``places``; the second has ``_key, _sum``, a row for
-    every text. Counts cover every row. The others are shuffled in ``rounds`` by hash, whose
-    files go before the next round starts.
+    ``rows`` come from ``_marked``. Counts cover every row. N-grams without a place are
+    shuffled in ``rounds`` by hash, whose files go before the next round starts.
     """
     chosen = _candidates(rows).scalar()
-    grams = _exploded(rows).select("_key", "gram", F.get(chosen, _slot(F.col("gram"))).alias("x"))
-    slot = F.when(F.col("x.gram") == F.col("gram"), _slot(F.col("gram"))).otherwise(-1)
-    counted = grams.groupBy(slot.alias("slot")).agg(F.count("*").alias("all"), F.sum(_good()).alias("good"), F.max("gram").alias("gram"))
-    counted = store(counted, "frequent")
+    has_place = lambda gram: F.coalesce(F.get(chosen, _slot(gram)) == gram, F.lit(False))
+    gram = F.col("gram")
+    grams = _exploded(rows)
+    counted = grams.groupBy(F.when(has_place(gram), _slot(gram)).otherwise(-1).alias("slot"))
+    counted = store(counted.agg(F.count("*").alias("all"), F.sum(_good()).alias("good")), "frequent")
     share = counted.agg((F.sum("good") / F.sum("all")).alias("share")).first()["share"] or 0.0
-    frequent = counted.where("slot >= 0").withColumn("ratio", _ratio("all", "good", share))
-    frequent = _places(frequent, "ratio")
+    ratio = _places(counted.where("slot >= 0").withColumn("ratio", _ratio("all", "good", share)), "ratio").scalar()
+    known = lambda gram: F.when(has_place(gram), F.get(ratio, _slot(gram))).otherwise(0.0)
+    texts = _by_word(rows).withColumn("known", known(F.col("word")) + known(F.col("pair")))
+    first = F.when(F.coalesce("place", F.lit(0)) == 0, 1).otherwise(0)
+    sums = store(texts.groupBy("_key").agg(F.sum("known").alias("s"), F.sum(first).alias("n")), "texts")
     # A gram's texts lie together once sorted; the sums per text are made before they move.
     other = Window.partitionBy("gram")
-    sums = store(rows.groupBy("_key").agg(F.count("*").alias("n")).select("_key", F.lit(0.0).alias("s"), "n"), "texts")
     for r in range(rounds):
-        mine = grams.where((slot == -1) & (F.pmod(F.shiftright("gram", 40), F.lit(rounds)) == r)).select("_key", "gram")
+        mine = grams.where((F.pmod(F.shiftright("gram", 40), F.lit(rounds)) == r) & ~has_place(gram))
         mine = mine.withColumns({"all": F.count("*").over(other), "good": F.sum(_good()).over(other)})
         part = mine.groupBy("_key").agg(F.sum(_ratio("all", "good", share)).alias("s"))
         sums = sums.unionByName(store(part.withColumn("n", F.lit(0).cast("bigint")), f"round_{r}"))
     # Rows that repeat share a key, each with the same sum.
-    return frequent, sums.groupBy("_key").agg((F.sum("s") / F.sum("n")).alias("_sum"))
+    return sums.groupBy("_key").agg((F.sum("s") / F.sum("n")).alias("_sum"))
 
 
 def _verdict(rows: DataFrame, threshold: float) -> DataFrame:
@@ -259,17 +286,8 @@ def judge_corpus(docs: DataFrame, trusted: DataFrame, threshold: float = -0.2, r
     no rows; other columns of ``docs`` are not looked at.
     """
     marked = _marked(docs, trusted)
-    frequent, sums = corpus_sums(marked, rounds)
-
-    def known(acc: Column, g: Column) -> Column:
-        return acc + F.when(g["x"]["gram"] == g["gram"], g["x"]["ratio"]).otherwise(0.0)
-
-    # Named once only: then the plan holds the array in place and doesn't copy it into each row.
-    rows = counts(marked).withColumn("_places", frequent.scalar())
-    found = F.transform(_grams(None), lambda g: F.struct(g.alias("gram"), F.get("_places", _slot(g)).alias("x")))
-    rows = rows.withColumn("_known", F.aggregate(found, F.lit(0.0), known))
-    rows = rows.drop("_text", "_hashes", "_places").join(sums, "_key", "left")
-    return _verdict(rows.withColumn("_sum", F.col("_known") + F.coalesce("_sum", F.lit(0.0))), threshold)
+    sums = corpus_sums(marked, rounds)
+    return _verdict(counts(marked).drop("_text").join(sums, "_key", "left"), threshold)
 
 
 def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: int | None = None) -> DataFrame:
@@ -281,7 +299,7 @@ def judge(docs: DataFrame, ratio: DataFrame, threshold: float = -0.2, buckets: i
     """
     texts = docs.select("doc_id", _text().alias("_text"))
     sums = _sums(texts, ratio, buckets)
-    rows = counts(texts).withColumn("_key", _key()).drop("_text", "_hashes").join(sums, "_key", "left")
+    rows = counts(texts).withColumn("_key", _key()).drop("_text").join(sums, "_key", "left")
     return _verdict(rows, threshold)
 
 
