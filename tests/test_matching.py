@@ -97,3 +97,48 @@ def test_windows_across_the_pieces_of_a_text_are_found(spark, rows):
     got = keywords.track_many(df, frame(spark, "keyword", asked))
     want = {(i, k.lower()) for i, t in enumerate(texts) if t for k in asked if k.lower() in t}
     assert rows(got, "id", "keyword") == sorted(want, key=repr) and len(want) == 12
+
+
+def test_what_many_texts_hold_is_not_moved(spark, rows):
+    # Keywords over 16 bytes took the text of each find along.
+    texts = spark.range(200).select(F.concat(F.repeat(F.lit("a common passage of them all "), 20), F.col("id")).alias("text"))
+    asked = spark.range(500).select(F.concat(F.lit("passage of them all "), F.col("id")).alias("keyword"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = keywords.track_many(texts, asked.unionByName(frame(spark, "keyword", ["a", "common", "a common passage "])))
+        counts = got.groupBy("keyword").agg(F.count("*").alias("n"))
+        assert "SortMergeJoin" not in plan(counts) and "ShuffledHashJoin" not in plan(counts)
+        found = dict(rows(counts))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [found.pop(k) for k in ("a", "common", "a common passage ")] == [200, 200, 200]
+    want = {f"passage of them all {n}": sum(str(i).startswith(str(n)) for i in range(200)) for n in range(200)}
+    assert found == want
+
+
+@pytest.mark.parametrize(("held", "joins"), [(0, 1), (30, 2), (100, 1)])
+def test_keywords_that_tasks_do_not_hold_are_joined(spark, rows, monkeypatch, held, joins):
+    monkeypatch.setattr(keywords, "_HELD", held)
+    draw = random.Random(held)
+    passage = "".join(draw.choice("abcdé ") for _ in range(150))
+    texts = ["".join(draw.choice("abcdé ") for _ in range(draw.randint(0, 40))) for _ in range(30)]
+    texts += [passage[n : n + draw.randint(1, 150)] for n in range(0, 150, 5)]
+    texts += ["x" * (keywords._PIECE - n) + passage for n in (1, 40)]
+    asked = [passage[n : n + draw.randint(1, 75)] for n in range(80)] + ["ab"] * 3 + ["é", "d a"]
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "id int, text string").repartition(2)
+    got = keywords.track_many(df, frame(spark, "keyword", asked))
+    want = {(i, k) for i, t in enumerate(texts) for k in asked if k in t}
+    assert rows(got, "id", "keyword") == sorted(want, key=repr)
+    assert rows(got, "id", "text") == sorted(((i, texts[i]) for i, _ in want), key=repr)
+    # No text moves with a find, unless it is the head of a longer keyword.
+    short = keywords.track_many(df, frame(spark, "keyword", [k for k in asked if len(k.encode()) <= keywords._HEAD]))
+    text = plan(short.groupBy("keyword").count())
+    assert len(re.findall(r"Join \[", text)) == joins
+    assert all("_lower" not in line and "text" not in line for line in text.splitlines() if "Generate " in line)
+
+
+def test_no_keyword_runs_from_one_text_to_the_next(spark, rows):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["abab", "abab", "aab", "b", "", "abab"])], "id int, text string").coalesce(1)
+    got = keywords.track_many(df, frame(spark, "keyword", ["ab", "ba", "bb", "abababab", "aabb", "aa"]))
+    assert rows(got, "id", "keyword") == [(0, "ab"), (0, "ba"), (1, "ab"), (1, "ba"), (2, "aa"), (2, "ab"), (5, "ab"), (5, "ba")]
